@@ -25,15 +25,11 @@ def quality_report(df: DataFrame, target: str | None = None) -> DataFrame:
     counts = profile.missing_counts(df).agg(
         F.max("n_rows").alias("total_rows"), F.sum("n_missing").alias("missing_values")
     )
-    report = counts.select(
-        F.inline(
-            F.array(
-                F.struct(F.lit("total_rows").alias("measure"), F.col("total_rows").alias("value")),
-                F.struct(F.lit("total_columns"), F.lit(len(df.columns)).cast("bigint")),
-                F.struct(F.lit("missing_values"), F.col("missing_values")),
-            )
-        )
-    ).union(profile.duplicate_rows(df).select(F.lit("duplicate_rows"), "duplicate_rows"))
+    report = (
+        counts.withColumn("total_columns", F.lit(len(df.columns)).cast("bigint"))
+        .unpivot([], ["total_rows", "total_columns", "missing_values"], "measure", "value")
+        .union(profile.duplicate_rows(df).select(F.lit("duplicate_rows"), "duplicate_rows"))
+    )
     if target is None or target not in df.columns:
         return report
     by_value = profile.group_counts(df, [target])
@@ -132,3 +128,8 @@ def domain_violations(df: DataFrame, domains: dict[str, tuple[str, ...]]) -> Dat
     allowed_values = df.sparkSession.createDataFrame(allowed, "column string, value string")
     seen = profile.frequencies(df, list(domains)).where(F.col("value").isNotNull())
     return seen.join(allowed_values, ["column", "value"], "left_anti")
+
+
+def absent(required: DataFrame, actual: DataFrame) -> DataFrame:
+    """Required values the other table does not have. An anti join, so repeated values move once."""
+    return required.distinct().join(actual.distinct(), required.columns, "left_anti")

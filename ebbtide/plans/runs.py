@@ -31,8 +31,12 @@ class RunStore:
         return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.folder}/{name}")
 
     def append(self, name: str, rows) -> None:
-        if rows:
-            self.spark.createDataFrame(rows, SCHEMAS[name]).write.mode("append").parquet(f"{self.folder}/{name}")
+        """Add rows given as tuples or as a DataFrame with the table's columns."""
+        if not isinstance(rows, DataFrame):
+            if not rows:
+                return
+            rows = self.spark.createDataFrame(rows, SCHEMAS[name])
+        rows.write.mode("append").parquet(f"{self.folder}/{name}")
 
     def log_run(self, experiment: str, model_type: str, metrics: dict, params: dict, training_time: float,
                 at: datetime, framework: str = "spark", status: str = "FINISHED", run_id: str | None = None) -> str:

@@ -26,7 +26,9 @@ def flat(df: DataFrame, nested: bool = False) -> DataFrame:
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite", partition_by=()) -> None:
     """Overwrite or append; CSV and JSON carry a header or field names in every part file."""
-    writer = flat(df, nested=fmt != "csv").write.mode(mode).format(fmt).option("header", True)
+    writer = flat(df, nested=fmt != "csv").write.mode(mode).format(fmt)
+    if fmt == "csv":  # blanks are data here, the writer would trim them
+        writer = writer.options(header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
     (writer.partitionBy(*partition_by) if partition_by else writer).save(path)
 
 
