@@ -56,9 +56,7 @@ def _class_measures():
     }
 
 
-def threshold_metrics(df: DataFrame, label: str = "label", prediction: str = "prediction", by=None) -> DataFrame:
-    """accuracy; precision, recall, f1 of the churn class; the same weighted by class size."""
-    by = _grouping(by)
+def _threshold_columns() -> dict[str, Column]:
     measures = _class_measures()
     total = F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")
     p1, r1, _ = measures[1]
@@ -67,16 +65,22 @@ def threshold_metrics(df: DataFrame, label: str = "label", prediction: str = "pr
         parts = [pick(p, r) * s for p, r, s in measures.values()]
         return _ratio(parts[0] + parts[1], total)
 
-    return _cells(df, label, prediction, by).select(
-        *by,
-        _ratio(F.col("tp") + F.col("tn"), total).alias("accuracy"),
-        p1.alias("precision"),
-        r1.alias("recall"),
-        _f1(p1, r1).alias("f1_score"),
-        weighted(lambda p, r: p).alias("weighted_precision"),
-        weighted(lambda p, r: r).alias("weighted_recall"),
-        weighted(_f1).alias("weighted_f1"),
-    )
+    return {
+        "accuracy": _ratio(F.col("tp") + F.col("tn"), total),
+        "precision": p1,
+        "recall": r1,
+        "f1_score": _f1(p1, r1),
+        "weighted_precision": weighted(lambda p, r: p),
+        "weighted_recall": weighted(lambda p, r: r),
+        "weighted_f1": weighted(_f1),
+    }
+
+
+def threshold_metrics(df: DataFrame, label: str = "label", prediction: str = "prediction", by=None) -> DataFrame:
+    """accuracy; precision, recall, f1 of the churn class; the same weighted by class size."""
+    by = _grouping(by)
+    cells = _cells(df, label, prediction, by)
+    return cells.select(*by, *[c.alias(n) for n, c in _threshold_columns().items()])
 
 
 def classification_report(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -107,8 +111,7 @@ def score_counts(df: DataFrame, label: str = "label", score: str = "score", by=N
     )
 
 
-def _cumulated(df: DataFrame, label: str, score: str, by: list[str]) -> DataFrame:
-    counts = score_counts(df, label, score, by)
+def _cumulated(counts: DataFrame, by: list[str]) -> DataFrame:
     return running_totals(counts, "score", ["pos", "neg"], by, descending=True).withColumns(
         {"tp": F.col("pos_before") + F.col("pos"), "fp": F.col("neg_before") + F.col("neg")}
     )
@@ -117,7 +120,7 @@ def _cumulated(df: DataFrame, label: str, score: str, by: list[str]) -> DataFram
 def roc_points(df: DataFrame, label: str = "label", score: str = "score", by=None) -> DataFrame:
     """False and true positive rate at every distinct score taken as threshold."""
     by = _grouping(by)
-    return _cumulated(df, label, score, by).select(
+    return _cumulated(score_counts(df, label, score, by), by).select(
         *by,
         F.col("score").alias("threshold"),
         F.try_divide("fp", "neg_total").alias("fpr"),
@@ -128,7 +131,7 @@ def roc_points(df: DataFrame, label: str = "label", score: str = "score", by=Non
 def pr_points(df: DataFrame, label: str = "label", score: str = "score", by=None) -> DataFrame:
     """Precision and recall at every distinct score taken as threshold."""
     by = _grouping(by)
-    return _cumulated(df, label, score, by).select(
+    return _cumulated(score_counts(df, label, score, by), by).select(
         *by,
         F.col("score").alias("threshold"),
         (F.col("tp") / (F.col("tp") + F.col("fp"))).alias("precision"),
@@ -136,16 +139,13 @@ def pr_points(df: DataFrame, label: str = "label", score: str = "score", by=None
     )
 
 
-def areas(df: DataFrame, label: str = "label", score: str = "score", by=None) -> DataFrame:
-    """``roc_auc`` (ties count half) and ``pr_auc`` (trapezoids); null where a class is absent."""
-    by = _grouping(by)
-    points = _cumulated(df, label, score, by)
-    seen_before = F.col("pos_before") + F.col("neg_before")
-    precision = F.col("tp") / (F.col("tp") + F.col("fp"))
-    precision_before = F.when(seen_before > 0, F.col("pos_before") / seen_before).otherwise(precision)
+def _areas(counts: DataFrame, by: list[str]) -> DataFrame:
+    points = _cumulated(counts, by)
+    precision = F.try_divide("tp", F.col("tp") + F.col("fp"))
+    precision_before = F.try_divide("pos_before", F.col("pos_before") + F.col("neg_before"))
     concordant = F.sum(F.col("neg") * (F.col("pos_before") + F.col("pos") / 2))
     # Twice the trapezoid sum, halved below.
-    under_pr = F.sum(F.col("pos") * (precision + precision_before))
+    under_pr = F.sum(F.col("pos") * (precision + F.coalesce(precision_before, precision)))
     # As doubles: the number of pairs outgrows a bigint long before the number of rows does.
     positives, negatives = F.max("pos_total").cast("double"), F.max("neg_total").cast("double")
     return points.groupBy(*by).agg(
@@ -154,14 +154,40 @@ def areas(df: DataFrame, label: str = "label", score: str = "score", by=None) ->
     )
 
 
+def areas(df: DataFrame, label: str = "label", score: str = "score", by=None) -> DataFrame:
+    """``roc_auc`` (ties count half) and ``pr_auc`` (trapezoids); null where a class is absent."""
+    by = _grouping(by)
+    return _areas(score_counts(df, label, score, by), by)
+
+
 def metrics(df: DataFrame, label: str = "label", score: str = "score", prediction: str = "prediction", by=None) -> DataFrame:
-    """All measures of a scored table, one row per group."""
+    """All measures of a scored table, one row per group, from a single pass over its rows.
+
+    Both halves start from the same rows per (score, prediction), which Spark shuffles once.
+    """
     by = _grouping(by)
-    at_threshold = threshold_metrics(df, label, prediction, by)
-    ranked = areas(df, label, score, by)
+    tally = df.groupBy(*by, F.col(score).alias("score"), F.col(prediction).alias("predicted")).agg(
+        F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")
+    )
+
+    def n(side: str, p: int) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("predicted") == p, F.col(side))), F.lit(0))
+
+    cells = tally.groupBy(*by).agg(
+        n("pos", 1).alias("tp"), n("neg", 1).alias("fp"), n("pos", 0).alias("fn"), n("neg", 0).alias("tn")
+    )
+    at_threshold = cells.select(*by, *[c.alias(m) for m, c in _threshold_columns().items()])
+
+    # A row without a score counts nothing; filtering it out would push into one half only.
+    def ranked(side: str) -> Column:
+        return F.sum(F.when(F.col("score").isNotNull(), F.col(side)).otherwise(0)).alias(side)
+
+    ranked_areas = _areas(tally.groupBy(*by, "score").agg(ranked("pos"), ranked("neg")), by)
     if by:
-        return at_threshold.join(ranked, by, "left")
-    row = ranked.select(F.struct("roc_auc", "pr_auc")).scalar()
+        same = [F.col(f"t.{c}").eqNullSafe(F.col(f"a.{c}")) for c in by]
+        joined = at_threshold.alias("t").join(ranked_areas.alias("a"), same, "left")
+        return joined.select("t.*", "a.roc_auc", "a.pr_auc")
+    row = ranked_areas.select(F.struct("roc_auc", "pr_auc")).scalar()
     return at_threshold.withColumn("_areas", row).select(
         *at_threshold.columns, F.col("_areas.roc_auc").alias("roc_auc"), F.col("_areas.pr_auc").alias("pr_auc")
     )

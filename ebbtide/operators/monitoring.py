@@ -15,10 +15,11 @@ def prediction_windows(scored: DataFrame, ts: str, width: str = "1 day", delay:
     """Rows, churn rate and mean probability per tumbling window.
 
     The same plan serves batch and stream; a stream needs ``delay``, how late rows may arrive.
+    Watermarks exist for zoned times only, so a stream's plain times are read in the session's zone.
     """
-    source = scored.withColumn("event_time", F.col(ts).cast("timestamp"))
+    source = scored.withColumn("event_time", F.col(ts))
     if delay is not None:
-        source = source.withWatermark("event_time", delay)
+        source = source.withColumn("event_time", F.col(ts).cast("timestamp")).withWatermark("event_time", delay)
     return (
         source.groupBy(F.window("event_time", width).alias("w"))
         .agg(

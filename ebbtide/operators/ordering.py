@@ -33,9 +33,9 @@ def digits_of(value: Column) -> tuple[Column, Column]:
         F.when(F.isnan(value), top + 1)
         .when(special, sign * top)
         .when(value == 0, F.lit(0))
-        .otherwise(sign * high)
+        .otherwise(F.coalesce(sign * high, F.lit(0)))
         .cast("bigint"),
-        F.when(special | (value == 0), F.lit(0)).otherwise(sign * low).cast("bigint"),
+        F.when(special | (value == 0), F.lit(0)).otherwise(F.coalesce(sign * low, F.lit(0))).cast("bigint"),
     )
 
 
@@ -55,32 +55,35 @@ def running_totals(
     """
     by = list(by or [])
     high, low = digits_of(F.col(value).cast("double"))
-    digits = counts.withColumns({"_high": high, "_low": low})
+    # Group and digits are never null, so joins on them add no null filters. Those would make the
+    # plans below the joins differ, and Spark runs a shared part once only while it looks the same.
+    group = F.struct(*by) if by else F.lit(0)
+    digits = counts.withColumns({"_group": group, "_high": high, "_low": low})
     direction = (lambda c: F.col(c).desc()) if descending else (lambda c: F.col(c).asc())
     up_to_here = (Window.unboundedPreceding, -1)
 
     def before(window, column: str) -> Column:
         return F.coalesce(F.sum(column).over(window.rowsBetween(*up_to_here)), F.lit(0))
 
-    lows = digits.groupBy(*by, "_high", "_low").agg(*[F.sum(s).alias(s) for s in sums])
-    highs = lows.groupBy(*by, "_high").agg(*[F.sum(s).alias(s) for s in sums])
-    group = Window.partitionBy(*(by or [F.lit(0)]))
+    lows = digits.groupBy("_group", "_high", "_low").agg(*[F.sum(s).alias(s) for s in sums])
+    highs = lows.groupBy("_group", "_high").agg(*[F.sum(s).alias(s) for s in sums])
+    whole = Window.partitionBy("_group")
     highs = highs.select(
-        *by,
+        "_group",
         "_high",
-        *[before(group.orderBy(direction("_high")), s).alias(f"_{s}_high") for s in sums],
-        *[F.sum(s).over(group).alias(f"{s}_total") for s in sums],
+        *[before(whole.orderBy(direction("_high")), s).alias(f"_{s}_high") for s in sums],
+        *[F.sum(s).over(whole).alias(f"{s}_total") for s in sums],
     )
-    within_high = Window.partitionBy(*by, "_high").orderBy(direction("_low"))
+    within_high = Window.partitionBy("_group", "_high").orderBy(direction("_low"))
     lows = lows.select(
-        *by,
+        "_group",
         "_high",
         "_low",
         *[F.col(s).alias(f"_{s}_within") for s in sums],
         *[before(within_high, s).alias(f"_{s}_low") for s in sums],
-    ).join(highs, [*by, "_high"])
+    ).join(highs, ["_group", "_high"])
     lows = lows.select(
-        *by,
+        "_group",
         "_high",
         "_low",
         *[f"_{s}_within" for s in sums],
@@ -89,9 +92,9 @@ def running_totals(
     )
     if keep is not None:
         lows = lows.where(keep)
-    within_low = Window.partitionBy(*by, "_high", "_low").orderBy(direction(value))
+    within_low = Window.partitionBy("_group", "_high", "_low").orderBy(direction(value))
     return (
-        digits.join(lows, [*by, "_high", "_low"])
+        digits.join(lows, ["_group", "_high", "_low"])
         .withColumns({f"{s}_before": F.col(f"_{s}_start") + before(within_low, s) for s in sums})
         .select(*counts.columns, *[f"{s}_before" for s in sums], *[f"{s}_total" for s in sums])
     )

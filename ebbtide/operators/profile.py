@@ -182,20 +182,29 @@ def histograms(df: DataFrame, columns, bins: int = 20, ranges: DataFrame | None
 
 def data_summary(df: DataFrame, numeric, categorical) -> DataFrame:
     """Long profile ``(column, measure, value)``: gaps and distinct values, numeric statistics."""
-    gaps = missing_counts(df.select(*numeric, *categorical))
-    long_gaps = gaps.select(
-        "column",
-        F.inline(
-            F.array(
-                F.struct(F.lit("rows").alias("measure"), F.col("n_rows").cast("double").alias("value")),
-                F.struct(F.lit("missing").alias("measure"), F.col("n_missing").cast("double").alias("value")),
-            )
-        ),
-    )
-    uniques = distinct_counts(df, categorical).select(
-        "column", F.lit("distinct").alias("measure"), F.col("n_distinct").cast("double").alias("value")
+    numeric, categorical = list(numeric), list(categorical)
+    parts, fields = [F.count(F.lit(1)).cast("double").alias("rows")], {}
+    moments = {"mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    for c in numeric + categorical:
+        parts.append(F.count_if(is_missing(df, c)).cast("double").alias(f"{c}:missing"))
+        fields[c] = {"rows": "rows", "missing": f"{c}:missing"}
+        if c in numeric:
+            parts += [fn(F.col(c).cast("double")).alias(f"{c}:{m}") for m, fn in moments.items()]
+            fields[c] |= {m: f"{c}:{m}" for m in moments}
+    wide = df.agg(*parts)
+    cells = [
+        F.struct(F.lit(c).alias("column"), F.lit(m).alias("measure"), F.col(f"`{src}`").alias("value"))
+        for c, measures in fields.items()
+        for m, src in measures.items()
+    ]
+    quartiles = quantile_columns(df, numeric, [0.25, 0.5, 0.75]).withColumnsRenamed(
+        {"q_0.25": "p25", "q_0.5": "p50", "q_0.75": "p75"}
     )
-    stats = describe(df, numeric).unpivot(
-        ["column"], ["mean", "std", "min", "p25", "p50", "p75", "max"], "measure", "value"
+    uniques = distinct_counts(df, categorical)
+    return (
+        wide.select(F.inline(F.array(*cells)))
+        .unionByName(quartiles.unpivot(["column"], ["p25", "p50", "p75"], "measure", "value"))
+        .unionByName(
+            uniques.select("column", F.lit("distinct").alias("measure"), F.col("n_distinct").cast("double").alias("value"))
+        )
     )
-    return long_gaps.unionByName(uniques).unionByName(stats)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ebbtide.functions import scalars
@@ -21,18 +21,25 @@ EXCESSIVE_MISSING = 0.8
 
 
 def quality_report(df: DataFrame, target: str | None = None) -> DataFrame:
-    """Rows ``(measure, value)``: size, missing cells, duplicates and the target's distribution."""
-    counts = profile.missing_counts(df).agg(
-        F.max("n_rows").alias("total_rows"), F.sum("n_missing").alias("missing_values")
-    )
-    report = (
-        counts.withColumn("total_columns", F.lit(len(df.columns)).cast("bigint"))
-        .unpivot([], ["total_rows", "total_columns", "missing_values"], "measure", "value")
-        .union(profile.duplicate_rows(df).select(F.lit("duplicate_rows"), "duplicate_rows"))
-    )
+    """Rows ``(measure, value)``: size, missing cells, duplicates and the target's distribution.
+
+    Finding duplicates means grouping by whole rows; everything else is read off those groups.
+    """
+    groups = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("copies"))
+    gaps = scalars.add_all([scalars.is_missing(df, c).cast("int") for c in df.columns])
+
+    def total(values) -> Column:
+        return F.coalesce(F.sum(values), F.lit(0))
+
+    report = groups.agg(
+        total(F.col("copies")).alias("total_rows"),
+        F.lit(len(df.columns)).cast("bigint").alias("total_columns"),
+        total(gaps * F.col("copies")).alias("missing_values"),
+        total(F.col("copies") - 1).alias("duplicate_rows"),
+    ).unpivot([], ["total_rows", "total_columns", "missing_values", "duplicate_rows"], "measure", "value")
     if target is None or target not in df.columns:
         return report
-    by_value = profile.group_counts(df, [target])
+    by_value = groups.groupBy(target).agg(F.sum("copies").alias("n"))
     name = F.concat(F.lit("target="), F.coalesce(F.col(target).cast("string"), F.lit("null")))
     return report.union(by_value.select(name, "n"))
 

@@ -17,6 +17,7 @@ from ebbtide.operators import evaluation, prepare
 from ebbtide.plans.scoring import logistic_scorer, score
 from ebbtide.plans.snapshot import snapshots
 from ebbtide.schema import SNAPSHOTS
+from ebbtide.session import written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -103,7 +104,23 @@ def scored_by_all(spark: SparkSession, d: str) -> DataFrame:
     return rows.withColumn("prediction", (F.col("score") > 0.5).cast("int"))
 
 
+_TABLES: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def once(spark: SparkSession, d: str, name: str, build) -> DataFrame:
+    """Build and write an intermediate table once per application and input folder."""
+    at = (spark.sparkContext.applicationId, d, name)
+    if at not in _TABLES:
+        _TABLES[at] = written(build(), name)
+    return _TABLES[at]
+
+
 def run_results(spark: SparkSession, d: str) -> DataFrame:
+    """The logged runs: evaluated from all snapshots and written as a table, like any training would."""
+    return once(spark, d, "runs", lambda: evaluated_runs(spark, d))
+
+
+def evaluated_runs(spark: SparkSession, d: str) -> DataFrame:
     """One run per scorer and region with its measures; a run's time is its rows in thousands."""
     rows = scored_by_all(spark, d)
     keys = ["region", "model_type"]

@@ -247,7 +247,7 @@ def _(spark, d):
 
 @query(
     "str_02_prediction_windows",
-    f"""select cast(date_trunc('day', snapshot_ts) as timestamptz) window_start, {N('count(*)')} n, {R('avg(prediction)')} churn_rate,
+    f"""select date_trunc('day', snapshot_ts) window_start, {N('count(*)')} n, {R('avg(prediction)')} churn_rate,
     {R('avg(churn_probability)')} mean_probability from scored group by 1""",
 )
 def _(spark, d):

@@ -10,32 +10,21 @@ from pyspark.sql import functions as F
 from ebbtide.operators import evaluation, splitting
 from ebbtide.plans import models, scoring
 from ebbtide.plans.features import feature_pipeline
-from ebbtide.queries.base import CATEGORICAL, NUMERIC, N, R, cleaned, featured, fixed_model, query, rounded
-from ebbtide.session import fresh_path, written
+from ebbtide.queries.base import CATEGORICAL, NUMERIC, N, R, cleaned, featured, fixed_model, once, query, rounded
+from ebbtide.session import fresh_path
 from ebbtide.streaming import jobs
 
 FEATURE_NUMERIC = [*NUMERIC, "avg_monthly_charges"]
 FEATURE_CATEGORICAL = [*CATEGORICAL, "tenure_group"]
 KEY = "customer_id"
 
-_TABLES: dict[tuple[str, str, str], DataFrame] = {}
-
-
-def _once(spark: SparkSession, d: str, name: str, build) -> DataFrame:
-    """Build and write an intermediate table once per application and input folder."""
-    at = (spark.sparkContext.applicationId, d, name)
-    if at not in _TABLES:
-        _TABLES[at] = written(build(), name)
-    return _TABLES[at]
-
-
 def feature_table(spark: SparkSession, d: str) -> DataFrame:
     def build():
         rows = featured(spark, d).withColumnRenamed("churn", "label")
         split = splitting.with_split(rows, KEY, 0.8, 42)
         return split.select(KEY, *FEATURE_NUMERIC, *FEATURE_CATEGORICAL, "label", "split")
 
-    return _once(spark, d, "features", build)
+    return once(spark, d, "features", build)
 
 
 def sides(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
@@ -51,7 +40,7 @@ def vector_table(spark: SparkSession, d: str) -> DataFrame:
         fitted = feature_pipeline(training, FEATURE_NUMERIC, FEATURE_CATEGORICAL).fit(training)
         return fitted.transform(feature_table(spark, d)).select(KEY, "features", "label", "split")
 
-    return _once(spark, d, "vectors", build)
+    return once(spark, d, "vectors", build)
 
 
 def _vector_sides(spark, d):
@@ -201,7 +190,7 @@ _PREDICTED = f"customer_id, prediction, churn_probability, {R('confidence_score'
 
 
 def _stream_input(spark, d) -> DataFrame:
-    return _once(spark, d, "cleaned", lambda: cleaned(spark, d))
+    return once(spark, d, "cleaned", lambda: cleaned(spark, d))
 
 
 @query("str_01_score_stream", f"select {_PREDICTED} from scored")
@@ -216,7 +205,7 @@ def _(spark, d):
 
 @query(
     "str_02_monitor_stream",
-    f"""select cast(date_trunc('day', snapshot_ts) as timestamptz) window_start, {N('count(*)')} n, {R('avg(prediction)')} churn_rate,
+    f"""select date_trunc('day', snapshot_ts) window_start, {N('count(*)')} n, {R('avg(prediction)')} churn_rate,
     {R('avg(churn_probability)')} mean_probability from scored
   where date_trunc('day', snapshot_ts) + interval 1 day <= (select max(snapshot_ts) - interval 30 day from scored) group by 1""",
 )
@@ -227,6 +216,7 @@ def _(spark, d):
     target, checkpoint = fresh_path(spark, "windows-out"), fresh_path(spark, "windows-state")
     rows = scoring.score(source, fixed_model())
     jobs.monitor_stream(rows, "snapshot_ts", target, checkpoint, delay="30 days").awaitTermination()
-    return rounded(spark.read.parquet(target).drop("window_end"))
+    windows = spark.read.parquet(target).drop("window_end")
+    return rounded(windows.withColumn("window_start", F.col("window_start").cast("timestamp_ntz")))
 
 

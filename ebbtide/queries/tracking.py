@@ -20,17 +20,13 @@ _SQL_VERSIONS = (
 )
 
 
-def _results(spark, d):
-    return run_results(spark, d)
-
-
 def _runs_metrics(spark, d):
-    results = _results(spark, d)
+    results = run_results(spark, d)
     return results.select(*_RUN_COLUMNS), evaluation.long_metrics(results, ["run_id"])
 
 
 def _versions(spark, d):
-    return tracking.numbered_versions(_results(spark, d)).select(
+    return tracking.numbered_versions(run_results(spark, d)).select(
         F.col("model_type").alias("model_name"), "version", "run_id", F.col("start_time").alias("created_at")
     )
 
@@ -123,7 +119,7 @@ def _(spark, d):
 
 @query("jon_04_versions_with_runs", _SQL_VERSIONS + """select v.model_name, v."version", v.run_id, r.status, r.framework from versions v join runs r on v.run_id = r.run_id""")
 def _(spark, d):
-    runs = _results(spark, d).select("run_id", "status", "framework")
+    runs = run_results(spark, d).select("run_id", "status", "framework")
     return _versions(spark, d).join(runs, "run_id").select("model_name", "version", "run_id", "status", "framework")
 
 
@@ -134,17 +130,17 @@ def _(spark, d):
     {R('max(roc_auc)')} best_auc, cast(null as varchar) error_message from runs""",
 )
 def _(spark, d):
-    return rounded(tracking.training_summary(_results(spark, d)))
+    return rounded(tracking.training_summary(run_results(spark, d)))
 
 
 @query("agg_17_framework_times", SQL_RUNS + f"select framework, {R('avg(training_time)')} avg_time, {R('sum(training_time)')} total_time from runs group by framework")
 def _(spark, d):
-    return rounded(tracking.framework_times(_results(spark, d)))
+    return rounded(tracking.framework_times(run_results(spark, d)))
 
 
 @query("agg_18_best_model", SQL_RUNS + f"select run_id best_model, {R('roc_auc')} best_roc_auc from runs order by runs.roc_auc desc, run_id desc limit 1")
 def _(spark, d):
-    return rounded(tracking.best_by(_results(spark, d), "run_id", "roc_auc"))
+    return rounded(tracking.best_by(run_results(spark, d), "run_id", "roc_auc"))
 
 
 _VERDICT = "case when {a} > 0.85 then 'excellent' when {a} > 0.75 then 'good' when {a} is not null then 'needs improvement' end"
@@ -154,16 +150,16 @@ _VERDICT = "case when {a} > 0.85 then 'excellent' when {a} > 0.75 then 'good' wh
 def _(spark, d):
     from ebbtide.functions.subscribers import verdict
 
-    return _results(spark, d).select("run_id", verdict(F.col("roc_auc") + F.lit(0.3)).alias("verdict"))
+    return run_results(spark, d).select("run_id", verdict(F.col("roc_auc") + F.lit(0.3)).alias("verdict"))
 
 
 @query("evl_12_evaluation_summary", SQL_RUNS + f"select run_id best_model, {R('roc_auc')} best_roc_auc, {_VERDICT.format(a='roc_auc')} verdict from runs order by runs.roc_auc desc, run_id desc limit 1")
 def _(spark, d):
-    return rounded(tracking.evaluation_summary(_results(spark, d), "run_id", "roc_auc"))
+    return rounded(tracking.evaluation_summary(run_results(spark, d), "run_id", "roc_auc"))
 
 
 def _pair(spark, d):
-    results = _results(spark, d)
+    results = run_results(spark, d)
     return results.where("framework = 'ASIA'"), results.where("framework = 'EUROPE'")
 
 
@@ -186,7 +182,7 @@ def _(spark, d):
     {R("sum(training_time) filter (framework = 'ASIA') / sum(training_time) filter (framework = 'EUROPE')")} speedup from runs""",
 )
 def _(spark, d):
-    return rounded(tracking.compare_frameworks(_results(spark, d), "ASIA", "EUROPE"))
+    return rounded(tracking.compare_frameworks(run_results(spark, d), "ASIA", "EUROPE"))
 
 
 @query("scl_15_safe_ratio", SQL_RUNS + f"select run_id, {R('case when roc_auc - 0.5 > 0 then accuracy / (roc_auc - 0.5) else 1 end', 2)} ratio from runs")
@@ -194,7 +190,7 @@ def _(spark, d):
     from ebbtide.functions.scalars import safe_ratio
 
     ratio = safe_ratio(F.col("accuracy"), F.col("roc_auc") - F.lit(0.5))
-    return rounded(_results(spark, d).select("run_id", ratio.alias("ratio")), 2)
+    return rounded(run_results(spark, d).select("run_id", ratio.alias("ratio")), 2)
 
 
 @query("set_02_shared_model_types", SQL_RUNS + "select model_type from runs where framework = 'ASIA' intersect select model_type from runs where framework = 'EUROPE'")
@@ -216,4 +212,4 @@ def _(spark, d):
 
 @query("scl_13_json_results", SQL_RUNS + """select '{"run_id":"' || run_id || '","model_type":"' || model_type || '"}' json from runs""")
 def _(spark, d):
-    return to_json_rows(_results(spark, d).select("run_id", "model_type"))
+    return to_json_rows(run_results(spark, d).select("run_id", "model_type"))

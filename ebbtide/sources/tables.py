@@ -8,8 +8,16 @@ from pyspark.sql import types as T
 from ebbtide.schema import CUSTOMER_SCHEMA
 
 
+_SCHEMAS: dict[tuple[str, str], T.StructType] = {}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A Parquet table of a folder. Its schema is looked up once per application, not per query."""
+    path = f"{folder}/{name}.parquet"
+    known = (spark.sparkContext.applicationId, path)
+    if known not in _SCHEMAS:
+        _SCHEMAS[known] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[known]).parquet(path)
 
 
 def read_customers(
