@@ -6,10 +6,10 @@ score. Curves and areas order distinct scores, never rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ebbtide.operators.ordering import running_totals
+from ebbtide.operators.ordering import digits_of, running_totals
 
 
 def _grouping(by) -> list[str]:
@@ -154,6 +154,36 @@ def _areas(counts: DataFrame, by: list[str]) -> DataFrame:
     )
 
 
+def roc_auc(df: DataFrame, label: str = "label", score: str = "score", by=None) -> DataFrame:
+    """``roc_auc`` alone, without joining totals back to scores.
+
+    A (positive, negative) pair ranked right lies within one score (counting half), within one
+    stretch of the score order, or across stretches. Each level adds its pairs and hands on sums.
+    """
+    by = _grouping(by)
+    high, low = digits_of(F.col("score").cast("double"))
+    steps = score_counts(df, label, score, by).select(
+        (F.struct(*by) if by else F.lit(0)).alias("_group"),
+        high.alias("_high"),
+        low.alias("_low"),
+        "score",
+        "pos",
+        "neg",
+        (F.col("pos").cast("double") * F.col("neg") / 2).alias("pairs"),
+    )
+    levels = (["_group", "_high", "_low"], "score"), (["_group", "_high"], "_low"), (["_group"], "_high")
+    for keys, order in levels:
+        ahead = Window.partitionBy(*keys).orderBy(F.col(order).desc()).rowsBetween(Window.unboundedPreceding, -1)
+        positives_ahead = F.coalesce(F.sum("pos").over(ahead), F.lit(0)).cast("double")
+        steps = (
+            steps.withColumn("pairs", F.col("pairs") + F.col("neg") * positives_ahead)
+            .groupBy(*keys)
+            .agg(F.sum("pairs").alias("pairs"), F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+        )
+    area = F.try_divide("pairs", F.col("pos").cast("double") * F.col("neg")).alias("roc_auc")
+    return steps.select(*[F.col(f"_group.{c}").alias(c) for c in by], area)
+
+
 def areas(df: DataFrame, label: str = "label", score: str = "score", by=None) -> DataFrame:
     """``roc_auc`` (ties count half) and ``pr_auc`` (trapezoids); null where a class is absent."""
     by = _grouping(by)

@@ -34,7 +34,12 @@ def _labelled(spark, d):
 
 @query("evl_01_roc_auc", _ONE + f"select {R('roc_auc', 8)} roc_auc from m_all")
 def _(spark, d):
-    return rounded(evaluation.areas(_labelled(spark, d)).select("roc_auc"), 8)
+    return rounded(evaluation.roc_auc(_labelled(spark, d)), 8)
+
+
+@query("evl_01_roc_auc_by_group", sql_measures("variants", ["region", "model_type"]) + f"select region, model_type, {R('roc_auc', 8)} roc_auc from m_all")
+def _(spark, d):
+    return rounded(evaluation.roc_auc(scored_by_all(spark, d), by=["region", "model_type"]), 8)
 
 
 @query("evl_02_pr_auc", _ONE + f"select {R('pr_auc', 8)} pr_auc from m_all")

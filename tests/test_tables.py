@@ -190,7 +190,9 @@ def test_approximate_variants(raw_rows):
 def test_auc_golden(spark):
     def auc(labels, scores):
         df = spark.createDataFrame(list(zip(labels, scores)), "label double, score double")
-        return evaluation.areas(df).first()["roc_auc"]
+        both = evaluation.areas(df).first()["roc_auc"], evaluation.roc_auc(df).first()["roc_auc"]
+        assert both[0] == both[1]
+        return both[0]
 
     assert auc([1.0, 0.0, 1.0, 0.0], [0.9, 0.5, 0.5, 0.1]) == 0.875
     assert auc([1.0, 0.0, 1.0], [0.3, 0.3, 0.3]) == 0.5
@@ -205,6 +207,7 @@ def test_areas_equal_mllib(spark):
         (F.crc32(F.col("id").cast("string")) % 2).cast("double").alias("label"),
     )
     got = evaluation.areas(df).first()
+    assert abs(evaluation.roc_auc(df).first()["roc_auc"] - got["roc_auc"]) < 1e-12
     for name, value in (("areaUnderROC", got["roc_auc"]), ("areaUnderPR", got["pr_auc"])):
         theirs = BinaryClassificationEvaluator(rawPredictionCol="score", metricName=name, numBins=0).evaluate(df)
         assert abs(theirs - value) < 1e-9
