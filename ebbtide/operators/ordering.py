@@ -49,9 +49,10 @@ def running_totals(
 ) -> DataFrame:
     """Add ``<s>_before`` (total over all rows ordered earlier) and ``<s>_total`` per group.
 
-    ``counts`` holds one row per group and distinct ``value``. ``keep`` may narrow the result to
-    stretches of the order before the rows themselves are touched: a predicate over a stretch's
-    ``_<s>_start``, ``_<s>_within`` and ``<s>_total``.
+    ``counts`` holds one row per group and distinct ``value``. ``keep`` narrows the result to a few
+    stretches of the order before the rows themselves are moved: a predicate over a stretch's
+    ``_<s>_start``, ``_<s>_within`` and ``<s>_total`` that a bounded number of stretches meets,
+    because those are broadcast.
     """
     by = list(by or [])
     high, low = digits_of(F.col(value).cast("double"))
@@ -91,7 +92,7 @@ def running_totals(
         *[f"{s}_total" for s in sums],
     )
     if keep is not None:
-        lows = lows.where(keep)
+        lows = F.broadcast(lows.where(keep))
     within_low = Window.partitionBy("_group", "_high", "_low").orderBy(direction(value))
     return (
         digits.join(lows, ["_group", "_high", "_low"])
@@ -110,7 +111,8 @@ def quantiles(df: DataFrame, columns, probs) -> DataFrame:
     """Exact interpolated quantiles: rows ``(column, prob, value)``.
 
     Equal to sorting each column and reading position ``(n - 1) * prob``, but sorted in pieces:
-    only the stretch around a wanted position is ordered row by row.
+    only the stretches around the wanted positions, at most two per column and probability, are
+    ordered value by value.
     """
     cells = unpivoted(df.select(*[F.col(c).cast("double").alias(c) for c in columns]), columns)
     counts = (

@@ -135,8 +135,3 @@ def domain_violations(df: DataFrame, domains: dict[str, tuple[str, ...]]) -> Dat
     allowed_values = df.sparkSession.createDataFrame(allowed, "column string, value string")
     seen = profile.frequencies(df, list(domains)).where(F.col("value").isNotNull())
     return seen.join(allowed_values, ["column", "value"], "left_anti")
-
-
-def absent(required: DataFrame, actual: DataFrame) -> DataFrame:
-    """Required values the other table does not have. An anti join, so repeated values move once."""
-    return required.distinct().join(actual.distinct(), required.columns, "left_anti")

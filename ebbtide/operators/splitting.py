@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ebbtide.functions.scalars import hash32, hash_unit
@@ -30,11 +30,17 @@ def _quota(n, test_size: float):
     return F.floor(n * F.lit(test_size) + F.lit(0.5))
 
 
+def _by_stratum(rows: DataFrame, *fields: str) -> Column:
+    """A table with one row per class as a map the other side can look into: classes are few."""
+    entry = F.struct("stratum", F.struct(*fields))
+    return rows.groupBy().agg(F.map_from_entries(F.collect_list(entry)).alias("m")).scalar()
+
+
 def _stratum_limits(df: DataFrame, key: str, label: str, test_size: float, seed: int) -> DataFrame:
     """Per class, the (hash, key) of the last row that still fits into the test quota.
 
     Counting by 2**20 hash buckets finds the one bucket per class in which the quota ends. Only
-    the rows of that bucket, a millionth of the table, are ranked one by one.
+    the rows of that bucket, a millionth of the table, are moved and ranked one by one.
     """
     hashed = df.where(F.col(label).isNotNull()).select(
         F.col(label).alias("stratum"), F.col(key).alias("id"), hash32(F.col(key), seed).alias("hash")
@@ -49,12 +55,14 @@ def _stratum_limits(df: DataFrame, key: str, label: str, test_size: float, seed:
         (F.sum("n").over(stratum.orderBy("bucket")) - F.col("n")).alias("before"),
         _quota(F.sum("n").over(stratum), test_size).alias("quota"),
     )
-    edge = sizes.where((F.col("before") < F.col("quota")) & (F.col("quota") <= F.col("before") + F.col("n")))
-    in_edge = hashed.withColumn("bucket", bucket).join(edge, ["stratum", "bucket"])
-    place = F.row_number().over(stratum.orderBy("hash", "id")) + F.col("before")
+    last = sizes.where((F.col("before") < F.col("quota")) & (F.col("quota") <= F.col("before") + F.col("n")))
+    edge = F.try_element_at(_by_stratum(last, "bucket", "before", "quota"), F.col("stratum"))
+    place = F.row_number().over(stratum.orderBy("hash", "id")) + F.col("edge.before")
     return (
-        in_edge.withColumn("place", place)
-        .where(F.col("place") == F.col("quota"))
+        hashed.withColumn("edge", edge)
+        .where(bucket == F.col("edge.bucket"))
+        .withColumn("place", place)
+        .where(F.col("place") == F.col("edge.quota"))
         .select("stratum", F.col("hash").alias("last_hash"), F.col("id").alias("last_id"))
     )
 
@@ -67,10 +75,7 @@ def stratified_split(
     Only the few limits are computed from the data, the rows themselves are not moved.
     """
     limits = _stratum_limits(df, key, label, test_size, seed)
-    by_class = limits.groupBy().agg(
-        F.map_from_entries(F.collect_list(F.struct("stratum", F.struct("last_hash", "last_id")))).alias("m")
-    )
-    limit = F.try_element_at(by_class.scalar(), F.col(label))
+    limit = F.try_element_at(_by_stratum(limits, "last_hash", "last_id"), F.col(label))
     value = hash32(F.col(key), seed)
     inside = (value < limit["last_hash"]) | ((value == limit["last_hash"]) & (F.col(key) <= limit["last_id"]))
     return df.withColumn("split", F.when(inside, "test").otherwise("train"))

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ebbtide.functions import scalars, subscribers
+from ebbtide.operators.sets import common
 
 SCHEMAS = {
     "runs": "run_id string, experiment string, model_type string, framework string, status string, "
@@ -173,7 +174,7 @@ def framework_times(results: DataFrame) -> DataFrame:
 
 
 def shared_model_types(a: DataFrame, b: DataFrame) -> DataFrame:
-    return a.select("model_type").intersect(b.select("model_type"))
+    return common(a.select("model_type"), b.select("model_type"))
 
 
 def compare_frameworks(results: DataFrame, base: str, other: str) -> DataFrame:
@@ -226,14 +227,6 @@ def training_summary(results: DataFrame, error: str | None = None) -> DataFrame:
     )
 
 
-def unioned(*frames: DataFrame) -> DataFrame:
-    """Result tables stacked by column name; columns one of them lacks become null."""
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
-    return out
-
-
 def numbered_versions(runs: DataFrame, name: str = "model_type") -> DataFrame:
     """Version numbers by time within each model name."""
     order = Window.partitionBy(name).orderBy("start_time", "run_id")

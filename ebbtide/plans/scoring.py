@@ -81,7 +81,10 @@ def risk_predictions(scored: DataFrame, key: str) -> DataFrame:
 
 def score_ids(df: DataFrame, ids, model, key: str) -> DataFrame:
     """Score chosen customers only. A short list becomes a pushed-down filter, a table a semi join."""
-    chosen = df.join(ids, key, "left_semi") if isinstance(ids, DataFrame) else df.where(F.col(key).isin(list(ids)))
+    if isinstance(ids, DataFrame):
+        chosen = df.join(ids.select(key).distinct(), key, "left_semi")
+    else:
+        chosen = df.where(F.col(key).isin(list(ids)))
     return score(chosen, model)
 
 

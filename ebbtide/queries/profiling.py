@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ebbtide.operators import profile, quality
+from ebbtide.operators import profile, quality, sets
+from ebbtide.plans.scoring import file_stats, score_stats
 from ebbtide.queries.base import CATEGORICAL, NUMERIC, N, R, cleaned, featured, query, rounded, scored, snap, typed
 from ebbtide.sources.tables import table
 
@@ -193,14 +194,14 @@ def _(spark, d):
 @query("set_01_required_minus_actual", "select c_custkey account_id from customer except select account_id from snap")
 def _(spark, d):
     required = table(spark, d, "customer").select(F.col("c_custkey").alias("account_id"))
-    return quality.absent(required, snap(spark, d).select("account_id"))
+    return sets.absent(required, snap(spark, d).select("account_id"))
 
 
 @query("set_02_common_values", "select c_custkey as k from customer where c_acctbal < 0 intersect select o_custkey from orders where o_totalprice > 300000")
 def _(spark, d):
     poor = table(spark, d, "customer").where("c_acctbal < 0").select(F.col("c_custkey").alias("k"))
     large = table(spark, d, "orders").where("o_totalprice > 300000").select(F.col("o_custkey").alias("k"))
-    return poor.intersect(large)
+    return sets.common(poor, large)
 
 
 # --- data quality ----------------------------------------------------------------------------
@@ -270,8 +271,6 @@ def _(spark, d):
   from scored""",
 )
 def _(spark, d):
-    from ebbtide.plans.scoring import score_stats
-
     return rounded(score_stats(scored(spark, d)))
 
 
@@ -281,6 +280,4 @@ def _(spark, d):
   from scored""",
 )
 def _(spark, d):
-    from ebbtide.plans.scoring import file_stats
-
     return rounded(file_stats(scored(spark, d)))

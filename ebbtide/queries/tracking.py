@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ebbtide.functions.scalars import safe_ratio
+from ebbtide.functions.subscribers import verdict
 from ebbtide.operators import evaluation
+from ebbtide.operators.sets import stacked
 from ebbtide.plans import runs as tracking
 from ebbtide.queries.base import SQL_RUNS, N, R, query, rounded, run_results
 from ebbtide.session import fresh_path
@@ -148,8 +151,6 @@ _VERDICT = "case when {a} > 0.85 then 'excellent' when {a} > 0.75 then 'good' wh
 
 @query("scl_14_verdicts", SQL_RUNS + f"select run_id, {_VERDICT.format(a='roc_auc + 0.3')} verdict from runs")
 def _(spark, d):
-    from ebbtide.functions.subscribers import verdict
-
     return run_results(spark, d).select("run_id", verdict(F.col("roc_auc") + F.lit(0.3)).alias("verdict"))
 
 
@@ -187,8 +188,6 @@ def _(spark, d):
 
 @query("scl_15_safe_ratio", SQL_RUNS + f"select run_id, {R('case when roc_auc - 0.5 > 0 then accuracy / (roc_auc - 0.5) else 1 end', 2)} ratio from runs")
 def _(spark, d):
-    from ebbtide.functions.scalars import safe_ratio
-
     ratio = safe_ratio(F.col("accuracy"), F.col("roc_auc") - F.lit(0.5))
     return rounded(run_results(spark, d).select("run_id", ratio.alias("ratio")), 2)
 
@@ -207,7 +206,7 @@ def _(spark, d):
 def _(spark, d):
     a, b = _pair(spark, d)
     names = ["run_id", "model_type", "roc_auc"]
-    return rounded(tracking.unioned(a.select(*names, "training_time"), b.select(*names)))
+    return rounded(stacked(a.select(*names, "training_time"), b.select(*names)))
 
 
 @query("scl_13_json_results", SQL_RUNS + """select '{"run_id":"' || run_id || '","model_type":"' || model_type || '"}' json from runs""")
