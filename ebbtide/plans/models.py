@@ -208,7 +208,7 @@ def compare_models(train_df: DataFrame, test_df: DataFrame, numeric, categorical
     return table.join(evaluation.metrics(scored, by="model_type"), "model_type")
 
 
-def depth_sweep(vectors: DataFrame, depths, label: str = "label", seed: int = 42) -> DataFrame:
+def depth_sweep(vectors: DataFrame, depths=tuple(range(2, 21)), label: str = "label", seed: int = 42) -> DataFrame:
     """Rows ``(max_depth, split, roc_auc, pr_auc)`` of decision trees of growing depth.
 
     ``vectors`` holds ``features``, the label and a ``split`` column; all areas are one job.
