@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ebbtide.llm.common import table
+from ebbtide.llm.packing import pack_documents
 from ebbtide.llm.token_counts import count_tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,3 +29,11 @@ def query(name: str, sql: str | None = None):
 @query("op1_token_counts")
 def op1(spark: SparkSession, d: str) -> DataFrame:
     return count_tokens(table(spark, d, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op3_packing")
+def op3(spark: SparkSession, d: str) -> DataFrame:
+    pieces = pack_documents(table(spark, d, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
