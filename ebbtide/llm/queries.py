@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbtide.llm.common import table
+from ebbtide.llm.personal_data import KINDS, find_personal_data, span_list
 from ebbtide.llm.packing import pack_documents
 from ebbtide.llm.token_counts import count_tokens
 
@@ -37,3 +38,15 @@ def op3(spark: SparkSession, d: str) -> DataFrame:
     return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )
+
+
+@query("op4_personal_data")
+def op4(spark: SparkSession, d: str) -> DataFrame:
+    found = find_personal_data(table(spark, d, "documents"))
+    of = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id",
+        *[of(kind).alias(f"n_{kind}") for kind in KINDS],
+        F.sha2(span_list(F.filter("spans", lambda s: s["kind"].isin(*KINDS))), 256).alias("base_sha256"),
+        span_list(F.col("spans")).alias("spans"),
+    )
