@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ebbtide.llm.common import table
 from ebbtide.llm.personal_data import KINDS, find_personal_data, span_list
 from ebbtide.llm.packing import pack_documents
+from ebbtide.llm.sharding import shard_records
 from ebbtide.llm.token_counts import count_tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,3 +51,14 @@ def op4(spark: SparkSession, d: str) -> DataFrame:
         F.sha2(span_list(F.filter("spans", lambda s: s["kind"].isin(*KINDS))), 256).alias("base_sha256"),
         span_list(F.col("spans")).alias("spans"),
     )
+
+
+@query("op8_sharding")
+def op8(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    text = F.coalesce(docs["text"], F.lit(""))
+    size = (F.octet_length(text) + F.lit(8)).cast("long")
+    placed = shard_records(docs, "doc_id", {"size": size, "text_crc32": F.crc32(text.cast("binary"))})
+    return placed.select(
+        F.col("key").alias("doc_id"), "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard"
+    )
