@@ -13,6 +13,7 @@ from ebbtide.llm.personal_data import KINDS, find_personal_data, span_list
 from ebbtide.llm.packing import pack_documents
 from ebbtide.llm.sharding import shard_records
 from ebbtide.llm.token_counts import count_tokens
+from ebbtide.llm.url_filter import judge_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -62,3 +63,34 @@ def op8(spark: SparkSession, d: str) -> DataFrame:
     return placed.select(
         F.col("key").alias("doc_id"), "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard"
     )
+
+
+ALLOW = [("org", "/"), ("com", "/fr/")]
+BLOCK = [("example.org", "/es/"), ("example.org", "/en/1"), ("com", "/de/")]
+
+
+def rules(spark: SparkSession, pairs: list[tuple[str, str]]) -> DataFrame:
+    one = [F.struct(F.lit(host).alias("host"), F.lit(path).alias("path")) for host, path in pairs]
+    return spark.range(1).select(F.inline(F.array(*one)))
+
+
+def _fits(host: str, path: str) -> str:
+    return f"(host = '{host}' or host like '%.{host}') and starts_with(path, '{path}')"
+
+
+_LONGEST_FIRST = sorted(ALLOW + BLOCK, key=lambda r: -len(r[0] + r[1]))
+_RULE = " ".join(f"when {_fits(h, p)} then '{h}{p}'" for h, p in _LONGEST_FIRST)
+_BLOCKING = ", ".join(f"'{h}{p}'" for h, p in BLOCK)
+
+
+@query(
+    "op7_url_filters",
+    f"""
+with parts as (select page_id,
+    translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') host,
+    regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) path from pages),
+ruled as (select *, case {_RULE} end as "rule" from parts)
+select page_id, host, path, "rule", case when "rule" in ({_BLOCKING}) then 'block' else 'allow' end verdict from ruled""",
+)
+def op7(spark: SparkSession, d: str) -> DataFrame:
+    return judge_urls(table(spark, d, "pages"), rules(spark, ALLOW), rules(spark, BLOCK))
