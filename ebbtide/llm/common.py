@@ -13,7 +13,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def narrow(df: DataFrame, **columns: str) -> DataFrame:
     """Only the named columns, under the operator's own names; all others, whatever they are called, are left out."""
-    return df.select(*[df[c].alias(name) for name, c in columns.items()])
+    at = {name: df.columns.index(c) for name, c in columns.items()}
+    return df.toDF(*[f"_{i}" for i in range(len(df.columns))]).select(*[F.col(f"_{i}").alias(n) for n, i in at.items()])
+
+
+def extended(df: DataFrame, run, added: dict[str, str]) -> DataFrame:
+    """All columns of ``df``, then the ``added`` ones (name: type), as ``run`` makes them of its Arrow batches.
+
+    Columns of these names that ``df`` has already are replaced; any other names, dots and repeats
+    included, are no matter.
+    """
+    df = df.select(*[F.col(f"`{c.replace('`', '``')}`") for c in df.columns if c not in added]) if set(added) & set(df.columns) else df
+    plain = df.toDF(*[f"_{i}" for i in range(len(df.columns))])
+    schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in plain.schema] + [f"`+{n}` {t}" for n, t in added.items()])
+    return plain.mapInArrow(run, schema).toDF(*df.columns, *added)
 
 
 def bitmap(df: DataFrame, column: str, bits: int) -> bytes:

@@ -8,6 +8,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ebbtide.llm.common import extended, narrow
+
 KINDS = ("email", "ip", "card", "phone")
 ADDED = ("iban", "ssn", "local_phone")
 ACCEPTED = 0.6
@@ -182,8 +184,7 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(spans, _SPANS_ARROW)], ["doc_id", "spans"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
-    return rows.mapInArrow(run, f"doc_id {kind}, spans {_SPANS}")
+    return narrow(docs, doc_id=id_col, text=text_col).mapInArrow(run, f"doc_id {kind}, spans {_SPANS}")
 
 
 def mask_personal_data(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -195,7 +196,7 @@ def mask_personal_data(docs: DataFrame, text_col: str = "text") -> DataFrame:
             texts = [None if (t := x.as_py()) is None else masked(t, find(t)) for x in batch.column(at)]
             yield batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
 
-    return docs.mapInArrow(run, docs.schema)
+    return extended(docs, run, {})
 
 
 def span_list(spans) -> F.Column:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ebbtide.llm.common import table
 from ebbtide.llm.personal_data import KINDS, find_personal_data, span_list
+from ebbtide.llm.language_id import fit, held_out, identify
 from ebbtide.llm.packing import pack_documents
 from ebbtide.llm.sharding import shard_records
 from ebbtide.llm.token_counts import count_tokens
@@ -94,3 +95,10 @@ select page_id, host, path, "rule", case when "rule" in ({_BLOCKING}) then 'bloc
 )
 def op7(spark: SparkSession, d: str) -> DataFrame:
     return judge_urls(table(spark, d, "pages"), rules(spark, ALLOW), rules(spark, BLOCK))
+
+
+@query("op6_language_id")
+def op6(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    texts = docs.select("doc_id", held_out(docs["doc_id"]).alias("held_out"), "text")
+    return identify(texts, fit(docs)).drop("text")
