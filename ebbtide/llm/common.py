@@ -36,7 +36,7 @@ def bitmap(df: DataFrame, column: str, bits: int) -> bytes:
     It has no false negatives, so dropping rows whose bit is unset before a join drops none that the
     join would keep.
     """
-    at = F.pmod(F.col(column), F.lit(1 << bits))
+    at = F.pmod(F.col(column), F.lit(1 << bits)) + 1  # part n holds the values from (n - 1) * 32768 + 1 on
     parts = (
         df.where(F.col(column).isNotNull())
         .select(F.bitmap_bucket_number(at).alias("part"), F.bitmap_bit_position(at).alias("bit"))
@@ -45,11 +45,8 @@ def bitmap(df: DataFrame, column: str, bits: int) -> bytes:
     )
     out = bytearray(1 << bits >> 3)
     for row in parts.toLocalIterator():
-        # part n holds the values from (n - 1) * 32768 + 1 to n * 32768, part 0 the value 0 and below
-        start = (row["part"] - 1) * 4096
-        if start >= 0:
-            out[start : start + 4096] = row["bits"]
-    return bytes(out)
+        out[(row["part"] - 1) * 4096 : row["part"] * 4096] = row["bits"]
+    return bytes(out[: 1 << bits >> 3])
 
 
 def in_bitmap(values: np.ndarray, bits: bytes) -> np.ndarray:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ebbtide.llm.common import table
 from ebbtide.llm.personal_data import KINDS, find_personal_data, span_list
+from ebbtide.llm.decontamination import find_contamination
 from ebbtide.llm.language_id import fit, held_out, identify
 from ebbtide.llm.packing import pack_documents
 from ebbtide.llm.sharding import shard_records
@@ -102,3 +103,16 @@ def op6(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents")
     texts = docs.select("doc_id", held_out(docs["doc_id"]).alias("held_out"), "text")
     return identify(texts, fit(docs)).drop("text")
+
+
+@query("op10_decontamination")
+def op10(spark: SparkSession, d: str) -> DataFrame:
+    found = find_contamination(table(spark, d, "documents"), table(spark, d, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        "n_items",
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
