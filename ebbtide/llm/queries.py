@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbtide.llm.common import table
+from ebbtide.llm.nearest import nearest_vectors
 from ebbtide.llm.personal_data import KINDS, find_personal_data, span_list
 from ebbtide.llm.decontamination import find_contamination
 from ebbtide.llm.language_id import fit, held_out, identify
@@ -116,3 +117,8 @@ def op10(spark: SparkSession, d: str) -> DataFrame:
         F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+@query("op9_nearest")
+def op9(spark: SparkSession, d: str) -> DataFrame:
+    return nearest_vectors(table(spark, d, "embeddings"), F.col("vec_id") % 50 == 0)
