@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbtide.llm.common import table
+from ebbtide.llm.near_dup import near_duplicates
 from ebbtide.llm.nearest import nearest_vectors
 from ebbtide.llm.personal_data import KINDS, find_personal_data, span_list
 from ebbtide.llm.decontamination import find_contamination
@@ -122,3 +123,8 @@ def op10(spark: SparkSession, d: str) -> DataFrame:
 @query("op9_nearest")
 def op9(spark: SparkSession, d: str) -> DataFrame:
     return nearest_vectors(table(spark, d, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@query("op2_near_duplicates")
+def op2(spark: SparkSession, d: str) -> DataFrame:
+    return near_duplicates(table(spark, d, "documents"), words=2)
