@@ -16,6 +16,7 @@ from ebbtide.llm.decontamination import find_contamination
 from ebbtide.llm.language_id import fit, held_out, identify
 from ebbtide.llm.packing import pack_documents
 from ebbtide.llm.sharding import shard_records
+from ebbtide.llm.substring_dedup import repeated_spans
 from ebbtide.llm.token_counts import count_tokens
 from ebbtide.llm.url_filter import judge_urls
 
@@ -128,3 +129,8 @@ def op9(spark: SparkSession, d: str) -> DataFrame:
 @query("op2_near_duplicates")
 def op2(spark: SparkSession, d: str) -> DataFrame:
     return near_duplicates(table(spark, d, "documents"), words=2)
+
+
+@query("op5_substring_dedup")
+def op5(spark: SparkSession, d: str) -> DataFrame:
+    return repeated_spans(table(spark, d, "documents"))
