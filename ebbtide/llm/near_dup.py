@@ -19,7 +19,9 @@ BANDS = COORDINATES // ROWS
 #: Pairs whose sketches agree in fewer than 0.6 of the coordinates aren't compared: chance e**-26 at 0.8.
 BELOW = 0.2
 BATCH_SHINGLES = 1 << 21
+#: Members of a bucket, and shingles of them, in one block, about.
 BLOCK = 128
+BLOCK_SHINGLES = 1 << 18
 BITMAP_BITS = 23
 
 
@@ -76,8 +78,10 @@ def _sets_of(docs: DataFrame, words: int, wanted: DataFrame) -> DataFrame:
     return made.join(wanted.select("cid", "rep", "key"), ["rep", "key"]).dropDuplicates(["cid"]).select("cid", "values")
 
 
-def _agreement(a: bytes, b: bytes) -> np.ndarray:
-    return np.frombuffer(a, "<u2") == np.frombuffer(b, "<u2")
+def _one_by_one(batch):
+    """The rows of a batch; a row with two blocks is large, so only one is unpacked at a time."""
+    for i in range(batch.num_rows):
+        yield {name: batch.column(name)[i].as_py() for name in batch.schema.names}
 
 
 class _Rule:
@@ -133,7 +137,7 @@ class _Rule:
         """Members of a bucket that have a pair to test there."""
         for batch in batches:
             out = set()
-            for row in batch.to_pylist():
+            for row in _one_by_one(batch):
                 for i, j in self.open_pairs(row):
                     out |= {(row["bucket"], row["left"][i]["cid"]), (row["bucket"], row["right"][j]["cid"])}
             columns = list(zip(*sorted(out))) or [(), ()]
@@ -143,7 +147,7 @@ class _Rule:
         """Links between components, one for each pair that becomes connected."""
         for batch in batches:
             out = []
-            for row in batch.to_pylist():
+            for row in _one_by_one(batch):
                 root: dict = {}
 
                 def top(c):
@@ -161,10 +165,16 @@ class _Rule:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
 
 
+def _in_blocks(members: DataFrame) -> DataFrame:
+    """Into how many blocks a bucket's members (columns ``bucket, n``) go: by their number and by their shingles."""
+    size, shingles = F.count(F.lit(1)), F.sum("n")
+    return members.groupBy("bucket").agg(F.ceil(F.greatest(size / BLOCK, shingles / BLOCK_SHINGLES)).alias("blocks"))
+
+
 def _blocks(members: DataFrame, sizes: DataFrame) -> DataFrame:
     """Pairs of blocks of each bucket: the members outside its largest component, and all members."""
     columns = [c for c in ("cid", "root", "n", "sketch", "values") if c in members.columns]
-    dealt = members.join(sizes, "bucket").withColumn("block", F.pmod(F.xxhash64("cid"), F.ceil(F.col("size") / BLOCK)))
+    dealt = members.join(sizes, "bucket").withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")))
     block = lambda rows, name: rows.groupBy("bucket", "band", "low", "block").agg(F.collect_list(F.struct(*columns)).alias(name)).drop("block")
     left = block(dealt.where("root <> main"), "left")
     return left.join(block(dealt, "right").drop("band", "low"), "bucket")
@@ -219,12 +229,11 @@ def near_duplicates(
     mains = parts.groupBy("bucket").agg(F.count(F.lit(1)).alias("parts"), F.max_by("root", F.struct("k", "root")).alias("main")).where("parts > 1")
     rooted = written(rooted.join(mains.select("bucket", "main"), "bucket"), "rooted")
     if not rooted.isEmpty():
-        sizes = rooted.select("bucket", "size").distinct()
-        needed = _blocks(rooted.drop("size").join(traits, "cid"), sizes).mapInArrow(rule.needed, "bucket long, cid long")
+        rooted = rooted.drop("size").join(traits, "cid")
+        needed = _blocks(rooted, _in_blocks(rooted)).mapInArrow(rule.needed, "bucket long, cid long")
         needed = written(needed.distinct(), "needed")
-        sizes = needed.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"))
-        whole = rooted.drop("size").join(needed, ["bucket", "cid"]).join(traits, "cid").join(values, "cid")
-        more = _blocks(whole, sizes).mapInArrow(rule.links, "a long, b long")
+        whole = rooted.join(needed, ["bucket", "cid"])
+        more = _blocks(whole.join(values, "cid"), _in_blocks(whole)).mapInArrow(rule.links, "a long, b long")
         roots = components(found.unionByName(written(more, "links")))
 
     rooted = roots.withColumnRenamed("node", "cid").join(classes.select("cid", "key", "rep"), "cid")

@@ -6,7 +6,7 @@ import numpy as np
 import xxhash
 
 SPAN = 1 << 20
-MEMO_WORDS = 2_000_000
+MEMO_WORDS = 400_000
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 
 
