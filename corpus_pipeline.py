@@ -34,15 +34,15 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of near-duplicates (five-word shingles, similarity 0.8): the one of smallest id.
 
-    Of rows that share that id, the first stays. Rows with a null id all stay.
+    Of rows that share that id, the first stays; a null id counts as the largest.
     """
     rows = _numbered(docs, "near")
     judged = near_duplicates(rows.select("row", "text"), id_col="row")
     groups = judged.select(F.col("doc_id").alias("row"), "component_id")
     ids = rows.select("row", "doc_id").join(groups, "row")
-    first = ids.groupBy("component_id").agg(F.min_by("row", F.struct("doc_id", "row")).alias("row"))
-    kept = first.select("row").union(rows.where("doc_id is null").select("row")).distinct()
-    return rows.join(kept, "row", "left_semi").select(*COLUMNS)
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
+    first = ids.groupBy("component_id").agg(F.min_by("row", order).alias("row")).select("row")
+    return rows.join(first, "row", "left_semi").select(*COLUMNS)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

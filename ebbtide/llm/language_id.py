@@ -25,7 +25,9 @@ EMBEDDED = 8
 SAMPLE_DOCS = 1000
 SAMPLE_WINDOWS = 4
 MAX_LANGUAGES = 64
+#: Passes over the sample, and batches at least: a small sample is passed more often.
 EPOCHS = 3
+STEPS = 500
 BATCH = 64
 UNKNOWN = "und"
 
@@ -95,7 +97,7 @@ class ByteNet:
         """Adam over shuffled batches; the same windows give the same weights."""
         rng, step = np.random.default_rng(seed), 0
         moments = [(np.zeros_like(w), np.zeros_like(w)) for w in self.weights()]
-        for _ in range(epochs):
+        for _ in range(max(epochs, -(-STEPS * BATCH // len(x)))):
             order = rng.permutation(len(x))
             for i in range(0, len(x), BATCH):
                 step += 1
