@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ebbtide.functions.scalars import hash32
 from ebbtide.operators.profile import histograms, value_ranges
@@ -11,15 +12,33 @@ from ebbtide.operators.profile import histograms, value_ranges
 EPSILON = 1e-6
 
 
+def _as_utc(plain: Column) -> Column:
+    """A plain time as the instant at which UTC clocks show it."""
+    since = (plain - F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00"))).cast("interval second").cast("decimal(20,6)")
+    return F.timestamp_micros((since * 1_000_000).cast("bigint"))
+
+
+def _as_plain(instant: Column) -> Column:
+    """What UTC clocks show at an instant, as a plain time."""
+    seconds = F.unix_micros(instant).cast("decimal(20,0)") / F.lit(1_000_000).cast("decimal(20,0)")
+    return F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00")) + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
+
+
 def prediction_windows(scored: DataFrame, ts: str, width: str = "1 day", delay: str | None = None) -> DataFrame:
     """Rows, churn rate and mean probability per tumbling window.
 
     The same plan serves batch and stream; a stream needs ``delay``, how late rows may arrive.
-    Watermarks exist for zoned times only, so a stream's plain times are read in the session's zone.
+    Watermarks exist for zoned times only, so a stream's plain times are taken as UTC and windows
+    given back as plain times: the same windows as in batch, whatever the session's zone.
     """
+    plain = isinstance(scored.schema[ts].dataType, T.TimestampNTZType)
     source = scored.withColumn("event_time", F.col(ts))
+    bound = lambda side: F.col(f"w.{side}")
     if delay is not None:
-        source = source.withColumn("event_time", F.col(ts).cast("timestamp")).withWatermark("event_time", delay)
+        if plain:
+            source = source.withColumn("event_time", _as_utc(F.col(ts)))
+            bound = lambda side: _as_plain(F.col(f"w.{side}"))
+        source = source.withWatermark("event_time", delay)
     return (
         source.groupBy(F.window("event_time", width).alias("w"))
         .agg(
@@ -28,8 +47,8 @@ def prediction_windows(scored: DataFrame, ts: str, width: str = "1 day", delay:
             F.avg("churn_probability").alias("mean_probability"),
         )
         .select(
-            F.col("w.start").alias("window_start"),
-            F.col("w.end").alias("window_end"),
+            bound("start").alias("window_start"),
+            bound("end").alias("window_end"),
             "n",
             "churn_rate",
             "mean_probability",

@@ -53,6 +53,8 @@ _RENAMED = {
     "max_iter": "maxIter",
     "learning_rate": "stepSize",
 }
+# Settings of other libraries that mean nothing to MLlib's solvers and trees.
+NO_COUNTERPART = ("solver", "min_samples_split", "random_state", "n_jobs")
 
 
 def model_type_of(name: str) -> str:
@@ -63,7 +65,10 @@ def model_type_of(name: str) -> str:
 
 
 def mllib_params(name: str, params: dict, rows: int | None = None) -> dict:
-    """Translate common names of other libraries; settings MLlib has no counterpart for are left out.
+    """Translate common names of other libraries.
+
+    Of settings MLlib has no counterpart for, those in ``NO_COUNTERPART`` are left out; any other
+    unknown name is an error.
 
     ``C`` weighs the loss summed over rows, ``regParam`` the penalty against the mean loss, so the
     counterpart of ``C`` is ``1 / (C * rows)``.
@@ -80,6 +85,8 @@ def mllib_params(name: str, params: dict, rows: int | None = None) -> dict:
             key = "maxIter"
         if key in allowed:
             out[key] = value
+        elif key not in NO_COUNTERPART:
+            raise ValueError(f"{name} has no setting {key}")
     return out
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -21,6 +22,9 @@ SCHEMAS = {
     "model_stages": "model_name string, version int, stage string, changed_at timestamp",
 }
 
+# Stages of a model version, from first to last.
+STAGES = ("None", "Staging", "Production", "Archived")
+
 
 class RunStore:
     """The five tables under one folder. Nothing is updated in place; the latest row counts."""
@@ -48,21 +52,20 @@ class RunStore:
         return run_id
 
     def save_model(self, model: PipelineModel, name: str, run_id: str, at: datetime) -> int:
-        """Save a fitted model as the next version of ``name``."""
-        try:
-            last = self.table("model_versions").where(F.col("model_name") == name).agg(F.max("version")).first()[0]
-        except Exception as error:
-            if "PATH_NOT_FOUND" not in str(error):
-                raise
-            last = None
+        """Save a fitted model as the next version of ``name``, under a path nothing else uses.
+
+        Two savers at one time may choose the same number; both models stay, and readers renumber
+        by time of creation, see ``distinct_versions``.
+        """
+        last = self._or_empty("model_versions").where(F.col("model_name") == name).agg(F.max("version")).first()[0]
         version = (last or 0) + 1
-        path = f"{self.folder}/models/{name}/{version}"
-        model.write().overwrite().save(path)
+        path = f"{self.folder}/models/{name}/{uuid.uuid4().hex}"
+        model.write().save(path)
         self.append("model_versions", [(name, version, run_id, path, at)])
         return version
 
     def load_model(self, name: str, version: int | None = None) -> PipelineModel:
-        versions = self.table("model_versions").where(F.col("model_name") == name)
+        versions = self.versions().where(F.col("model_name") == name)
         if version is not None:
             versions = versions.where(F.col("version") == version)
         row = latest_version(versions).first()
@@ -72,7 +75,7 @@ class RunStore:
 
     def promote(self, name: str, at: datetime, run_id: str | None = None, stage: str = "Production") -> int:
         """Move the newest version not yet in production (of that run, if given) to a stage."""
-        row = promotion_candidates(self.table("model_versions"), self._stages(), run_id).where(
+        row = promotion_candidates(self.versions(), self._or_empty("model_stages"), run_id).where(
             F.col("model_name") == name
         ).first()
         if row is None:
@@ -87,16 +90,22 @@ class RunStore:
         if best is None:
             raise ValueError(f"no runs found in experiment {experiment}")
         version = self.promote(name, at, best["run_id"])
-        path = f"{self.folder}/models/{name}/{version}"
+        saved = self.versions().where((F.col("model_name") == name) & (F.col("version") == version))
+        path = saved.select("path").first()["path"]
         return {"model_type": best["model_type"], "deployment_date": at, "version": version, "model_path": path}
 
-    def _stages(self) -> DataFrame:
+    def versions(self) -> DataFrame:
+        """All saved versions, each with a number of its own."""
+        return distinct_versions(self.table("model_versions"))
+
+    def _or_empty(self, name: str) -> DataFrame:
+        """A table, or no rows where none was ever written."""
         try:
-            return self.table("model_stages")
-        except Exception as error:
-            if "PATH_NOT_FOUND" not in str(error):
+            return self.table(name)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], SCHEMAS["model_stages"])
+            return self.spark.createDataFrame([], SCHEMAS[name])
 
 
 def load_model(path: str) -> PipelineModel:
@@ -105,13 +114,30 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
+def distinct_versions(versions: DataFrame) -> DataFrame:
+    """Versions renumbered where two savers took one number: later ones, by time and path, move up.
+
+    A model's versions are few; they are ordered per model name.
+    """
+    order = Window.partitionBy("model_name").orderBy("version", "created_at", "path").rowsBetween(Window.unboundedPreceding, 0)
+    same = Window.partitionBy("model_name", "version").orderBy("created_at", "path")
+    numbered = versions.withColumn("clash", (F.row_number().over(same) > 1).cast("int"))
+    return numbered.withColumn("version", (F.col("version") + F.sum("clash").over(order)).cast("int")).drop("clash")
+
+
 def latest_version(versions: DataFrame) -> DataFrame:
     return versions.orderBy(F.col("created_at").desc(), F.col("version").desc(), "model_name").limit(1)
 
 
 def current_stages(versions: DataFrame, stages: DataFrame) -> DataFrame:
-    """Each version with the stage of its last event, or ``None`` before the first."""
-    last = stages.groupBy("model_name", "version").agg(F.max_by("stage", "changed_at").alias("stage"))
+    """Each version with the stage of its last event, or ``None`` before the first.
+
+    Of events at one time the furthest stage counts: Archived, then Production, Staging, others by name.
+    """
+    rank = F.coalesce(F.array_position(F.array(*[F.lit(s) for s in STAGES]), F.col("stage")), F.lit(0))
+    last = stages.groupBy("model_name", "version").agg(
+        F.max_by("stage", F.struct("changed_at", rank.alias("rank"), "stage")).alias("stage")
+    )
     return versions.join(last, ["model_name", "version"], "left").withColumn(
         "stage", F.coalesce("stage", F.lit("None"))
     )

@@ -15,14 +15,19 @@ from ebbtide.sources.writers import write_predictions
 PREDICTION_COLUMNS = ("prediction", "churn_probability", "confidence_score", "prediction_label")
 
 
-def logistic_scorer(intercept: float, weights: dict[str, float], digits: int = 4) -> PipelineModel:
-    """A scorer with given coefficients, usable and saved like any fitted pipeline."""
+def logistic_scorer(intercept: float, weights: dict[str, float], digits: int | None = None) -> PipelineModel:
+    """A scorer with given coefficients, usable and saved like any fitted pipeline.
+
+    It decides on the probability as it is; ``digits`` rounds it first, for callers who want that.
+    """
     terms = " ".join(f"+ ({w!r}D) * CAST(`{c}` AS DOUBLE)" for c, w in weights.items())
     p = f"1.0D / (1.0D + exp(-(({intercept!r}D) {terms})))"
-    scale = f"{10.0**digits!r}D"
+    if digits is not None:
+        scale = f"{10.0**digits!r}D"
+        p = f"floor({p} * {scale} + 0.5D) / {scale}"
     statement = (
         "SELECT *, array(1.0D - _p, _p) AS probability, CAST(_p > 0.5D AS DOUBLE) AS prediction "
-        f"FROM (SELECT *, floor({p} * {scale} + 0.5D) / {scale} AS _p FROM __THIS__)"
+        f"FROM (SELECT *, {p} AS _p FROM __THIS__)"
     )
     return PipelineModel(stages=[SQLTransformer(statement=statement)])
 

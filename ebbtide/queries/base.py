@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ebbtide.functions.scalars import half_up
 from ebbtide.operators import evaluation, prepare
 from ebbtide.plans.scoring import logistic_scorer, score
 from ebbtide.plans.snapshot import snapshots
@@ -93,7 +92,7 @@ def scored_by_all(spark: SparkSession, d: str) -> DataFrame:
 
     def p(b0: float, bt: float, bm: float):
         z = F.lit(b0) + F.lit(bt) * F.col("tenure") + F.lit(bm) * F.col("monthly_charges")
-        return half_up(1 / (1 + F.exp(-z)))
+        return 1 / (1 + F.exp(-z))
 
     variants = F.array(
         *[F.struct(F.lit(n).alias("model_type"), p(*b).alias("score")) for n, b in SCORERS.items()]
@@ -150,7 +149,7 @@ def N(expr: str) -> str:
 
 
 def _p(b0: str, bt: str, bm: str) -> str:
-    return f"(floor((1/(1+exp(-({b0} + {bt}*tenure + {bm}*monthly_charges))))*10000.0 + 0.5)/10000.0)"
+    return f"(1/(1+exp(-({b0} + {bt}*tenure + {bm}*monthly_charges))))"
 
 
 _D = "cast({} as double)".format

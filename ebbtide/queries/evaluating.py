@@ -92,12 +92,12 @@ _STEPS = """, pts as (select distinct p threshold, sum(y) over h tp, sum(1 - y)
 """
 
 
-@query("evl_08_roc_points", _STEPS + f"select threshold, {R('fp / nneg')} fpr, {R('tp / npos')} tpr from pts")
+@query("evl_08_roc_points", _STEPS + f"select {R('threshold')} threshold, {R('fp / nneg')} fpr, {R('tp / npos')} tpr from pts")
 def _(spark, d):
     return rounded(evaluation.roc_points(_labelled(spark, d)))
 
 
-@query("evl_09_pr_points", _STEPS + f"select threshold, {R('tp / (tp + fp)')} as \"precision\", {R('tp / npos')} recall from pts")
+@query("evl_09_pr_points", _STEPS + f"select {R('threshold')} threshold, {R('tp / (tp + fp)')} as \"precision\", {R('tp / npos')} recall from pts")
 def _(spark, d):
     return rounded(evaluation.pr_points(_labelled(spark, d)))
 
@@ -150,7 +150,7 @@ def _(spark, d):
 
 # --- scoring ---------------------------------------------------------------------------------
 
-_PREDICTED = f"customer_id, prediction, churn_probability, {R('confidence_score')} confidence_score, prediction_label"
+_PREDICTED = f"customer_id, prediction, {R('churn_probability')} churn_probability, {R('confidence_score')} confidence_score, prediction_label"
 
 
 @query("inf_01_score_table", f"select {_PREDICTED} from scored")
@@ -158,7 +158,7 @@ def _(spark, d):
     return rounded(scoring.score(cleaned(spark, d), fixed_model(), keep=["customer_id"]))
 
 
-@query("inf_02_class_probabilities", f"select {_PREDICTED}, {R('1 - churn_probability')} class_0, churn_probability class_1 from scored")
+@query("inf_02_class_probabilities", f"select {_PREDICTED}, {R('1 - churn_probability')} class_0, {R('churn_probability')} class_1 from scored")
 def _(spark, d):
     return rounded(scoring.score(cleaned(spark, d), fixed_model(), keep=["customer_id"], class_probabilities=True))
 
@@ -176,13 +176,13 @@ def _(spark, d):
     return rounded(scoring.score_ids(df, chosen, fixed_model(), "customer_id").select("customer_id", *scoring.PREDICTION_COLUMNS))
 
 
-_RISK = """customer_id, prediction churn_prediction, churn_probability, case when churn_probability >= 0.7 then 'High'
+_RISK = f"""customer_id, prediction churn_prediction, {R('churn_probability')} churn_probability, case when churn_probability >= 0.7 then 'High'
     when churn_probability >= 0.4 then 'Medium' else 'Low' end risk_level"""
 
 
 @query("inf_05_risk_predictions", f"select {_RISK} from scored")
 def _(spark, d):
-    return scoring.risk_predictions(scored(spark, d), "customer_id")
+    return rounded(scoring.risk_predictions(scored(spark, d), "customer_id"))
 
 
 @query(

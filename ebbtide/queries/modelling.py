@@ -186,18 +186,14 @@ def _(spark, d):
 
 # --- streams ---------------------------------------------------------------------------------
 
-_PREDICTED = f"customer_id, prediction, churn_probability, {R('confidence_score')} confidence_score, prediction_label"
-
-
-def _stream_input(spark, d) -> DataFrame:
-    return once(spark, d, "cleaned", lambda: cleaned(spark, d))
+_PREDICTED = f"customer_id, prediction, {R('churn_probability')} churn_probability, {R('confidence_score')} confidence_score, prediction_label"
 
 
 @query("str_01_score_stream", f"select {_PREDICTED} from scored")
 def _(spark, d):
-    arrived = _stream_input(spark, d)
-    folder = arrived.inputFiles()[0].rsplit("/", 1)[0]
-    source = jobs.arriving_files(spark, folder, arrived.schema, "parquet")
+    rows, folder = cleaned(spark, d), fresh_path(spark, "arrivals")
+    rows.write.parquet(folder)
+    source = jobs.arriving_files(spark, folder, rows.schema, "parquet")
     target, checkpoint = fresh_path(spark, "stream-out"), fresh_path(spark, "stream-state")
     jobs.score_stream(source, fixed_model(), target, checkpoint, keep=[KEY]).awaitTermination()
     return rounded(spark.read.parquet(target))
@@ -206,17 +202,19 @@ def _(spark, d):
 @query(
     "str_02_monitor_stream",
     f"""select date_trunc('day', snapshot_ts) window_start, {N('count(*)')} n, {R('avg(prediction)')} churn_rate,
-    {R('avg(churn_probability)')} mean_probability from scored
-  where date_trunc('day', snapshot_ts) + interval 1 day <= (select max(snapshot_ts) - interval 30 day from scored) group by 1""",
+    {R('avg(churn_probability)')} mean_probability from scored group by 1""",
 )
 def _(spark, d):
-    arrived = _stream_input(spark, d)
-    folder = arrived.inputFiles()[0].rsplit("/", 1)[0]
-    source = jobs.arriving_files(spark, folder, arrived.schema, "parquet")
+    rows = cleaned(spark, d)
+    # an empty record two months on moves the watermark past all others; its own window stays open
+    last = rows.agg((F.max("snapshot_ts") + F.expr("interval 61 days")).alias("snapshot_ts"))
+    folder = fresh_path(spark, "arrivals")
+    rows.unionByName(last, allowMissingColumns=True).write.parquet(folder)
+    source = jobs.arriving_files(spark, folder, rows.schema, "parquet")
     target, checkpoint = fresh_path(spark, "windows-out"), fresh_path(spark, "windows-state")
     rows = scoring.score(source, fixed_model())
     jobs.monitor_stream(rows, "snapshot_ts", target, checkpoint, delay="30 days").awaitTermination()
     windows = spark.read.parquet(target).drop("window_end")
-    return rounded(windows.withColumn("window_start", F.col("window_start").cast("timestamp_ntz")))
+    return rounded(windows)
 
 

@@ -148,16 +148,16 @@ def _(spark, d):
     return prepare.complete_rows(typed(spark, d), NUMERIC).select("customer_id")
 
 
-@query("flt_05_high_confidence", "select customer_id, churn_probability from scored where greatest(churn_probability, 1 - churn_probability) > 0.8")
+@query("flt_05_high_confidence", f"select customer_id, {R('churn_probability')} churn_probability from scored where greatest(churn_probability, 1 - churn_probability) > 0.8")
 def _(spark, d):
     probs = F.array(1 - F.col("churn_probability"), F.col("churn_probability"))
-    return scored(spark, d).where(scalars.high_confidence(probs)).select("customer_id", "churn_probability")
+    return rounded(scored(spark, d).where(scalars.high_confidence(probs)).select("customer_id", "churn_probability"))
 
 
-@query("flt_06_high_risk", "select customer_id, churn_probability from scored where churn_probability >= 0.7")
+@query("flt_06_high_risk", f"select customer_id, {R('churn_probability')} churn_probability from scored where churn_probability >= 0.7")
 def _(spark, d):
     high = subscribers.risk_level(F.col("churn_probability")) == "High"
-    return scored(spark, d).where(high).select("customer_id", "churn_probability")
+    return rounded(scored(spark, d).where(high).select("customer_id", "churn_probability"))
 
 
 # --- scalar functions ------------------------------------------------------------------------
@@ -214,10 +214,10 @@ def _(spark, d):
     return rounded(snap(spark, d).select("customer_id", scalars.finite(raw).alias("ratio")))
 
 
-@query("scl_08_vector_element", "select customer_id, churn_probability p from scored")
+@query("scl_08_vector_element", f"select customer_id, {R('churn_probability')} p from scored")
 def _(spark, d):
     vector = array_to_vector(F.array(1 - F.col("churn_probability"), F.col("churn_probability")))
-    return scored(spark, d).select("customer_id", F.get(vector_to_array(vector), F.lit(1)).alias("p"))
+    return rounded(scored(spark, d).select("customer_id", F.get(vector_to_array(vector), F.lit(1)).alias("p")))
 
 
 @query("scl_09_confidence", f"select customer_id, {R('confidence_score')} confidence_score from scored")

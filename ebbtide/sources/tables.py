@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ebbtide.schema import CUSTOMER_SCHEMA
@@ -25,14 +26,19 @@ def read_customers(
 ) -> DataFrame:
     """Subscriber records with the declared schema: no pass over the data to infer one.
 
-    CSV columns are matched by the header's names, so files may lack the label or other columns.
+    CSV columns are matched by the header's names, so files may lack the label or other columns;
+    all files of a folder need one header, and one that differs is an error, not shifted values.
+    JSON is read with the schema; columns of other formats get the declared type where it names them.
     """
+    if fmt == "json":
+        return spark.read.schema(schema).json(path)
     if fmt != "csv":
-        return spark.read.format(fmt).load(path)
+        stored, declared = spark.read.format(fmt).load(path), {f.name: f.dataType for f in schema.fields}
+        return stored.select(*[F.col(f"`{c}`").cast(declared[c]).alias(c) if c in declared else F.col(f"`{c}`") for c in stored.columns])
     present = spark.read.option("header", True).csv(path).columns
     known = {f.name: f for f in schema.fields}
     fields = [known.get(c, T.StructField(c, T.StringType())) for c in present]
-    return spark.read.schema(T.StructType(fields)).option("header", True).csv(path)
+    return spark.read.schema(T.StructType(fields)).option("header", True).option("enforceSchema", False).csv(path)
 
 
 def rows_to_table(spark: SparkSession, rows, schema: T.StructType = CUSTOMER_SCHEMA) -> DataFrame:

@@ -15,6 +15,8 @@ def arriving_files(spark: SparkSession, folder: str, schema: T.StructType, fmt:
                    files_per_trigger: int | None = None, name_filter: str | None = None) -> DataFrame:
     """Files of a folder as a stream; each is read once, also across restarts."""
     reader = spark.readStream.schema(schema).format(fmt).option("header", True)
+    if fmt == "csv":
+        reader = reader.option("enforceSchema", False)  # a file with another header is an error
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     if name_filter:
