@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import json
+import statistics
 import time
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -16,7 +18,7 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -121,7 +123,7 @@ def param_grid(name: str, estimator, values: dict | None = None) -> list[dict]:
 
 def best_params(model) -> dict:
     """The tuned settings of the classifier at the end of a fitted pipeline."""
-    if isinstance(model, CrossValidatorModel):
+    if isinstance(model, Search):
         model = model.bestModel
     last = model.stages[-1] if isinstance(model, PipelineModel) else model
     names = {p for group in TUNABLE.values() for p in group}
@@ -132,18 +134,52 @@ def _evaluator(label: str) -> BinaryClassificationEvaluator:
     return BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC")
 
 
+@dataclass
+class Search:
+    """A grid search: per setting the areas of its folds, and the best setting fitted on all rows."""
+
+    bestModel: PipelineModel
+    grid: list[dict]
+    areas: list[list[float]]
+
+    @property
+    def avgMetrics(self) -> list[float]:
+        return [sum(a) / len(a) for a in self.areas]
+
+    @property
+    def best(self) -> int:
+        return max(range(len(self.grid)), key=lambda i: (self.avgMetrics[i], -i))
+
+
 def tune(df: DataFrame, pipeline: Pipeline, grid: list[dict], key: str, label: str = "label", folds: int = 3,
-         seed: int = 42, parallelism: int = 4) -> CrossValidatorModel:
-    """Grid search by cross-validation. Folds come from the key, so every run has the same ones."""
-    search = CrossValidator(
-        estimator=pipeline,
-        estimatorParamMaps=grid,
-        evaluator=_evaluator(label),
-        numFolds=folds,
-        foldCol="fold",
-        parallelism=parallelism,
-    )
-    return search.fit(with_fold(df, key, folds, seed))
+         seed: int = 42, parallelism: int = 4) -> Search:
+    """Grid search by cross-validation on the area under ROC. Folds come from the key, so every run has the same ones.
+
+    Preparation is fitted once per fold, on the rows outside it, and kept for all settings.
+    """
+    split = with_fold(df, key, folds, seed)
+    *stages, last = pipeline.getStages()
+    areas = [[] for _ in grid]
+    with ThreadPoolExecutor(parallelism) as pool:
+        for i in range(folds):
+            inside = split.where(F.col("fold") != i)
+            prepared = Pipeline(stages=stages).fit(inside)
+            columns = [FEATURES, label, *([last.getWeightCol()] if last.isDefined("weightCol") else [])]
+            training = prepared.transform(inside).select(*columns).persist()
+            held = prepared.transform(split.where(F.col("fold") == i)).select(FEATURES, label).persist()
+
+            def area(setting):
+                return _evaluator(label).evaluate(last.fit(training, setting).transform(held))
+
+            try:
+                training.count(), held.count()
+                for found, value in zip(areas, pool.map(area, grid)):
+                    found.append(value)
+            finally:
+                training.unpersist(), held.unpersist()
+    search = Search(None, grid, areas)
+    search.bestModel = pipeline.fit(df, grid[search.best])
+    return search
 
 
 def scored_rows(model, df: DataFrame, label: str = "label", keep=()) -> DataFrame:
@@ -154,6 +190,22 @@ def scored_rows(model, df: DataFrame, label: str = "label", keep=()) -> DataFram
     )
 
 
+def _chained(models: dict, df: DataFrame) -> DataFrame:
+    """``df`` with a column ``p_<name>`` (score, prediction) of every model, one applied after another."""
+    out = df
+    for name, model in models.items():
+        scored = model.transform(out)
+        cell = F.struct(F.get(probabilities(scored), F.lit(1)).alias("score"), F.col("prediction").alias("prediction"))
+        out = scored.select(*out.columns, cell.alias(f"p_{name}"))
+    return out
+
+
+def scored_by_models(models: dict, df: DataFrame, label: str = "label", keep=()) -> DataFrame:
+    """``model, label, score, prediction`` (and kept columns) of several models on one table, scanned once."""
+    cells = F.array(*[F.struct(F.lit(n).alias("model"), f"p_{n}.score", f"p_{n}.prediction") for n in models])
+    return _chained(models, df).select(*keep, F.col(label).alias("label"), F.inline(cells))
+
+
 def _union(frames) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
@@ -167,6 +219,7 @@ class Training:
     seconds: float
     params: dict = field(default_factory=dict)
     metrics: dict = field(default_factory=dict)
+    folds: dict = field(default_factory=dict)
 
 
 def train(train_df: DataFrame, test_df: DataFrame | None, name: str, numeric, categorical, key: str, label: str = "label",
@@ -182,10 +235,13 @@ def train(train_df: DataFrame, test_df: DataFrame | None, name: str, numeric, ca
     )
     if tuned:
         chosen = param_grid(name, pipeline.getStages()[-1], grid)
-        model = tune(rows, pipeline, chosen, key, label, folds).bestModel
+        search = tune(rows, pipeline, chosen, key, label, folds)
+        model, areas = search.bestModel, search.areas[search.best]
     else:
-        model = pipeline.fit(rows)
+        model, areas = pipeline.fit(rows), []
     result = Training(model_type_of(name), model, time.perf_counter() - started, best_params(model))
+    if areas:
+        result.folds = {"cv_roc_auc_mean": statistics.fmean(areas), "cv_roc_auc_std": statistics.pstdev(areas)}
     if test_df is not None:
         result.metrics = evaluation.metrics(scored_rows(model, test_df, label)).first().asDict()
     return result
@@ -207,11 +263,13 @@ def compare_models(train_df: DataFrame, test_df: DataFrame, numeric, categorical
     results = [
         train(train_df, None, n, numeric, categorical, key, label, params=(params or {}).get(n), **options) for n in names
     ]
-    scored = _union(
-        scored_rows(r.model, test_df, label).withColumn("model_type", F.lit(r.model_type)) for r in results
-    )
-    facts = [(r.model_type, json.dumps(r.params, sort_keys=True), r.seconds) for r in results]
-    table = train_df.sparkSession.createDataFrame(facts, "model_type string, best_params string, training_seconds double")
+    scored = scored_by_models({r.model_type: r.model for r in results}, test_df, label).withColumnRenamed("model", "model_type")
+    facts = [
+        (r.model_type, json.dumps(r.params, sort_keys=True), r.seconds, r.folds.get("cv_roc_auc_mean"), r.folds.get("cv_roc_auc_std"))
+        for r in results
+    ]
+    schema = "model_type string, best_params string, training_seconds double, cv_roc_auc_mean double, cv_roc_auc_std double"
+    table = train_df.sparkSession.createDataFrame(facts, schema)
     return table.join(evaluation.metrics(scored, by="model_type"), "model_type")
 
 
@@ -222,12 +280,13 @@ def depth_sweep(vectors: DataFrame, depths=tuple(range(2, 21)), label: str = "la
     """
     training = vectors.where(F.col("split") == "train").select(FEATURES, label).persist()
     try:
-        models = [(d, classifier(TREE, label, seed=seed, maxDepth=d).fit(training)) for d in depths]
+        with ThreadPoolExecutor(4) as pool:
+            fitted = pool.map(lambda d: classifier(TREE, label, seed=seed, maxDepth=d).fit(training), depths)
+            models = {str(d): m for d, m in zip(depths, fitted)}
     finally:
         training.unpersist()
-    scored = _union(
-        scored_rows(m, vectors, label, keep=["split"]).withColumn("max_depth", F.lit(d)) for d, m in models
-    )
+    scored = scored_by_models(models, vectors, label, keep=["split"])
+    scored = scored.select("split", "label", "score", "prediction", F.col("model").cast("int").alias("max_depth"))
     return evaluation.areas(scored, by=["max_depth", "split"])
 
 
@@ -236,12 +295,12 @@ def run_settings(train_vectors: DataFrame, test_vectors: DataFrame, settings, la
     rows = None
     if any("C" in params for _, _, params in settings):
         rows = train_vectors.count()
-    parts = []
-    for run, name, params in settings:
-        model = classifier(name, label, **mllib_params(name, params, rows)).fit(train_vectors)
-        tagged = {"run": F.lit(run), "model_type": F.lit(model_type_of(name))}
-        parts.append(scored_rows(model, test_vectors, label).withColumns(tagged))
-    return evaluation.metrics(_union(parts), by=["run", "model_type"])
+    fitted = {
+        run: classifier(name, label, **mllib_params(name, params, rows)).fit(train_vectors) for run, name, params in settings
+    }
+    types = F.create_map(*[F.lit(x) for run, name, _ in settings for x in (run, model_type_of(name))])
+    scored = scored_by_models(fitted, test_vectors, label).withColumnRenamed("model", "run")
+    return evaluation.metrics(scored.withColumn("model_type", F.element_at(types, F.col("run"))), by=["run", "model_type"])
 
 
 def importances(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -294,9 +353,6 @@ def combined(df: DataFrame, columns: dict[str, float], threshold: float = 0.5) -
 
 def ensemble(df: DataFrame, models: dict[str, PipelineModel], weights: dict[str, float]) -> DataFrame:
     """All models applied to the same rows one after another, then combined: no join of results."""
-    out = df
-    for name, model in models.items():
-        scored = model.transform(out)
-        probability = F.get(probabilities(scored), F.lit(1)).alias(f"p_{name}")
-        out = scored.select(*out.columns, probability)
+    scores = [F.col(f"p_{name}.score").alias(f"p_{name}") for name in models]
+    out = _chained(models, df).select(*df.columns, *scores)
     return combined(out, {f"p_{name}": weights[name] for name in models})

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +19,9 @@ from ebbtide.streaming import jobs
 FEATURE_NUMERIC = [*NUMERIC, "avg_monthly_charges"]
 FEATURE_CATEGORICAL = [*CATEGORICAL, "tenure_group"]
 KEY = "customer_id"
+#: Labelled rows that searches and sweeps, with their many fits, learn from; single fits take all.
+FIT_ROWS = 10_000
+
 
 def feature_table(spark: SparkSession, d: str) -> DataFrame:
     def build():
@@ -43,6 +48,11 @@ def vector_table(spark: SparkSession, d: str) -> DataFrame:
     return once(spark, d, "vectors", build)
 
 
+def _bounded(rows: DataFrame) -> DataFrame:
+    """At most about ``FIT_ROWS`` of the rows, chosen by a hash of the key; all if there are fewer."""
+    return splitting.hash_split(rows, KEY, min(1.0, FIT_ROWS / max(1, rows.count())), seed=5)[0]
+
+
 def _vector_sides(spark, d):
     rows = vector_table(spark, d)
     return rows.where("split = 'train'"), rows.where("split = 'test'")
@@ -66,17 +76,17 @@ def _(spark, d):
 
 @query("mod_03_logistic_regression")
 def _(spark, d):
-    return _measured(spark, d, models.LOGISTIC, maxIter=50, regParam=0.01)
+    return _measured(spark, d, models.LOGISTIC, maxIter=100, regParam=0.01)
 
 
 @query("mod_04_random_forest")
 def _(spark, d):
-    return _measured(spark, d, models.FOREST, numTrees=20, maxDepth=5)
+    return _measured(spark, d, models.FOREST, numTrees=100, maxDepth=10)
 
 
 @query("mod_05_boosted_trees")
 def _(spark, d):
-    return _measured(spark, d, models.BOOSTED, maxIter=5, maxDepth=4)
+    return _measured(spark, d, models.BOOSTED, maxIter=20, maxDepth=5)
 
 
 @query("mod_06_decision_tree")
@@ -84,52 +94,64 @@ def _(spark, d):
     return _measured(spark, d, models.TREE, maxDepth=6)
 
 
+def _searched(spark, d, name: str) -> DataFrame:
+    """Every setting of the type's whole grid with its mean area over three folds."""
+    training = _bounded(sides(spark, d)[0])
+    pipeline = models.build_pipeline(training, name, FEATURE_NUMERIC, FEATURE_CATEGORICAL)
+    search = models.tune(training, pipeline, models.param_grid(name, pipeline.getStages()[-1]), KEY)
+    named = [json.dumps({p.name: v for p, v in setting.items()}, sort_keys=True) for setting in search.grid]
+    rows = [(s, float(area), i == search.best) for i, (s, area) in enumerate(zip(named, search.avgMetrics))]
+    return spark.createDataFrame(rows, "setting string, roc_auc double, chosen boolean")
+
+
 @query("mod_08_cross_validated_search")
 def _(spark, d):
-    training, _test = sides(spark, d)
-    pipeline = models.build_pipeline(training, models.LOGISTIC, FEATURE_NUMERIC, FEATURE_CATEGORICAL)
-    grid = models.param_grid(models.LOGISTIC, pipeline.getStages()[-1], {"regParam": (0.01, 0.1), "maxIter": (10, 20)})
-    search = models.tune(training, pipeline, grid, KEY)
-    chosen = models.best_params(search)
-    rows = []
-    for setting, area in zip(grid, search.avgMetrics):
-        named = {p.name: v for p, v in setting.items()}
-        rows.append((named["regParam"], named["maxIter"], float(area), all(chosen[k] == v for k, v in named.items())))
-    return spark.createDataFrame(rows, "regParam double, maxIter int, roc_auc double, chosen boolean")
+    return _searched(spark, d, models.LOGISTIC)
+
+
+@query("mod_08_forest_search")
+def _(spark, d):
+    return _searched(spark, d, models.FOREST)
+
+
+@query("mod_08_boosting_search")
+def _(spark, d):
+    return _searched(spark, d, models.BOOSTED)
 
 
 @query("mod_09_fold_scores")
 def _(spark, d):
     training, _test = sides(spark, d)
-    params = {"maxIter": 10, "regParam": 0.01}
+    params = {"maxIter": 100, "regParam": 0.01}
     pipeline = models.build_pipeline(training, models.LOGISTIC, FEATURE_NUMERIC, FEATURE_CATEGORICAL, params=params)
-    return models.cv_scores(training, pipeline, KEY, folds=3)
+    return models.cv_scores(training, pipeline, KEY, folds=5)
 
 
 @query("mod_10_depth_sweep")
 def _(spark, d):
-    return models.depth_sweep(vector_table(spark, d), (2, 4, 6, 8))
+    return models.depth_sweep(_bounded(vector_table(spark, d)))
 
 
 @query("mod_11_named_settings")
 def _(spark, d):
     settings = [
-        ("forest_small", "random_forest", {"n_estimators": 5, "max_depth": 4, "min_samples_leaf": 1}),
-        ("forest_deeper", "random_forest", {"n_estimators": 10, "max_depth": 6, "min_samples_leaf": 2}),
-        ("logistic_weak", "logistic_regression", {"C": 1.0, "max_iter": 20}),
-        ("logistic_strong", "logistic_regression", {"C": 0.1, "max_iter": 20}),
+        ("forest_small", "random_forest", {"n_estimators": 100, "max_depth": 10, "min_samples_split": 2, "min_samples_leaf": 1}),
+        ("forest_deeper", "random_forest", {"n_estimators": 200, "max_depth": 15, "min_samples_split": 5, "min_samples_leaf": 2}),
+        ("logistic_weak", "logistic_regression", {"C": 1.0, "solver": "liblinear", "max_iter": 1000}),
+        ("logistic_strong", "logistic_regression", {"C": 0.1, "solver": "lbfgs", "max_iter": 1000}),
     ]
-    return models.run_settings(*_vector_sides(spark, d), settings)
+    training, test = _vector_sides(spark, d)
+    return models.run_settings(_bounded(training), test, settings)
 
 
 @query("mod_12_feature_importance")
 def _(spark, d):
-    return models.importances(_fitted(spark, d, models.FOREST, numTrees=10, maxDepth=5), sides(spark, d)[0])
+    return models.importances(_fitted(spark, d, models.FOREST, numTrees=100, maxDepth=10), sides(spark, d)[0])
 
 
 @query("scl_10_coefficients")
 def _(spark, d):
-    return models.importances(_fitted(spark, d, models.LOGISTIC, maxIter=20, regParam=0.01), sides(spark, d)[0])
+    return models.importances(_fitted(spark, d, models.LOGISTIC, maxIter=100, regParam=0.01), sides(spark, d)[0])
 
 
 @query("srt_01_top_features")
@@ -140,9 +162,13 @@ def _(spark, d):
 @query("mod_13_ensemble")
 def _(spark, d):
     training, test = sides(spark, d)
-    settings = {models.LOGISTIC: {"maxIter": 20, "regParam": 0.01}, models.FOREST: {"numTrees": 10, "maxDepth": 5}}
+    settings = {models.LOGISTIC: {"maxIter": 100, "regParam": 0.01}, models.FOREST: {"numTrees": 100, "maxDepth": 10}}
+    # weights from rows the weighed models haven't seen
+    folded = splitting.with_fold(_bounded(training), KEY, 5, 9)
+    inside, held = folded.where("fold <> 0"), folded.where("fold = 0")
+    tried = {n: models.build_pipeline(inside, n, FEATURE_NUMERIC, FEATURE_CATEGORICAL, params=p).fit(inside) for n, p in settings.items()}
+    aucs = {r["model"]: r["roc_auc"] for r in evaluation.areas(models.scored_by_models(tried, held), by=["model"]).collect()}
     fitted = {n: _fitted(spark, d, n, **p) for n, p in settings.items()}
-    aucs = {n: evaluation.areas(models.scored_rows(m, training)).first()["roc_auc"] for n, m in fitted.items()}
     out = models.ensemble(test, fitted, models.auc_weights(aucs))
     return evaluation.metrics(out.withColumnRenamed("churn_probability", "score"))
 
@@ -150,23 +176,18 @@ def _(spark, d):
 @query("mod_14_compare_models")
 def _(spark, d):
     training, test = sides(spark, d)
-    params = {
-        models.LOGISTIC: {"maxIter": 20, "regParam": 0.01},
-        models.FOREST: {"numTrees": 10, "maxDepth": 5},
-        models.BOOSTED: {"maxIter": 3, "maxDepth": 3},
-    }
-    return models.compare_models(training, test, FEATURE_NUMERIC, FEATURE_CATEGORICAL, KEY, params=params, tuned=False)
+    return models.compare_models(_bounded(training), test, FEATURE_NUMERIC, FEATURE_CATEGORICAL, KEY)
 
 
 @query("inf_01_model_scores")
 def _(spark, d):
-    model = _fitted(spark, d, models.LOGISTIC, maxIter=20, regParam=0.01)
+    model = _fitted(spark, d, models.LOGISTIC, maxIter=100, regParam=0.01)
     return scoring.score(feature_table(spark, d), model, keep=[KEY])
 
 
 @query("inf_09_explained_scores")
 def _(spark, d):
-    model = _fitted(spark, d, models.FOREST, numTrees=10, maxDepth=5)
+    model = _fitted(spark, d, models.FOREST, numTrees=100, maxDepth=10)
     rows = feature_table(spark, d)
     top = models.top_features(model, rows, 10).agg(
         F.transform(F.sort_array(F.collect_list(F.struct("importance", "feature")), asc=False), lambda s: s["feature"]).alias("f")
@@ -180,10 +201,51 @@ def _(spark, d):
 def _(spark, d):
     training, test = sides(spark, d)
     stages = feature_pipeline(training, FEATURE_NUMERIC, FEATURE_CATEGORICAL, scale_all=True).getStages()
-    model = Pipeline(stages=[*stages, models.classifier(models.LOGISTIC, maxIter=10)]).fit(training)
+    model = Pipeline(stages=[*stages, models.classifier(models.LOGISTIC, maxIter=100)]).fit(training)
     return evaluation.metrics(models.scored_rows(model, test))
 
 
+# --- fitted models whose answer is known ------------------------------------------------------
+
+
+@query(
+    "mod_03_saturated_logistic",
+    f"select contract, {R('avg(churn)', 3)} churn_probability from cleaned group by contract",
+)
+def _(spark, d):
+    """Without penalty and with one category as the only feature, a logistic fit gives each category's churn rate."""
+    rows = cleaned(spark, d).withColumnRenamed("churn", "label").select(KEY, "contract", "label")
+    model = models.build_pipeline(rows, models.LOGISTIC, [], ["contract"], params={"maxIter": 100, "regParam": 0.0, "tol": 1e-9}).fit(rows)
+    scored = scoring.score(rows, model, keep=["contract"])
+    return rounded(scored.groupBy("contract").agg(F.avg("churn_probability").alias("churn_probability")), 3)
+
+
+_RULED = "case when contract in ('1-URGENT', '2-HIGH') and (region in ('ASIA', 'EUROPE') or internet_service = 'BUILDING') then 1 else 0 end"
+_RULE_ANSWER = f"select customer_id, cast({_RULED} as int) prediction from cleaned"
+
+
+def _ruled(spark, d, name: str, **params) -> DataFrame:
+    """Predictions for all rows of a model fitted on labels that follow a rule trees can express exactly."""
+    rows = cleaned(spark, d).select(KEY, "contract", "region", "internet_service", F.expr(_RULED).cast("double").alias("label"))
+    model = models.build_pipeline(rows, name, [], ["contract", "region", "internet_service"], params=params).fit(rows)
+    return scoring.score(rows, model, keep=[KEY]).select(KEY, "prediction")
+
+
+@query("mod_06_tree_learns_rule", _RULE_ANSWER)
+def _(spark, d):
+    return _ruled(spark, d, models.TREE, maxDepth=6)
+
+
+@query("mod_04_forest_learns_rule", _RULE_ANSWER)
+def _(spark, d):
+    return _ruled(spark, d, models.FOREST, numTrees=100, maxDepth=10)
+
+
+@query("mod_05_boosting_learns_rule", _RULE_ANSWER)
+def _(spark, d):
+    return _ruled(spark, d, models.BOOSTED, maxIter=20, maxDepth=5)
+
+
 # --- streams ---------------------------------------------------------------------------------
 
 _PREDICTED = f"customer_id, prediction, {R('churn_probability')} churn_probability, {R('confidence_score')} confidence_score, prediction_label"
