@@ -8,6 +8,7 @@ from ebbtide.operators import evaluation, monitoring, prepare, splitting
 from ebbtide.plans import scoring
 from ebbtide.plans.models import combined
 from ebbtide.queries.base import (
+    NUMERIC,
     SCORERS,
     N,
     R,
@@ -281,11 +282,11 @@ def _sql_psi(columns) -> str:
     )
 
 
-@query("str_03_stability_index", _sql_psi(["tenure", "monthly_charges"]))
+@query("str_03_stability_index", _sql_psi(NUMERIC))
 def _(spark, d):
     rows = cleaned(spark, d)
     early = F.col("snapshot_ts") < F.lit("1998-01-01").cast("timestamp_ntz")
-    return rounded(monitoring.stability_index(rows.where(early), rows.where(~early), ["tenure", "monthly_charges"]))
+    return rounded(monitoring.stability_index(rows.where(early), rows.where(~early), NUMERIC))
 
 
 @query(

@@ -12,6 +12,7 @@ from ebbtide.operators import prepare, profile, scaling, splitting
 from ebbtide.plans.features import feature_stages
 from ebbtide.plans.snapshot import SERVICE_FLAGS, with_services
 from ebbtide.queries.base import (
+    CATEGORICAL,
     NUMERIC,
     N,
     R,
@@ -249,18 +250,18 @@ def _(spark, d):
     return rounded(prepare.clean(gaps, SNAPSHOTS).select("customer_id", "total_charges"))
 
 
-_INDEXED = ["contract", "payment_method", "region"]
+_INDEXED = list(CATEGORICAL)
 
 
 def _sql_index(order: str) -> str:
     return (
         ", counts as ("
-        + " union all ".join(f"select '{c}' col, {c} val, count(*) n from snap group by {c}" for c in _INDEXED)
+        + " union all ".join(f"select '{c}' col, {c} val, count(*) n from typed group by {c}" for c in _INDEXED)
         + f"), idx as (select *, cast(row_number() over (partition by col order by {order}) - 1 as double) i from counts)"
     )
 
 
-_JOINED = "snap " + " ".join(f"join idx {c}_i on {c}_i.col = '{c}' and {c}_i.val = snap.{c}" for c in _INDEXED)
+_JOINED = "typed " + " ".join(f"join idx {c}_i on {c}_i.col = '{c}' and {c}_i.val = typed.{c}" for c in _INDEXED)
 
 
 def _indexed(df, order="frequencyDesc", invalid="keep", fit_on=None):
@@ -271,13 +272,13 @@ def _indexed(df, order="frequencyDesc", invalid="keep", fit_on=None):
 
 @query("fea_04_string_index_keep", _sql_index("n desc, val") + " select customer_id, " + ", ".join(f"{c}_i.i {c}_index" for c in _INDEXED) + " from " + _JOINED)
 def _(spark, d):
-    df, names = _indexed(snap(spark, d).select("customer_id", *_INDEXED))
+    df, names = _indexed(typed(spark, d).select("customer_id", *_INDEXED))
     return df.select("customer_id", *names)
 
 
 @query("fea_05_string_index_error", _sql_index("n desc, val") + " select customer_id, " + ", ".join(f"{c}_i.i {c}_index" for c in _INDEXED) + " from " + _JOINED)
 def _(spark, d):
-    df, names = _indexed(snap(spark, d).select("customer_id", *_INDEXED), invalid="error")
+    df, names = _indexed(typed(spark, d).select("customer_id", *_INDEXED), invalid="error")
     return df.select("customer_id", *names)
 
 
@@ -290,7 +291,7 @@ def _(spark, d):
     + _JOINED,
 )
 def _(spark, d):
-    df, _names = _indexed(snap(spark, d).select("customer_id", *_INDEXED))
+    df, _names = _indexed(typed(spark, d).select("customer_id", *_INDEXED))
     encoder = OneHotEncoder(inputCols=["contract_index"], outputCols=["contract_hot"]).fit(df)
     slots = vector_to_array("contract_hot")
     hot = encoder.transform(df).select("customer_id", slots.alias("a"))
@@ -299,7 +300,7 @@ def _(spark, d):
 
 @query("fea_07_label_encoding", _sql_index("val") + " select customer_id, " + ", ".join(f"{c}_i.i {c}_index" for c in _INDEXED) + " from " + _JOINED)
 def _(spark, d):
-    df, names = _indexed(snap(spark, d).select("customer_id", *_INDEXED), order="alphabetAsc")
+    df, names = _indexed(typed(spark, d).select("customer_id", *_INDEXED), order="alphabetAsc")
     return df.select("customer_id", *names)
 
 
@@ -347,7 +348,7 @@ def _(spark, d):
   from snap group by region""",
 )
 def _(spark, d):
-    df = snap(spark, d).select("customer_id", *_INDEXED)
+    df = typed(spark, d).select("customer_id", *_INDEXED)
     known = df.where(F.col("region") < "EUROPE")
     out, _names = _indexed(df, fit_on=known)
     labels = known.agg(F.count_distinct("region")).scalar()

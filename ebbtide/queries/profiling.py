@@ -119,9 +119,9 @@ _HIST = (
 )
 
 
-@query("agg_09_histograms", _each(_HIST, ["tenure", "monthly_charges"]))
+@query("agg_09_histograms", _each(_HIST, NUMERIC))
 def _(spark, d):
-    return profile.histograms(cleaned(spark, d), ["tenure", "monthly_charges"], 20)
+    return profile.histograms(cleaned(spark, d), NUMERIC, 20)
 
 
 @query("agg_10_class_shares", f"select churn, {N('count(*)')} n, {R('count(*) * 1.0 / (select count(*) from snap)')} share from snap group by churn")
@@ -134,14 +134,31 @@ def _(spark, d):
     return profile.distribution(snap(spark, d), "churn")
 
 
+_ALL = """customer_id, account_id, internet_service, region, contract, payment_method, senior_citizen, tenure,
+    monthly_charges, total_charges, churn, snapshot_ts"""
+
+
+@query("agg_12_duplicates", f"select {N('sum(n - 1)')} duplicate_rows from (select count(*) n from snap group by {_ALL})")
+def _(spark, d):
+    return profile.duplicate_rows(snap(spark, d))
+
+
 _FEW = ["region", "contract", "payment_method", "tenure"]
 
 
-@query("agg_12_duplicates", f"select {N('sum(n - 1)')} duplicate_rows from (select count(*) n from snap group by {', '.join(_FEW)})")
+@query("agg_12_duplicate_profiles", f"select {N('sum(n - 1)')} duplicate_rows from (select count(*) n from snap group by {', '.join(_FEW)})")
 def _(spark, d):
     return profile.duplicate_rows(snap(spark, d).select(*_FEW))
 
 
+@query(
+    "agg_12_duplicate_documents",
+    f"select {N('sum(n - 1)')} duplicate_rows from (select count(*) n from documents group by text, lang, source, n_chars)",
+)
+def _(spark, d):
+    return profile.duplicate_rows(table(spark, d, "documents").drop("doc_id"))
+
+
 @query("agg_13_missing_cells", "select cast(count(*) - count(total_charges) as bigint) missing_cells from typed")
 def _(spark, d):
     return profile.missing_cells(typed(spark, d))
@@ -228,6 +245,8 @@ def _(spark, d):
 
 
 _DOMAINS = {
+    "internet_service": ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD"),
+    "senior_citizen": ("0",),
     "contract": ("1-URGENT", "2-HIGH", "3-MEDIUM", "5-LOW"),
     "payment_method": ("F", "O"),
     "region": ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"),
@@ -237,12 +256,12 @@ _DOMAINS = {
 @query(
     "dq_04_domain_violations",
     " union all ".join(
-        f"select '{c}' \"column\", {c} \"value\", {N('count(*)')} n from snap where {c} not in ({', '.join(repr(v) for v in vs)}) group by {c}"
+        f"select '{c}' \"column\", {c} \"value\", {N('count(*)')} n from typed where {c} not in ({', '.join(repr(v) for v in vs)}) group by {c}"
         for c, vs in _DOMAINS.items()
     ),
 )
 def _(spark, d):
-    return quality.domain_violations(snap(spark, d), _DOMAINS)
+    return quality.domain_violations(typed(spark, d), _DOMAINS)
 
 
 @query(

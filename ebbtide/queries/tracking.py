@@ -44,6 +44,9 @@ def _stage_events(versions):
     )
 
 
+MEASURES = list(evaluation.MEASURES)
+
+
 @query("snk_07_run_metrics", SQL_RUNS + ", long as (" + " union all ".join(f"select run_id, '{m}' metric, \"{m}\" \"value\" from runs" for m in evaluation.MEASURES) + f") select run_id, metric, {R('\"value\"')} \"value\" from long")
 def _(spark, d):
     store = tracking.RunStore(spark, fresh_path(spark, "runs"))
@@ -83,24 +86,24 @@ def _(spark, d):
 @query(
     "reg_02_runs_wide",
     SQL_RUNS
-    + f"""select run_id, status, {R('roc_auc')} as "metrics.roc_auc", {R('accuracy')} as "metrics.accuracy",
+    + f"""select run_id, status, {", ".join(f'{R(chr(34) + m + chr(34))} as "metrics.{m}"' for m in MEASURES)},
     model_type as "params.model_type", framework as "params.region" from runs""",
 )
 def _(spark, d):
     runs, metrics = _runs_metrics(spark, d)
     params = runs.unpivot(["run_id"], ["model_type", "framework"], "param", "value").replace("framework", "region", "param")
-    wide = tracking.runs_wide(runs.select("run_id", "status"), metrics, params, ["roc_auc", "accuracy"], ["model_type", "region"])
+    wide = tracking.runs_wide(runs.select("run_id", "status"), metrics, params, MEASURES, ["model_type", "region"])
     return rounded(wide)
 
 
 @query(
     "scl_12_plain_names",
     SQL_RUNS
-    + f"""select run_id, 'roc_auc' metric, {R('roc_auc')} "value" from runs union all select run_id, 'accuracy', {R('accuracy')} from runs""",
+    + " union all ".join(f"""select run_id, '{m}' metric, {R(chr(34) + m + chr(34))} "value" from runs""" for m in MEASURES),
 )
 def _(spark, d):
     runs, metrics = _runs_metrics(spark, d)
-    wide = tracking.runs_wide(runs.select("run_id"), metrics, None, ["roc_auc", "accuracy"])
+    wide = tracking.runs_wide(runs.select("run_id"), metrics, None, MEASURES)
     return rounded(tracking.long_entries(wide))
 
 
