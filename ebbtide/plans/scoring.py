@@ -65,13 +65,19 @@ def score_stats(scored: DataFrame, confident: float = 0.8) -> DataFrame:
     )
 
 
-def file_stats(scored: DataFrame) -> DataFrame:
-    """Totals over everything scored, however many files or batches it came in."""
-    churned = F.count_if(F.col("prediction") == 1)
-    return scored.agg(
-        F.count(F.lit(1)).alias("total_processed"),
-        churned.alias("total_churn_predicted"),
-        F.try_divide(churned, F.count(F.lit(1))).alias("churn_rate"),
+def file_stats(scored: DataFrame, read: DataFrame | None = None) -> DataFrame:
+    """Totals over everything scored, however many files or batches it came in.
+
+    ``read``, the rows before scoring, tells what the model skipped for missing features:
+    ``total_processed`` counts all of them, the churn rate is that of the scored ones.
+    """
+    churned, n = F.count_if(F.col("prediction") == 1), F.count(F.lit(1))
+    total = n if read is None else read.agg(n.alias("n")).scalar()
+    return scored.agg(n.alias("scored"), churned.alias("churned")).select(
+        (F.col("scored") if read is None else total).alias("total_processed"),
+        F.col("churned").alias("total_churn_predicted"),
+        F.try_divide("churned", "scored").alias("churn_rate"),
+        ((F.lit(0) if read is None else total - F.col("scored"))).cast("long").alias("dropped_rows"),
     )
 
 
@@ -101,4 +107,4 @@ def score_files(spark: SparkSession, source: str, target: str, model, required=(
     scored = score(prepare(df) if prepare else df, model)
     write_predictions(scored, target, out_fmt, include_input=True)
     written = spark.read.format(out_fmt).schema(scored.schema).option("header", True).load(target)
-    return file_stats(written).withColumn("output_file", F.lit(target))
+    return file_stats(written, df).withColumn("output_file", F.lit(target))

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from ebbtide.operators import evaluation, monitoring, prepare, splitting
 from ebbtide.plans import scoring
+from ebbtide.plans.features import feature_pipeline
 from ebbtide.plans.models import combined
 from ebbtide.queries.base import (
     NUMERIC,
@@ -21,6 +23,7 @@ from ebbtide.queries.base import (
     snap,
     sql_long,
     sql_measures,
+    typed,
 )
 from ebbtide.schema import SNAPSHOTS
 from ebbtide.session import fresh_path
@@ -188,7 +191,7 @@ def _(spark, d):
 
 @query(
     "inf_10_score_files",
-    f"select {N('count(*)')} total_processed, {N('sum(prediction)')} total_churn_predicted, {R('avg(prediction)')} churn_rate from scored",
+    f"select {N('count(*)')} total_processed, {N('sum(prediction)')} total_churn_predicted, {R('avg(prediction)')} churn_rate, cast(0 as bigint) dropped_rows from scored",
 )
 def _(spark, d):
     source, target = fresh_path(spark, "to-score"), fresh_path(spark, "scored")
@@ -206,6 +209,20 @@ def _(spark, d):
     return rounded(totals.drop("output_file"))
 
 
+@query(
+    "inf_10_rows_with_gaps",
+    f"select {N('count(*)')} total_processed, {N('count(*) - count(total_charges)')} dropped_rows from typed",
+)
+def _(spark, d):
+    """Rows without a total, which a fitted pipeline's assembler skips, still count as processed."""
+    fitted = feature_pipeline(cleaned(spark, d), NUMERIC, []).fit(cleaned(spark, d))
+    model = PipelineModel(stages=[*fitted.stages, *fixed_model().stages])
+    source, target = fresh_path(spark, "to-score"), fresh_path(spark, "scored")
+    write_table(typed(spark, d), source, "parquet")
+    totals = scoring.score_files(spark, source, target, model, SNAPSHOTS.required, fmt="parquet", prepare=lambda df: df.drop("churn"))
+    return totals.select("total_processed", "dropped_rows")
+
+
 @query(
     "inf_11_smoke_scoring",
     f"""select {N('count(*)')} total_predictions, {N('sum(prediction)')} predicted_churn_count, {R('avg(prediction)')} predicted_churn_rate,

@@ -299,4 +299,4 @@ def _(spark, d):
   from scored""",
 )
 def _(spark, d):
-    return rounded(file_stats(scored(spark, d)))
+    return rounded(file_stats(scored(spark, d)).drop("dropped_rows"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ebbtide.operators import evaluation, prepare, splitting
 from ebbtide.plans import models, scoring
 from ebbtide.plans.features import feature_names, feature_pipeline, vector_names
-from ebbtide.plans.runs import RunStore, load_model, training_summary
+from ebbtide.plans.runs import SCHEMAS, RunStore, current_stages, load_model, training_summary
 from ebbtide.schema import CUSTOMERS
 from ebbtide.sources.writers import prediction_metadata, stamped_path, write_predictions
 
@@ -95,6 +95,25 @@ def test_translated_parameters():
     assert models.mllib_params("gradient_boosting", {"n_estimators": 4}) == {"maxIter": 4}
 
 
+def test_unknown_settings_are_errors():
+    with pytest.raises(ValueError, match="no setting max_dept"):
+        models.mllib_params("random_forest", {"max_dept": 3})
+
+
+def test_scores_decide_unrounded(spark):
+    df = spark.createDataFrame([(0.00015,), (-0.00015,)], "x double")
+    rows = scoring.score(df, scoring.logistic_scorer(0.0, {"x": 1.0})).collect()
+    assert [r["prediction_label"] for r in rows] == ["Churn", "No Churn"] and 0.5 < rows[0]["churn_probability"] < 0.5001
+
+
+def test_two_savers_keep_both_models(spark, logistic, tmp_path):
+    store, day = RunStore(spark, str(tmp_path)), datetime(2024, 1, 1)
+    store.append("model_versions", [("m", 1, "a", "/x/a", day), ("m", 1, "b", "/x/b", day), ("m", 2, "c", "/x/c", day)])
+    assert [(r["version"], r["run_id"]) for r in store.versions().orderBy("version").collect()] == [(1, "a"), (2, "b"), (3, "c")]
+    stages = spark.createDataFrame([("m", 1, "Production", day), ("m", 1, "Staging", day)], SCHEMAS["model_stages"])
+    assert current_stages(store.versions(), stages).where("version = 1").first()["stage"] == "Production"
+
+
 def test_grids():
     assert len(models.param_grid(models.LOGISTIC, models.classifier(models.LOGISTIC))) == 6
     assert models.param_grid(models.FOREST, models.classifier(models.FOREST), {}) == [{}]
@@ -225,7 +244,7 @@ def test_run_store(spark, logistic, tmp_path):
         assert store.save_model(logistic, "churn_lr", f"r{i}", day[i]) == i + 1
     assert store.table("runs").count() == 3
     deployed = store.deploy_best("churn", "roc_auc", "churn_lr", day[4])
-    assert deployed["version"] == 2 and deployed["model_path"].endswith("/churn_lr/2")
+    assert deployed["version"] == 2 and deployed["model_path"] == store.versions().where("version = 2").first()["path"]
     assert store.promote("churn_lr", day[5]) == 3
     assert store.promote("churn_lr", day[6]) == 1
     with pytest.raises(ValueError, match="to promote"):

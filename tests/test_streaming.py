@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from ebbtide.operators import monitoring, prepare
 from ebbtide.plans.scoring import logistic_scorer, score
+from ebbtide.sources.tables import read_customers
 from ebbtide.streaming import jobs
 
 
@@ -49,3 +50,36 @@ def test_windows_of_a_stream_equal_batch_once_closed(spark, tmp_path):
     spark.createDataFrame(late, schema).coalesce(1).write.mode("append").parquet(source)
     run()
     assert sorted(spark.read.parquet(target).collect()) == expected
+
+
+def test_plain_times_have_the_same_windows_in_any_zone(spark, tmp_path):
+    """A stream's windows over plain times are those of batch, also where the session's zone isn't UTC."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        rows = [(datetime(2024, 3, 9) + timedelta(hours=h), h % 2, h / 128) for h in range(80)]
+        frame = spark.createDataFrame(rows, "ts timestamp_ntz, prediction int, churn_probability double")
+        source, target, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+        frame.coalesce(1).write.parquet(source)
+        stream = jobs.arriving_files(spark, source, frame.schema, "parquet")
+        jobs.monitor_stream(stream, "ts", target, state, delay="2 hours").awaitTermination()
+        batch = monitoring.prediction_windows(frame, "ts")
+        streamed = spark.read.parquet(target)
+        assert streamed.dtypes == batch.dtypes
+        assert sorted(streamed.collect()) == sorted(batch.where("window_end <= timestamp_ntz'2024-03-12'").collect())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_files_with_another_header_are_an_error(spark, tmp_path):
+    for name, columns in (("a", "tenure,MonthlyCharges\n1,20.5\n"), ("b", "MonthlyCharges,tenure\n7.5,3\n")):
+        (tmp_path / f"{name}.csv").write_text(columns)
+    with pytest.raises(Exception, match="(?i)header"):
+        read_customers(spark, str(tmp_path)).collect()
+    one = read_customers(spark, str(tmp_path / "b.csv")).first()
+    assert (one["tenure"], one["MonthlyCharges"]) == (3, 7.5)
+
+
+def test_stored_columns_get_the_declared_types(spark, tmp_path):
+    spark.range(1).selectExpr("cast(5 as bigint) tenure", "'x' extra").write.parquet(str(tmp_path / "t"))
+    assert dict(read_customers(spark, str(tmp_path / "t"), "parquet").dtypes) == {"tenure": "int", "extra": "string"}
