@@ -7,6 +7,7 @@ those into probabilities. Driver and workers need numpy only.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 import numpy as np
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ebbtide.llm.common import extended, narrow
+from ebbtide.llm.worker import kept
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -226,8 +228,10 @@ def identify(docs: DataFrame, net: ByteNet | None, text_col: str = "text") -> Da
     """
     at = [c for c in docs.columns if c not in ("lang_pred", "score")].index(text_col)
 
+    id_of = uuid.uuid4().hex
+
     def run(batches):
-        scorer = net.scorer() if net else None
+        scorer = kept(("language", id_of), net.scorer) if net else None
         for batch in batches:
             texts, found = batch.column(at), []
             for i in range(0, len(texts), 256):

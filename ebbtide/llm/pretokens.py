@@ -22,6 +22,8 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 import numpy as np  # noqa: E402
 from tokenizers import Tokenizer  # noqa: E402
 
+from ebbtide.llm.worker import kept  # noqa: E402
+
 LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 #: Parts of this alphabet are cut by the patterns below: no apostrophe, no "<", no white space.
 PLAIN = re.compile(rf"[{LETTERS}0-9!-&(-;=-@\[-`{{-~]+")
@@ -133,11 +135,6 @@ class WordIds:
         return np.frombuffer(b"".join(map(self.parts.__getitem__, parts)), "<u2")
 
 
-_KEPT: dict[tuple, object] = {}
-
-
 def of_worker(kind, path: str):
     """The worker's own tokenizer of this kind and file."""
-    if (kind, path) not in _KEPT:
-        _KEPT[kind, path] = kind(path)
-    return _KEPT[kind, path]
+    return kept((kind, path), lambda: kind(path))

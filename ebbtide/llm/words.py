@@ -5,6 +5,8 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
+from ebbtide.llm.worker import kept
+
 SPAN = 1 << 20
 MEMO_WORDS = 400_000
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
@@ -20,9 +22,6 @@ class _Memo(dict):
         return h
 
 
-_HASHES = _Memo()
-
-
 def _spans(data: bytes):
     """``data`` cut before white space into parts of about a megabyte, so that no word is cut."""
     start = 0
@@ -37,10 +36,10 @@ def _spans(data: bytes):
 
 def word_hashes(data: bytes) -> np.ndarray:
     """Hashes of the words between white space (space and bytes 9 to 13), in order."""
-    found = []
+    known, found = kept("words", _Memo).__getitem__, []
     for part in _spans(data):
         words = part.split()
-        found.append(np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words)))
+        found.append(np.fromiter(map(known, words), np.uint64, len(words)))
     return found[0] if len(found) == 1 else np.concatenate(found)
 
 
