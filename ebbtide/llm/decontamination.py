@@ -51,17 +51,24 @@ def fingerprints(words: np.ndarray, lengths: tuple[int, ...], seen: bytes | None
     With ``seen``, only those whose bit is set there. Around a gram are the words that a window with
     it can reach; ``before`` of them are in front.
     """
-    for n in (GRAM, *lengths):
-        grams = gram_hashes(words, n)
-        if n in lengths:
-            grams = ~grams  # apart from the winnowed ones
-        at = np.arange(len(grams)) if seen is None else np.flatnonzero(in_bitmap(grams, seen))
-        if n not in lengths and len(at):
-            at = at[kept(grams)[at]]
-        reach = 0 if n in lengths else WINDOW - GRAM
-        for i in at.tolist():
-            lo = max(0, i - reach)
-            yield int(grams[i].view(np.int64)), i, i - lo, words[lo : i + n + reach].astype("<u8").tobytes()
+    grams = gram_hashes(words, GRAM)
+    at = _places(grams, seen)
+    if len(at):
+        at = at[kept(grams)[at]]
+    yield from _around(words, grams, at, GRAM, WINDOW - GRAM)
+    for n in lengths:
+        grams = ~gram_hashes(words, n)  # apart from the winnowed ones
+        yield from _around(words, grams, _places(grams, seen), n, 0)
+
+
+def _places(grams: np.ndarray, seen: bytes | None) -> np.ndarray:
+    return np.arange(len(grams)) if seen is None else np.flatnonzero(in_bitmap(grams, seen))
+
+
+def _around(words: np.ndarray, grams: np.ndarray, at: np.ndarray, n: int, reach: int):
+    for i in at.tolist():
+        lo = max(0, i - reach)
+        yield int(grams[i].view(np.int64)), i, i - lo, words[lo : i + n + reach].astype("<u8").tobytes()
 
 
 _PRINT = "struct<hash:long,place:long,before:int,around:binary>"

@@ -154,6 +154,20 @@ def test_decontamination_of_odd_rows(spark):
     assert decontamination.find_contamination(df.limit(0), bench).count() == 0
 
 
+def test_decontamination_with_items_of_every_short_length(spark):
+    """A short item as long as the winnowed grams takes nothing from the long ones."""
+    rng = np.random.default_rng(7)
+    text = lambda n: " ".join(f"w{i}" for i in rng.integers(0, 500, n))
+    items = [(n, text(n)) for n in (5, 10, 13, 40)]
+    docs = [(n, f"{text(30)} {item} {text(30)}") for n, item in items] + [(50, " ".join(items[3][1].split()[7:20])), (51, text(90)), (52, items[0][1])]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    for chosen in (items, [*items, *[(n, text(n)) for n in range(1, 10)]]):
+        got = decontamination.find_contamination(df, spark.createDataFrame(chosen, "item_id long, text string")).collect()
+        want = _contamination(docs, chosen)
+        assert sorted(((r["doc_id"], r["n_words"], r["n_hit"], r["item_ids"]) for r in got), key=str) == want
+        assert sum(hit > 0 for _, _, hit, _ in want) >= 6
+
+
 def test_chunks_resist_shifts():
     rng = np.random.default_rng(8)
     data = bytes(rng.integers(97, 123, 5000).astype(np.uint8))
