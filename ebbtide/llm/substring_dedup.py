@@ -87,11 +87,13 @@ def repeated_spans(
     """``doc_id, start, end, first_doc_id, first_start, is_first``: passages that other documents have too.
 
     Texts are cut into chunks by content, so that insertions move borders only nearby; chunks are
-    told apart by digest. A span is a run of chunks that each occur in two documents or more, at
-    most ``bridge`` bytes apart, and at least ``min_bytes``
-    long; places are bytes of the UTF-8 text, end exclusive. Of every passage the occurrence with
-    the smallest (doc_id, row, place) is the first; ``is_first`` tells whether the span is that
-    itself. A passage of fewer than some 300 bytes may be missed, as may both ends of a span.
+    told apart by digest. A run is of chunks that each occur in two documents or more, at most
+    ``bridge`` bytes apart, and at least ``min_bytes`` long; places are bytes of the UTF-8 text, end
+    exclusive. Of every chunk the occurrence with the smallest (doc_id, row, place) is the first, and
+    a run falls into a span for each part whose chunks have their first occurrence in the same row;
+    ``is_first`` tells whether that row is the span's own. Chunks from elsewhere that make up less
+    than ``min_bytes`` beside a first occurrence belong to it. A passage of fewer than some 300 bytes
+    may be missed, as may both ends of a run.
 
     A row for every span of every document: none for null, empty or unshared texts. Null ids are
     ids like others, before all; rows with the same id are different documents; an empty table has
@@ -106,14 +108,28 @@ def repeated_spans(
     shared = cut.groupBy("digest").agg(F.min("row").alias("low"), F.max("row").alias("high"), F.min(place).alias("first"))
     shared = shared.where("low <> high").select("digest", "first")
     found = cut.join(shared, "digest")
-    # a new span begins where the chunk before ends too far away
+    # a new run begins where the chunk before ends too far away
+    before = "partition by row order by start rows between unbounded preceding and 1 preceding"
+    to_here = "order by start rows unbounded preceding"
     found = found.selectExpr(
-        "*", f"coalesce(start - max(end) over (partition by row order by start rows between unbounded preceding and 1 preceding) > {int(bridge)}, true) as opens"
-    ).selectExpr("*", "sum(cast(opens as int)) over (partition by row order by start rows unbounded preceding) as span")
-    spans = found.groupBy("row", "span").agg(
+        "*", "first.row = row as own", f"coalesce(start - max(end) over ({before}) > {int(bridge)}, true) as opens"
+    ).selectExpr("*", f"sum(cast(opens as int)) over (partition by row {to_here}) as run")
+    # stretches of a run with, or without, their first occurrence here
+    turn = "coalesce(own <> lag(own) over (partition by row, run order by start), true)"
+    found = found.selectExpr("*", f"{turn} as turns").selectExpr("*", f"sum(cast(turns as int)) over (partition by row, run {to_here}) as stretch")
+    size = "max(end) over (partition by row, run{0}) - min(start) over (partition by row, run{0})"
+    found = found.selectExpr(
+        "*", f"{size.format('')} as run_bytes", f"{size.format(', stretch')} as bytes", "bool_or(own) over (partition by row, run) as leads"
+    ).where(F.col("run_bytes") >= min_bytes)
+    # less than a passage beside a first occurrence belongs to that
+    stays = F.col("leads") & ~F.col("own") & (F.col("bytes") < min_bytes)
+    found = found.withColumn("first", F.when(stays, place).otherwise(F.col("first")))
+    moves = "coalesce(first.row <> lag(first.row) over (partition by row, run order by start), true)"
+    found = found.selectExpr("*", f"{moves} as moves").selectExpr("*", f"sum(cast(moves as int)) over (partition by row, run {to_here}) as part")
+    spans = found.groupBy("row", "run", "part").agg(
         F.min("doc_id").alias("doc_id"), F.min("start").alias("start"), F.max("end").alias("end"), F.min_by("first", "start").alias("first")
     )
-    return spans.where(F.col("end") - F.col("start") >= min_bytes).select(
+    return spans.select(
         "doc_id",
         "start",
         "end",
@@ -138,8 +154,13 @@ def without_repeats(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", t
             for text, cuts in zip(batch.column(at).to_pylist(), batch.column(batch.num_columns - 1).to_pylist()):
                 if text is not None and cuts:
                     data, kept, done = text.encode("utf-8", "surrogatepass"), [], 0
-                    for c in cuts:
-                        s, e = c["start"], c["end"]
+                    joined_cuts = []
+                    for c in cuts:  # those that touch are one, so that no character stays between them
+                        if joined_cuts and c["start"] <= joined_cuts[-1][1]:
+                            joined_cuts[-1][1] = max(joined_cuts[-1][1], c["end"])
+                        else:
+                            joined_cuts.append([c["start"], c["end"]])
+                    for s, e in joined_cuts:
                         while s < len(data) and data[s] & 0xC0 == 0x80:
                             s += 1
                         while e < len(data) and data[e] & 0xC0 == 0x80:

@@ -199,6 +199,29 @@ def test_repeated_passages(spark):
     assert substring_dedup.repeated_spans(df.limit(0)).count() == 0
 
 
+def test_adjacent_passages_are_judged_apart(spark):
+    """Of passages next to each other, each one keeps its first copy and loses the others; a first copy gets no holes."""
+    rng = np.random.default_rng(11)
+    text = lambda n: " ".join("".join(chr(97 + c) for c in rng.integers(0, 26, 6)) for _ in range(n))
+    docs, whole, once = [], {}, []
+    for at in range(0, 60, 10):
+        a, b, c, d, x = text(60), text(60), text(60), text(60), text(14)
+        around = lambda t: f"{text(30)} {t} {text(30)}"
+        # row 1 has the first of two passages, then the second; a short line inside, and in front of, a passage
+        docs += [(at, around(a)), (at + 1, around(f"{a} {b}")), (at + 2, around(b)), (at + 3, around(f"{a} {b}"))]
+        docs += [(at + 4, around(d)), (at + 5, around(f"{c} {d}")), (at + 6, around(f"{c} {d}")), (at + 7, around(c))]
+        once += [t[150:-150] for t in (a, b, c, d)]
+        p, q, r = text(40), text(40), text(60)
+        docs += [(100 + at, around(x)), (101 + at, around(f"{p} {x} {q}")), (102 + at, around(f"{p} {x} {q}"))]
+        docs += [(103 + at, around(f"{x} {r}")), (104 + at, around(f"{x} {r}"))]
+        whole |= {101 + at: f"{p} {x} {q}", 103 + at: f"{x} {r}"}
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    cut = dict(substring_dedup.without_repeats(df, substring_dedup.repeated_spans(df)).select("doc_id", "text").collect())
+    assert [sum(t in left for left in cut.values()) for t in once] == [1] * len(once)
+    assert all(t in cut[i] for i, t in whole.items())
+    assert not any(t[150:-150] in cut[i + 1] for i, t in whole.items())
+
+
 def test_repeated_passages_query(spark):
     """Documents that share 50 words are found; what is found shares at least 15."""
     docs = [tuple(r) for r in _documents(spark)]
