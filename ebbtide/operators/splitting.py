@@ -16,6 +16,12 @@ def hash_split(df: DataFrame, key: str, ratio: float = 0.8, seed: int = 42) -> t
     return df.where(below), df.where(~below)
 
 
+def at_most(df: DataFrame, key: str, rows: int, seed: int = 5) -> DataFrame:
+    """At most about ``rows`` of the rows, chosen by a hash of the key; all if there are fewer."""
+    n = df.count()
+    return df if n <= rows else hash_split(df, key, rows / n, seed)[0]
+
+
 def with_split(df: DataFrame, key: str, ratio: float = 0.8, seed: int = 42) -> DataFrame:
     """The same split as a column ``split`` with ``train`` and ``test``."""
     side = F.when(hash_unit(F.col(key), seed) < ratio, "train").otherwise("test")

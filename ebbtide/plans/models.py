@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ebbtide.functions.scalars import probabilities
 from ebbtide.operators import evaluation
-from ebbtide.operators.splitting import class_weights, with_fold
+from ebbtide.operators.splitting import at_most, class_weights, with_fold
 from ebbtide.plans.features import FEATURES, feature_pipeline, vector_names
 
 # Names callers use for the model types.
@@ -151,18 +151,23 @@ class Search:
         return max(range(len(self.grid)), key=lambda i: (self.avgMetrics[i], -i))
 
 
+def _to_fit(df: DataFrame, key: str | None, fit_rows: int | None) -> DataFrame:
+    return df if fit_rows is None else at_most(df, key, fit_rows)
+
+
 def tune(df: DataFrame, pipeline: Pipeline, grid: list[dict], key: str, label: str = "label", folds: int = 3,
-         seed: int = 42, parallelism: int = 4) -> Search:
+         seed: int = 42, parallelism: int = 4, fit_rows: int | None = None) -> Search:
     """Grid search by cross-validation on the area under ROC. Folds come from the key, so every run has the same ones.
 
-    Preparation is fitted once per fold, on the rows outside it, and kept for all settings.
+    Preparation is fitted once per fold, on the rows outside it, and kept for all settings. With
+    ``fit_rows``, fits take at most about so many rows; every row of a fold is measured all the same.
     """
     split = with_fold(df, key, folds, seed)
     *stages, last = pipeline.getStages()
     areas = [[] for _ in grid]
     with ThreadPoolExecutor(parallelism) as pool:
         for i in range(folds):
-            inside = split.where(F.col("fold") != i)
+            inside = _to_fit(split.where(F.col("fold") != i), key, fit_rows)
             prepared = Pipeline(stages=stages).fit(inside)
             columns = [FEATURES, label, *([last.getWeightCol()] if last.isDefined("weightCol") else [])]
             training = prepared.transform(inside).select(*columns).persist()
@@ -178,7 +183,7 @@ def tune(df: DataFrame, pipeline: Pipeline, grid: list[dict], key: str, label: s
             finally:
                 training.unpersist(), held.unpersist()
     search = Search(None, grid, areas)
-    search.bestModel = pipeline.fit(df, grid[search.best])
+    search.bestModel = pipeline.fit(_to_fit(df, key, fit_rows), grid[search.best])
     return search
 
 
@@ -224,7 +229,7 @@ class Training:
 
 def train(train_df: DataFrame, test_df: DataFrame | None, name: str, numeric, categorical, key: str, label: str = "label",
           tuned: bool = True, grid: dict | None = None, folds: int = 3, params: dict | None = None,
-          balanced: bool = False, **feature_options) -> Training:
+          balanced: bool = False, fit_rows: int | None = None, **feature_options) -> Training:
     """Fit one model type, tuned or not, and evaluate it on the test rows. Unlabelled rows are left out."""
     started = time.perf_counter()
     rows = train_df.where(F.col(label).isNotNull())
@@ -235,10 +240,10 @@ def train(train_df: DataFrame, test_df: DataFrame | None, name: str, numeric, ca
     )
     if tuned:
         chosen = param_grid(name, pipeline.getStages()[-1], grid)
-        search = tune(rows, pipeline, chosen, key, label, folds)
+        search = tune(rows, pipeline, chosen, key, label, folds, fit_rows=fit_rows)
         model, areas = search.bestModel, search.areas[search.best]
     else:
-        model, areas = pipeline.fit(rows), []
+        model, areas = pipeline.fit(_to_fit(rows, key, fit_rows)), []
     result = Training(model_type_of(name), model, time.perf_counter() - started, best_params(model))
     if areas:
         result.folds = {"cv_roc_auc_mean": statistics.fmean(areas), "cv_roc_auc_std": statistics.pstdev(areas)}
@@ -273,12 +278,15 @@ def compare_models(train_df: DataFrame, test_df: DataFrame, numeric, categorical
     return table.join(evaluation.metrics(scored, by="model_type"), "model_type")
 
 
-def depth_sweep(vectors: DataFrame, depths=tuple(range(2, 21)), label: str = "label", seed: int = 42) -> DataFrame:
+def depth_sweep(vectors: DataFrame, depths=tuple(range(2, 21)), label: str = "label", seed: int = 42,
+                key: str | None = None, fit_rows: int | None = None) -> DataFrame:
     """Rows ``(max_depth, split, roc_auc, pr_auc)`` of decision trees of growing depth.
 
     ``vectors`` holds ``features``, the label and a ``split`` column; all areas are one job.
+    With ``fit_rows``, trees are fitted on at most about so many training rows, chosen by ``key``, and
+    measured on all rows.
     """
-    training = vectors.where(F.col("split") == "train").select(FEATURES, label).persist()
+    training = _to_fit(vectors.where(F.col("split") == "train"), key, fit_rows).select(FEATURES, label).persist()
     try:
         with ThreadPoolExecutor(4) as pool:
             fitted = pool.map(lambda d: classifier(TREE, label, seed=seed, maxDepth=d).fit(training), depths)

@@ -20,6 +20,7 @@ FEATURE_NUMERIC = [*NUMERIC, "avg_monthly_charges"]
 FEATURE_CATEGORICAL = [*CATEGORICAL, "tenure_group"]
 KEY = "customer_id"
 #: Labelled rows that searches and sweeps, with their many fits, learn from; single fits take all.
+#: Measures are of all rows of a split or fold.
 FIT_ROWS = 10_000
 
 
@@ -50,7 +51,7 @@ def vector_table(spark: SparkSession, d: str) -> DataFrame:
 
 def _bounded(rows: DataFrame) -> DataFrame:
     """At most about ``FIT_ROWS`` of the rows, chosen by a hash of the key; all if there are fewer."""
-    return splitting.hash_split(rows, KEY, min(1.0, FIT_ROWS / max(1, rows.count())), seed=5)[0]
+    return splitting.at_most(rows, KEY, FIT_ROWS)
 
 
 def _vector_sides(spark, d):
@@ -96,9 +97,9 @@ def _(spark, d):
 
 def _searched(spark, d, name: str) -> DataFrame:
     """Every setting of the type's whole grid with its mean area over three folds."""
-    training = _bounded(sides(spark, d)[0])
+    training = sides(spark, d)[0]
     pipeline = models.build_pipeline(training, name, FEATURE_NUMERIC, FEATURE_CATEGORICAL)
-    search = models.tune(training, pipeline, models.param_grid(name, pipeline.getStages()[-1]), KEY)
+    search = models.tune(training, pipeline, models.param_grid(name, pipeline.getStages()[-1]), KEY, fit_rows=FIT_ROWS)
     named = [json.dumps({p.name: v for p, v in setting.items()}, sort_keys=True) for setting in search.grid]
     rows = [(s, float(area), i == search.best) for i, (s, area) in enumerate(zip(named, search.avgMetrics))]
     return spark.createDataFrame(rows, "setting string, roc_auc double, chosen boolean")
@@ -129,7 +130,7 @@ def _(spark, d):
 
 @query("mod_10_depth_sweep")
 def _(spark, d):
-    return models.depth_sweep(_bounded(vector_table(spark, d)))
+    return models.depth_sweep(vector_table(spark, d), key=KEY, fit_rows=FIT_ROWS)
 
 
 @query("mod_11_named_settings")
@@ -164,8 +165,8 @@ def _(spark, d):
     training, test = sides(spark, d)
     settings = {models.LOGISTIC: {"maxIter": 100, "regParam": 0.01}, models.FOREST: {"numTrees": 100, "maxDepth": 10}}
     # weights from rows the weighed models haven't seen
-    folded = splitting.with_fold(_bounded(training), KEY, 5, 9)
-    inside, held = folded.where("fold <> 0"), folded.where("fold = 0")
+    folded = splitting.with_fold(training, KEY, 5, 9)
+    inside, held = _bounded(folded.where("fold <> 0")), folded.where("fold = 0")
     tried = {n: models.build_pipeline(inside, n, FEATURE_NUMERIC, FEATURE_CATEGORICAL, params=p).fit(inside) for n, p in settings.items()}
     aucs = {r["model"]: r["roc_auc"] for r in evaluation.areas(models.scored_by_models(tried, held), by=["model"]).collect()}
     fitted = {n: _fitted(spark, d, n, **p) for n, p in settings.items()}
@@ -176,7 +177,7 @@ def _(spark, d):
 @query("mod_14_compare_models")
 def _(spark, d):
     training, test = sides(spark, d)
-    return models.compare_models(_bounded(training), test, FEATURE_NUMERIC, FEATURE_CATEGORICAL, KEY)
+    return models.compare_models(training, test, FEATURE_NUMERIC, FEATURE_CATEGORICAL, KEY, fit_rows=FIT_ROWS)
 
 
 @query("inf_01_model_scores")

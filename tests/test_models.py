@@ -2,14 +2,16 @@ import math
 from datetime import datetime
 
 import pytest
-from pyspark.ml import PipelineModel
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from ebbtide.operators import evaluation, prepare, splitting
 from ebbtide.plans import models, scoring
 from ebbtide.plans.features import feature_names, feature_pipeline, vector_names
 from ebbtide.plans.runs import SCHEMAS, RunStore, current_stages, load_model, training_summary
+from ebbtide.queries import modelling
+from ebbtide.queries.base import QUERIES
 from ebbtide.schema import CUSTOMERS
 from ebbtide.sources.writers import prediction_metadata, stamped_path, write_predictions
 
@@ -172,6 +174,41 @@ def test_depth_sweep(sides):
     assert len(out) == 4 and out[8, "train"] > out[2, "train"]
 
 
+def test_bounded_fits_are_measured_on_all_rows(spark, sides, monkeypatch):
+    both = sides[0].unionByName(sides[1])
+    vectors = both.select(KEY, vector_assembled().alias("features"), "label", "split").cache()
+    training = vectors.where("split = 'train'")
+    few = splitting.hash_split(training, KEY, 100 / training.count(), 5)[0]
+    tree = models.classifier(models.TREE, maxDepth=3).fit(few.select("features", "label"))
+    want = evaluation.areas(models.scored_rows(tree, vectors, keep=["split"]), by=["split"]).collect()
+    swept = models.depth_sweep(vectors, (3,), key=KEY, fit_rows=100).collect()
+    assert {r["split"]: r["roc_auc"] for r in swept} == {r["split"]: pytest.approx(r["roc_auc"]) for r in want}
+
+    measured = []
+
+    class Counting:
+        def evaluate(self, df):
+            measured.append(df.count())
+            return 0.5
+
+    monkeypatch.setattr(models, "_evaluator", lambda label: Counting())
+    search = Pipeline(stages=[models.classifier(models.LOGISTIC, maxIter=2)])
+    models.tune(training, search, [{}], KEY, folds=2, fit_rows=100)
+    assert sum(measured) == training.count()
+
+
+def vector_assembled():
+    return array_to_vector(F.array(F.col("tenure").cast("double"), F.col("MonthlyCharges").cast("double")))
+
+
+def test_sweep_queries_hand_on_all_rows(spark, sides, monkeypatch):
+    monkeypatch.setattr(modelling, "FIT_ROWS", 100)
+    given = sides[0].withColumnRenamed(KEY, modelling.KEY)
+    monkeypatch.setattr(modelling, "vector_table", lambda *_: given)
+    monkeypatch.setattr(models, "depth_sweep", lambda df, **_: df)
+    assert QUERIES["mod_10_depth_sweep"](spark, "").count() == given.count() > 100
+
+
 def test_saved_model_scores_alike(sides, logistic, tmp_path):
     path = str(tmp_path / "model")
     logistic.write().overwrite().save(path)
