@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ebbtide.llm.common import table
 from ebbtide.llm.near_dup import near_duplicates
 from ebbtide.llm.nearest import nearest_vectors
+from ebbtide.llm.phrases import mine_phrases
 from ebbtide.llm.personal_data import KINDS, find_personal_data, span_list
 from ebbtide.llm.decontamination import find_contamination
 from ebbtide.llm.language_id import fit, held_out, identify
@@ -134,3 +135,33 @@ def op2(spark: SparkSession, d: str) -> DataFrame:
 @query("op5_substring_dedup")
 def op5(spark: SparkSession, d: str) -> DataFrame:
     return repeated_spans(table(spark, d, "documents"))
+
+
+@query(
+    "op12_phrases",
+    r"""
+with pieces as (select coalesce(lang, 'und') lang, unnest(string_split_regex(translate(coalesce("text", ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) piece from documents),
+words as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') ws from pieces),
+grams as (select lang, m, unnest(list_transform(range(1, len(ws) - m + 2), lambda i: array_to_string(ws[i:i + m - 1], ' '))) g
+  from words, (values (1), (2), (3), (4)) t(m)),
+found as materialized (select lang, m, g, count(*) a from grams group by all having m = 1 or count(*) >= 30),
+parts as materialized (select lang, m, g, a, string_split(g, ' ') w from found where m > 1),
+cuts as (select lang, m, g, a, k, array_to_string(w[1:k], ' ') g1, array_to_string(w[k + 1:], ' ') g2
+  from parts, (values (1), (2), (3)) t(k) where k < m),
+left_sides as (select c.*, p.a l from cuts c join found p on p.lang = c.lang and p.g = c.g1),
+both_sides as (select c.*, p.a r from left_sides c join found p on p.lang = c.lang and p.g = c.g2),
+scored as (select *, (2000000::hugeint * a) // (l + r) score from both_sides
+  qualify row_number() over (partition by lang, g order by score, k) = 1),
+runs as (select lang, a, array_to_string(w[i:i + s - 1], ' ') g from parts, (values (2), (3)) t(s), (values (1), (2), (3)) u(i)
+  where s < m and i + s - 1 <= m),
+inside as (select lang, g, max(a) longer from runs group by all),
+kept as (select s.* from scored s left join inside i on s.lang = i.lang and s.g = i.g
+  where i.g is null or 100::hugeint * longer < 80::hugeint * a),
+totals as (select lang, sum(a) n from found where m = 1 group by lang)
+select lang, row_number() over (partition by lang order by score desc, a desc, g)::bigint "rank", g phrase, a::bigint a,
+  l::bigint l, r::bigint r, n::bigint n, score::bigint score from kept join totals using (lang)
+qualify "rank" <= 2000""",
+)
+def op12(spark: SparkSession, d: str) -> DataFrame:
+    return mine_phrases(table(spark, d, "documents"))

@@ -60,3 +60,8 @@ def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:
         h *= _PRIME
         h += words[i : i + size]
     return mixed(h)
+
+
+def hashed(words: list[bytes]) -> np.ndarray:
+    """Hashes of words that are cut already."""
+    return np.fromiter(map(kept("words", _Memo).__getitem__, words), np.uint64, len(words))
