@@ -20,6 +20,7 @@ from ebbtide.llm.sharding import shard_records
 from ebbtide.llm.substring_dedup import repeated_spans
 from ebbtide.llm.token_counts import count_tokens
 from ebbtide.llm.url_filter import judge_urls
+from ebbtide.llm.whitening import whiten
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -165,3 +166,8 @@ qualify "rank" <= 2000""",
 )
 def op12(spark: SparkSession, d: str) -> DataFrame:
     return mine_phrases(table(spark, d, "documents"))
+
+
+@query("op13_whitening")
+def op13(spark: SparkSession, d: str) -> DataFrame:
+    return whiten(table(spark, d, "embeddings"))
