@@ -15,6 +15,7 @@ from ebbtide.llm.phrases import mine_phrases
 from ebbtide.llm.personal_data import KINDS, find_personal_data, span_list
 from ebbtide.llm.decontamination import find_contamination
 from ebbtide.llm.language_id import fit, held_out, identify
+from ebbtide.llm.lm_scoring import score_texts
 from ebbtide.llm.packing import pack_documents
 from ebbtide.llm.sharding import shard_records
 from ebbtide.llm.substring_dedup import repeated_spans
@@ -171,3 +172,8 @@ def op12(spark: SparkSession, d: str) -> DataFrame:
 @query("op13_whitening")
 def op13(spark: SparkSession, d: str) -> DataFrame:
     return whiten(table(spark, d, "embeddings"))
+
+
+@query("op11_lm_scores")
+def op11(spark: SparkSession, d: str) -> DataFrame:
+    return score_texts(table(spark, d, "documents"))
