@@ -5,7 +5,7 @@ their negative border: phrases not proposed whose parts all are. Where a phrase
 out to be frequent, longer ones may have been overlooked; further passes count what became possible,
 until nothing new is frequent. So the result is exact, whatever the sample proposed.
 
-Sets of phrases stay tables. For the passes each length's set becomes a bitmap of fixed size;
+Sets of phrases stay tables. For the passes each length's set becomes a bitmap of bounded size;
 where two phrases share a bit, a pass counts more than it has to, never less.
 """
 
@@ -30,8 +30,9 @@ BLOCK_WORDS = 1 << 20
 #: Words of a block in the pass that also holds the words themselves; phrases a task remembers.
 TEXT_WORDS = 1 << 17
 REMEMBERED = 500_000
-#: Size of the bitmap of each length's phrases, as a power of two: 4 MB.
-BITS = 25
+#: Bits for each phrase of a bitmap, and its largest size as a power of two (16 MB).
+BITS_EACH = 8
+MOST_BITS = 27
 #: First ranks within so many groups of a language, then among the first of all groups.
 GROUPS = 256
 
@@ -104,11 +105,15 @@ def _valid(hashes: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def _held(keys: np.ndarray, bits: bytes) -> np.ndarray:
-    return in_bitmap(keys >> _SHIFT, bits)
+def _held(keys: np.ndarray, sets: list[bytes]) -> np.ndarray:
+    """Which keys are in one of the bitmaps at least."""
+    found = np.zeros(len(keys), bool)
+    for bits in sets:
+        found |= in_bitmap(keys >> _SHIFT, bits)
+    return found
 
 
-def _possible(hashes: np.ndarray, n: int, known: dict[int, bytes]) -> np.ndarray:
+def _possible(hashes: np.ndarray, n: int, known: dict[int, list[bytes]]) -> np.ndarray:
     """Where runs of ``n`` words start whose first and last ``n - 1`` words are both in ``known``."""
     ok = _valid(hashes, n)
     if n > 1 and len(ok):
@@ -119,7 +124,7 @@ def _possible(hashes: np.ndarray, n: int, known: dict[int, bytes]) -> np.ndarray
     return ok
 
 
-def _count(docs: DataFrame, lengths, known: dict[int, bytes], before: dict[int, bytes] | None, reach: int) -> DataFrame:
+def _count(docs: DataFrame, lengths, known: dict[int, list[bytes]], before: dict[int, list[bytes]] | None, reach: int) -> DataFrame:
     """``key, n`` of the phrases of these lengths that ``known`` allows and ``before`` did not."""
 
     def run(batches):
@@ -140,7 +145,7 @@ def _length(key: str = "key") -> Column:
     return F.col(key).bitwiseAND(F.lit(int(_LENGTH))) + 1
 
 
-def _overlooked(frequent: DataFrame, known: dict[int, bytes], longest: int) -> DataFrame:
+def _overlooked(frequent: DataFrame, known: dict[int, list[bytes]], longest: int) -> DataFrame:
     """Frequent phrases that may be part of a longer one but that ``known`` lacks."""
 
     def run(batches):
@@ -148,27 +153,34 @@ def _overlooked(frequent: DataFrame, known: dict[int, bytes], longest: int) -> D
             keys = batch.column(0).to_numpy().view(np.uint64)
             length = (keys & _LENGTH).astype(int) + 1
             new = length < longest
-            for n, bits in known.items():
-                new &= ~((length == n) & _held(keys, bits))
+            for n, sets in known.items():
+                new &= ~((length == n) & _held(keys, sets))
             yield batch.filter(pa.array(new)).select(["key"])
 
     return frequent.select("key").mapInArrow(run, "key long")
 
 
-def _bitmaps(keys: DataFrame, lengths, bits: int) -> dict[int, bytes]:
-    return {n: bitmap(keys.where(_length() == n).select(F.shiftright("key", int(_SHIFT)).alias("at")), "at", bits) for n in lengths}
+def _bitmaps(keys: DataFrame, lengths) -> dict[int, list[bytes]]:
+    """A bitmap of the phrases of each length, of a size that fits their number up to a bound."""
+    numbers = {r["m"]: r["n"] for r in keys.groupBy(_length().alias("m")).agg(F.count("*").alias("n")).collect()}
+    out = {}
+    for n in lengths:
+        bits = min(MOST_BITS, max(15, (BITS_EACH * numbers.get(n, 0)).bit_length()))
+        at = keys.where(_length() == n).select(F.shiftright("key", int(_SHIFT)).alias("at"))
+        out[n] = [bitmap(at, "at", bits)] if numbers.get(n) else []
+    return out
 
 
-def _texts(docs: DataFrame, known: dict[int, bytes], reach: int) -> DataFrame:
+def _texts(docs: DataFrame, known: dict[int, list[bytes]], reach: int) -> DataFrame:
     """``key, lang, phrase`` of each phrase that ``known`` holds, some of them more than once."""
 
     def run(batches):
         seen: set[int] = set()
         for words, hashes, langs, starts in blocks(batches, TEXT_WORDS, reach, langs=True):
             out = []
-            for n, bits in known.items():
+            for n, sets in known.items():
                 keys = _keys(hashes, n)
-                ok = _valid(hashes, n) & _held(keys, bits)
+                ok = _valid(hashes, n) & _held(keys, sets)
                 ok[starts:] = False
                 at = np.flatnonzero(ok)
                 new, first = np.unique(keys[at], return_index=True)
@@ -212,7 +224,7 @@ def _with_parts(phrases: DataFrame, longest: int) -> DataFrame:
 
 
 def frequent_phrases(
-    docs: DataFrame, min_count: int, longest: int, share: float, bits: int = BITS, seed: int = 0
+    docs: DataFrame, min_count: int, longest: int, share: float, seed: int = 0
 ) -> tuple[DataFrame, int]:
     """``key, n`` of every phrase of ``lang, text, id`` rows that occurs ``min_count`` times, and the passes after the first."""
     reach = longest - 1
@@ -220,19 +232,18 @@ def frequent_phrases(
     buckets = 1 << 20
     sample = docs.where(F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(buckets)) < share * buckets).select("lang", "text")
     least = max(1, int(CAUTION * share * min_count))
-    known: dict[int, bytes] = {}
+    known: dict[int, list[bytes]] = {}
     for n in range(1, longest):
         proposed = _count(sample, [n], known, None, reach).where(F.col("n") >= least)
-        known |= _bitmaps(proposed, [n], bits)
+        known |= _bitmaps(written(proposed.select("key"), "proposed"), [n])
     frequent = written(_count(texts, range(1, longest + 1), known, None, reach).where(F.col("n") >= min_count), "phrases")
     passes, found = 0, frequent
     while True:
-        new = _overlooked(found, known, longest)
-        if new.isEmpty():
+        more = _bitmaps(written(_overlooked(found, known, longest), "overlooked"), range(1, longest))
+        if not any(more.values()):
             return frequent, passes
         before, passes = known, passes + 1
-        more = _bitmaps(new, range(1, longest), bits)
-        known = {n: (np.frombuffer(known[n], np.uint8) | np.frombuffer(more[n], np.uint8)).tobytes() for n in known}
+        known = {n: known[n] + more[n] for n in known}
         found = written(
             _count(texts, range(2, longest + 1), known, before, reach).where(F.col("n") >= min_count), "phrases-more"
         )
@@ -268,7 +279,7 @@ def mine_phrases(
     texts = narrow(docs, lang=lang_col, text=text_col, id=id_col)
     frequent, _ = frequent_phrases(texts, min_count, longest, share)
     long = frequent.where(_length() > 1)
-    named = _texts(texts.select("lang", "text"), _bitmaps(long, range(2, longest + 1), BITS), longest - 1)
+    named = _texts(texts.select("lang", "text"), _bitmaps(long, range(2, longest + 1)), longest - 1)
     phrases = written(_with_parts(named.join(long, "key", "left_semi"), longest), "phrase-parts")
     candidates = phrases.join(long.withColumnRenamed("n", "a"), "key")
 
