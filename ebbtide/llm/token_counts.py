@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -16,11 +18,12 @@ OVERLAP = 1 << 8
 def count_by_chunks(tokenizer, text: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> tuple[int, int]:
     """Tokens of ``text``, and how often an overlap had to be widened; holds a chunk's tokens at a time.
 
-    Neighbouring chunks both encode the characters around their border. They are spliced at the
-    first character there that starts a token in both and is a space after a character that is no
-    white space: pre-tokens never run over such a place, so the left tokens before it and the right
-    ones from it on are those of the whole text. Where the overlap has no such place, it is doubled,
-    until the right chunk swallows the left or the text ends, which needs no splice.
+    Neighbouring chunks both encode the characters around their border. They are spliced at the last
+    character there that starts a token in both and is a proven boundary (``_proven``): pre-tokens
+    never run over such a place, so the left tokens before it and the right ones from it on are those
+    of the whole text. Where the overlap has no such place, it is doubled, until there is one, the
+    right chunk swallows the left or the text ends, which needs no splice. A run without any
+    boundary is one pre-token, which has to be encoded whole; it is passed over once.
     """
 
     def encoded(lo: int, hi: int):
@@ -47,10 +50,35 @@ def count_by_chunks(tokenizer, text: str, chunk: int = CHUNK, overlap: int = OVE
         start = splice
 
 
+def _letter(c: str) -> bool:
+    return "a" <= c <= "z" or "A" <= c <= "Z"
+
+
+def _digit(c: str) -> bool:
+    return "0" <= c <= "9"
+
+
+def _proven(text: str, at: int) -> bool:
+    """Whether a pre-token starts at this place of every text that has these two characters there.
+
+    A space after a character that is no white space; a letter next to a digit; a letter outside ASCII
+    next to a punctuation mark outside ASCII. No special string has any of these.
+    """
+    a, b = text[at - 1], text[at]
+    if b == " ":
+        return not a.isspace()
+    if a.isascii() or b.isascii():
+        return _letter(a) and _digit(b) or _digit(a) and _letter(b)
+    marks = [unicodedata.category(c)[0] for c in (a, b)]
+    return marks in (["L", "P"], ["P", "L"])
+
+
 def _common_start(text: str, left: list[int], right: list[int], lo: int, hi: int) -> int | None:
-    """The first proven place in [lo, hi) where both encodings start a token."""
-    both = set(left).intersection(right)
-    return min((p for p in both if lo <= p < hi and text[p] == " " and not text[p - 1].isspace()), default=None)
+    """The last proven place in [lo, hi) where both encodings start a token."""
+    for p in sorted(set(left).intersection(right), reverse=True):
+        if lo <= p < hi and _proven(text, p):
+            return p
+    return None
 
 
 def count_tokens(
@@ -63,7 +91,7 @@ def count_tokens(
     takes as such by default. A null or empty text has 0 bytes and 0 tokens; a null id stays null;
     repeated rows are counted each; an empty table gives an empty result. Texts over 32,768
     characters go by chunks (``n_widened``: overlaps that had to be widened), so that a task holds the
-    tokens of one chunk, not of a whole text.
+    tokens of one chunk, or of the longest run without a boundary, not of a whole text.
     """
 
     def run(batches):
