@@ -23,10 +23,14 @@ WINDOW = 256
 WIDTHS = (2, 3, 4)
 FILTERS = 24
 EMBEDDED = 8
-#: Bounds of the labelled sample: documents of a language, windows of a document, languages.
+#: Bounds of the labelled sample: documents of a language, of all languages together (one each at least),
+#: windows of a document. More labels than the last bound are an error.
 SAMPLE_DOCS = 1000
+SAMPLE_ALL = 64_000
 SAMPLE_WINDOWS = 4
-MAX_LANGUAGES = 64
+MOST_LABELS = 16_384
+#: Windows whose responses are held at a time.
+WINDOWS = 4096
 #: Passes over the sample, and batches at least: a small sample is passed more often.
 EPOCHS = 3
 STEPS = 500
@@ -165,10 +169,15 @@ def predict(scorer: Scorer, texts: list[str]) -> list[tuple[str, float]]:
     if not parts:
         return found
     x = np.concatenate(parts)
-    starts = np.cumsum([0, *map(len, parts[:-1])])
-    weights = _LETTERS[x].sum(1) + 1e-3
-    sums = np.add.reduceat(scorer.probabilities(x) * weights[:, None], starts)
-    means = sums / np.add.reduceat(weights, starts)[:, None]
+    of = np.repeat(np.arange(len(parts)), list(map(len, parts)))
+    sums, total = np.zeros((len(parts), len(scorer.net.languages))), np.zeros(len(parts))
+    for i in range(0, len(x), WINDOWS):
+        some, to = x[i : i + WINDOWS], of[i : i + WINDOWS]
+        weights = _LETTERS[some].sum(1) + 1e-3
+        starts = np.flatnonzero(np.diff(to, prepend=-1))
+        sums[to[starts]] += np.add.reduceat(scorer.probabilities(some) * weights[:, None], starts)
+        total[to[starts]] += np.add.reduceat(weights, starts)
+    means = sums / total[:, None]
     best = means.argmax(1)
     for i, b, p in zip(known, best.tolist(), means.max(1).tolist()):
         found[i] = (scorer.net.languages[b], min(1.0, p))
@@ -183,21 +192,23 @@ def held_out(key: Column) -> Column:
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> ByteNet | None:
     """A network fitted on a bounded sample of the labelled rows that aren't held out; None without any.
 
-    At most ``SAMPLE_DOCS`` documents, chosen by a hash of their key, of each of the
-    ``MAX_LANGUAGES`` most frequent languages, and up to ``SAMPLE_WINDOWS`` windows spread over each
-    text; so the driver gets a few megabytes at most.
+    Every label that occurs is learned: from at most ``SAMPLE_DOCS`` documents each, chosen by a hash
+    of their key, fewer where there are so many labels that ``SAMPLE_ALL`` would be passed, and up to
+    ``SAMPLE_WINDOWS`` windows spread over each text; so the driver gets some tens of megabytes at most.
     """
     rows = narrow(docs, doc_id=id_col, text=text_col, lang=lang_col)
     rows = rows.where(
         ~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")
     )
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+    counts = rows.groupBy("lang").count().limit(MOST_LABELS + 1).collect()
     if not counts:
         return None
+    if len(counts) > MOST_LABELS:
+        raise ValueError(f"more than {MOST_LABELS} labels")
+    each = max(1, min(SAMPLE_DOCS, SAMPLE_ALL // len(counts)))
     # twice the wanted share by hash, so that ranks are only taken among few rows
-    share = F.lit(None).cast("double")
-    for r in counts:
-        share = F.when(F.col("lang") == r["lang"], 2.0 * SAMPLE_DOCS / r["count"] + 1e-3).otherwise(share)
+    shares = F.map_from_arrays(F.lit([r["lang"] for r in counts]), F.lit([(2.0 * each + 8) / r["count"] + 1e-3 for r in counts]))
+    share = F.element_at(shares, F.col("lang"))
     mixed = F.xxhash64("doc_id")
     place = F.pmod(mixed, F.lit(1 << 30)) / float(1 << 30)
     length = F.greatest(F.lit(1), F.length("text"))
@@ -206,7 +217,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         rows.where(place < share)
         .select("lang", mixed.alias("mixed"), F.array_distinct(F.array(*cuts)).alias("cuts"))
         .withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("mixed", "cuts")))
-        .where(F.col("rank") <= SAMPLE_DOCS)
+        .where(F.col("rank") <= each)
         .select("lang", "cuts")
         .collect()
     )
@@ -223,8 +234,8 @@ def identify(docs: DataFrame, net: ByteNet | None, text_col: str = "text") -> Da
     """``docs`` with ``lang_pred`` and ``score`` (replacing columns of these names), in one pass.
 
     ``und`` with score 0 for texts that are null or without any letter, and for all if ``net`` is
-    None. Repeated rows and other columns pass as they are; a batch of rows is scored by bounded
-    blocks of windows, and every window of a text counts.
+    None. Repeated rows and other columns pass as they are; an empty table stays empty. Texts are
+    scored by bounded blocks of windows, however long they are, and every window of a text counts.
     """
     at = [c for c in docs.columns if c not in ("lang_pred", "score")].index(text_col)
 
