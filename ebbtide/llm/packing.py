@@ -14,6 +14,8 @@ from ebbtide.llm.pretokens import WordIds, of_worker
 
 BUFFER_DOCS = 8192
 BUFFER_TOKENS = 1 << 22
+#: Tokens handed on at a time.
+READY_TOKENS = 1 << 18
 
 
 def fill(counts: dict[int, int], room: int) -> dict[int, int]:
@@ -163,9 +165,14 @@ def pack_documents(
         packer = _Packer(capacity, TaskContext.get().partitionId() << 40)
 
         def taken():
-            columns = list(zip(*packer.out))
-            packer.out, packer.ready = [], 0
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
+            pieces, packer.out, packer.ready = packer.out, [], 0
+            while pieces:
+                n = tokens = 0
+                while n < len(pieces) and tokens < READY_TOKENS:
+                    tokens += pieces[n][2]
+                    n += 1
+                columns, pieces = list(zip(*pieces[:n])), pieces[n:]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
 
         for batch in batches:
             kind = batch.schema.field(0).type
@@ -173,11 +180,10 @@ def pack_documents(
             names = ["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"]
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 packer.add(doc, np.concatenate([words.ids(text.as_py() or ""), end]))
-                if packer.ready >= BUFFER_TOKENS:
-                    yield taken()
+                if packer.ready >= READY_TOKENS:
+                    yield from taken()
         packer.close()
-        if packer.out:
-            yield taken()
+        yield from taken()
 
     kind = docs.schema[id_col].dataType.simpleString()
     return narrow(docs, doc_id=id_col, text=text_col).mapInArrow(

@@ -27,7 +27,11 @@ from ebbtide.llm.worker import kept  # noqa: E402
 LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 #: Parts of this alphabet are cut by the patterns below: no apostrophe, no "<", no white space.
 PLAIN = re.compile(rf"[{LETTERS}0-9!-&(-;=-@\[-`{{-~]+")
-MEMO_PARTS = 1_500_000
+#: Bytes a worker's memo holds, parts and words together; longer ones than this many characters aren't kept.
+MEMO_BYTES = 48 << 20
+LONGEST = 32
+#: Of an entry, beside its text: two objects and its place in the dictionary, about.
+ENTRY_BYTES = 180
 
 
 def _byte_letters() -> dict[int, str]:
@@ -54,16 +58,32 @@ class _Memo(dict):
         return self.learn(part)
 
 
-class ByteCounts:
+class _Memos:
+    """Memos of parts and of the words they are made of, within one bound."""
+
+    def __init__(self):
+        self.parts, self.words = _Memo(self._learn), _Memo(self._learn_word)
+        self.held = 0
+
+    def _keep(self, memo: _Memo, text: str, found) -> None:
+        if len(text) <= LONGEST:
+            self.held += ENTRY_BYTES + len(text) + (len(found) if isinstance(found, bytes) else 0)
+            if self.held > MEMO_BYTES:
+                self.parts.clear()
+                self.words.clear()
+                self.held = 0
+            memo[text] = found
+
+
+class ByteCounts(_Memos):
     """Token counts of a byte-level tokenizer whose pre-tokens take one leading space."""
 
     CUT = re.compile(rf" ?[{LETTERS}]+| ?[0-9]+| ?[^ {LETTERS}0-9]+")
 
     def __init__(self, path: str):
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.parts = _Memo(self._learn)
-        self.words: dict[str, int] = {}
 
     def direct(self, text: str) -> int:
         return len(self.tokenizer.encode(text, add_special_tokens=False))
@@ -73,19 +93,15 @@ class ByteCounts:
         if not part or part[-1].isspace():
             n = -(1 << 60)
         elif PLAIN.fullmatch(part):
-            n = 0
-            for word in self.CUT.findall(" " + part):
-                k = self.words.get(word)
-                if k is None:
-                    k = self.words[word] = len(_pieces(self.model, word))
-                n += k
+            n = sum(map(self.words.__getitem__, self.CUT.findall(" " + part)))
         else:
             n = self.direct(" " + part)
-        if len(part) < 64:
-            if len(self.parts) >= MEMO_PARTS:
-                self.parts.clear()
-                self.words.clear()
-            self.parts[part] = n
+        self._keep(self.parts, part, n)
+        return n
+
+    def _learn_word(self, word: str) -> int:
+        n = len(_pieces(self.model, word))
+        self._keep(self.words, word, n)
         return n
 
     def count(self, text: str) -> int:
@@ -98,36 +114,29 @@ class ByteCounts:
         return total if total >= 0 else self.direct(text)
 
 
-class WordIds:
+class WordIds(_Memos):
     """Ids of a tokenizer that folds case, drops white space and ends words: as little-endian uint16."""
 
     CUT = re.compile(rf"[{LETTERS}]+|[0-9]|[^{LETTERS}0-9]+")
 
     def __init__(self, path: str):
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         if self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("ids of this tokenizer don't fit 16 bits")
-        self.parts = _Memo(self._learn)
-        self.words: dict[str, bytes] = {}
 
     def _learn(self, part: str) -> bytes:
         if PLAIN.fullmatch(part):
-            found = []
-            for word in self.CUT.findall(part):
-                word = word.lower()
-                ids = self.words.get(word)
-                if ids is None:
-                    ids = self.words[word] = np.array([t.id for t in _pieces(self.model, word)], "<u2").tobytes()
-                found.append(ids)
-            ids = b"".join(found)
+            ids = b"".join(self.words[word.lower()] for word in self.CUT.findall(part))
         else:
             ids = np.array(self.tokenizer.encode(part, add_special_tokens=False).ids, "<u2").tobytes()
-        if len(part) < 64:
-            if len(self.parts) >= MEMO_PARTS:
-                self.parts.clear()
-                self.words.clear()
-            self.parts[part] = ids
+        self._keep(self.parts, part, ids)
+        return ids
+
+    def _learn_word(self, word: str) -> bytes:
+        ids = np.array([t.id for t in _pieces(self.model, word)], "<u2").tobytes()
+        self._keep(self.words, word, ids)
         return ids
 
     def ids(self, text: str) -> np.ndarray:
