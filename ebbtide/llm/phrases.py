@@ -26,7 +26,7 @@ from ebbtide.session import written
 
 #: What a share of the documents has to show of the wanted count for a phrase to be proposed.
 CAUTION = 0.6
-BLOCK_WORDS = 1 << 20
+BLOCK_WORDS = 1 << 18
 #: Words of a block in the pass that also holds the words themselves; phrases a task remembers.
 TEXT_WORDS = 1 << 17
 REMEMBERED = 500_000
@@ -65,8 +65,10 @@ def _salted(words: list[bytes], salt: np.uint64) -> np.ndarray:
     return own
 
 
-def blocks(batches, size: int, reach: int, langs: bool = False) -> Iterator[tuple]:
-    """The words of ``lang, text`` batches: (words, their hashes, languages, how many starts to look at).
+def blocks(batches, size: int, reach: int, named: bool = False) -> Iterator[tuple]:
+    """The words of ``lang, text`` batches: (hashes, how many starts to look at, words, their languages).
+
+    Words and languages themselves are held if ``named``, otherwise none.
 
     Blocks hold about ``size`` words. The last ``reach`` words of one are the first of the next, so
     that runs over the border are met once; a text of any length goes through in such blocks.
@@ -74,7 +76,7 @@ def blocks(batches, size: int, reach: int, langs: bool = False) -> Iterator[tupl
     words, hashes, names, n = [], [], [], 0
 
     def taken(starts):
-        return words, np.concatenate(hashes), names, starts
+        return np.concatenate(hashes), starts, words, names
 
     for batch in batches:
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary())):
@@ -82,15 +84,16 @@ def blocks(batches, size: int, reach: int, langs: bool = False) -> Iterator[tupl
             text = (text.as_py() or b"").translate(_TABLE).replace(BREAK, b" \xff ") + b" \xff"
             for part in _spans(text):
                 found = part.split()
-                words += found
                 hashes.append(_salted(found, salt))
-                names += [UNKNOWN if lang is None else lang] * len(found) if langs else []
+                if named:
+                    words += found
+                    names += [UNKNOWN if lang is None else lang] * len(found)
                 n += len(found)
                 if n >= size:
                     block = taken(n - reach)
                     yield block
-                    words, hashes, n = words[n - reach :], [block[1][n - reach :]], reach
-                    names = names[-reach:] if langs else []
+                    hashes, n = [block[0][n - reach :].copy()], reach
+                    words, names = words[-reach:], names[-reach:]
     if n:
         yield taken(n)
 
@@ -128,7 +131,7 @@ def _count(docs: DataFrame, lengths, known: dict[int, list[bytes]], before: dict
     """``key, n`` of the phrases of these lengths that ``known`` allows and ``before`` did not."""
 
     def run(batches):
-        for _, hashes, _, starts in blocks(batches, BLOCK_WORDS, reach):
+        for hashes, starts, *_ in blocks(batches, BLOCK_WORDS, reach):
             for n in lengths:
                 ok = _possible(hashes, n, known)
                 if before is not None:
@@ -176,7 +179,7 @@ def _texts(docs: DataFrame, known: dict[int, list[bytes]], reach: int) -> DataFr
 
     def run(batches):
         seen: set[int] = set()
-        for words, hashes, langs, starts in blocks(batches, TEXT_WORDS, reach, langs=True):
+        for hashes, starts, words, langs in blocks(batches, TEXT_WORDS, reach, named=True):
             out = []
             for n, sets in known.items():
                 keys = _keys(hashes, n)
