@@ -25,9 +25,16 @@ def _numbered(docs: DataFrame, name: str) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents in an identified language; null texts, those without a letter and doubtful ones go."""
+    """Keeps documents in an identified language; null texts, those without a letter and doubtful ones go.
+
+    Where no row has a label to learn from, all documents stay: nothing can be told of them. Repeated rows
+    and null ids are judged like others, an empty table stays empty.
+    """
     docs = docs.select(*COLUMNS)
-    found = identify(docs, fit(docs))
+    net = fit(docs)
+    if net is None:
+        return docs
+    found = identify(docs, net)
     return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= SURE)).select(*COLUMNS)
 
 
@@ -46,7 +53,11 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents without a passage of a benchmark item."""
+    """Keeps documents without a passage of a benchmark item.
+
+    Null and empty texts hold none and stay; repeated rows and ids are judged each; without benchmark items
+    or documents nothing goes.
+    """
     rows = _numbered(docs, "clean")
     found = find_contamination(rows.select("row", "text"), table(spark, sf_dir, "benchmark"), id_col="row")
     hit = found.where("n_hit > 0").select(F.col("doc_id").alias("row"))
@@ -54,13 +65,16 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mask(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Masks personal data in the texts; ``n_chars`` follows."""
+    """Masks personal data in the texts; ``n_chars`` follows (null where the text is). All rows stay."""
     masked = mask_personal_data(docs.select(*COLUMNS))
     return masked.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packs the documents into sequences of at most 4096 tokens: a row per piece, with its ids."""
+    """Packs the documents into sequences of at most 4096 tokens: a row per piece, with its ids.
+
+    A null or empty text is its end token alone; repeated rows are packed each; an empty table gives no rows.
+    """
     return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
