@@ -6,6 +6,7 @@ import json
 import statistics
 import time
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -16,7 +17,6 @@ from pyspark.ml.classification import (
     LogisticRegression,
     RandomForestClassifier,
 )
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame
@@ -130,17 +130,17 @@ def best_params(model) -> dict:
     return {p.name: last.getOrDefault(p) for p in last.params if p.name in names and last.isDefined(p)}
 
 
-def _evaluator(label: str) -> BinaryClassificationEvaluator:
-    return BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC")
-
-
 @dataclass
 class Search:
-    """A grid search: per setting the areas of its folds, and the best setting fitted on all rows."""
+    """A grid search: per setting all measures of its folds, and the best setting fitted on all rows."""
 
     bestModel: PipelineModel
     grid: list[dict]
-    areas: list[list[float]]
+    folds: list[list[dict]]
+
+    @property
+    def areas(self) -> list[list[float]]:
+        return [[m["roc_auc"] or 0.0 for m in of] for of in self.folds]
 
     @property
     def avgMetrics(self) -> list[float]:
@@ -155,35 +155,66 @@ def _to_fit(df: DataFrame, key: str | None, fit_rows: int | None) -> DataFrame:
     return df if fit_rows is None else at_most(df, key, fit_rows)
 
 
+def laid_out(df: DataFrame) -> DataFrame:
+    """``df`` over at least as many partitions as there are cores: a fit passes over its rows many times."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
+@contextmanager
+def held(*frames: DataFrame):
+    """``frames`` kept in memory or on disk while they are in use."""
+    kept = [f.persist() for f in frames]
+    try:
+        for f in kept:
+            f.count()
+        yield kept
+    finally:
+        for f in kept:
+            f.unpersist()
+
+
+def fit_on(estimator, rows: DataFrame):
+    """A classifier fitted on prepared rows, on all cores."""
+    with held(laid_out(rows)) as (training,):
+        return estimator.fit(training)
+
+
+def _each_fold(df: DataFrame, pipeline: Pipeline, key: str, label: str, folds: int, seed: int, fit_rows: int | None = None):
+    """Per fold: the prepared rows outside and inside it, laid out and held while the caller works on them.
+
+    Preparation is fitted once per fold, on the rows outside. Folds come from the key, so every run has the
+    same ones. With ``fit_rows``, at most about so many rows are fitted on; the fold itself is whole.
+    """
+    *stages, last = pipeline.getStages()
+    split = with_fold(df, key, folds, seed)
+    columns = [FEATURES, label, *([last.getWeightCol()] if last.isDefined("weightCol") else [])]
+    for i in range(folds):
+        outside = _to_fit(split.where(F.col("fold") != i), key, fit_rows)
+        prepared = Pipeline(stages=stages).fit(outside)
+        training = laid_out(prepared.transform(outside).select(*columns))
+        inside = prepared.transform(split.where(F.col("fold") == i)).select(FEATURES, label)
+        with held(training, inside) as (training, inside):
+            yield i, last, training, inside
+
+
 def tune(df: DataFrame, pipeline: Pipeline, grid: list[dict], key: str, label: str = "label", folds: int = 3,
          seed: int = 42, parallelism: int = 4, fit_rows: int | None = None) -> Search:
-    """Grid search by cross-validation on the area under ROC. Folds come from the key, so every run has the same ones.
+    """Grid search by cross-validation on the exact area under ROC.
 
-    Preparation is fitted once per fold, on the rows outside it, and kept for all settings. With
-    ``fit_rows``, fits take at most about so many rows; every row of a fold is measured all the same.
+    The settings of a fold are fitted side by side on the same held rows and measured together, in one
+    pass over the fold.
     """
-    split = with_fold(df, key, folds, seed)
-    *stages, last = pipeline.getStages()
-    areas = [[] for _ in grid]
+    found = [[] for _ in grid]
     with ThreadPoolExecutor(parallelism) as pool:
-        for i in range(folds):
-            inside = _to_fit(split.where(F.col("fold") != i), key, fit_rows)
-            prepared = Pipeline(stages=stages).fit(inside)
-            columns = [FEATURES, label, *([last.getWeightCol()] if last.isDefined("weightCol") else [])]
-            training = prepared.transform(inside).select(*columns).persist()
-            held = prepared.transform(split.where(F.col("fold") == i)).select(FEATURES, label).persist()
-
-            def area(setting):
-                return _evaluator(label).evaluate(last.fit(training, setting).transform(held))
-
-            try:
-                training.count(), held.count()
-                for found, value in zip(areas, pool.map(area, grid)):
-                    found.append(value)
-            finally:
-                training.unpersist(), held.unpersist()
-    search = Search(None, grid, areas)
-    search.bestModel = pipeline.fit(_to_fit(df, key, fit_rows), grid[search.best])
+        for _, last, training, inside in _each_fold(df, pipeline, key, label, folds, seed, fit_rows):
+            fitted = pool.map(lambda setting: last.fit(training, setting), grid)  # noqa: B023
+            scored = scored_by_models({str(j): m for j, m in enumerate(fitted)}, inside, label)
+            rows = {r["model"]: r.asDict() for r in evaluation.metrics(scored, by="model").collect()}
+            for j, of in enumerate(found):
+                of.append({m: rows.get(str(j), {}).get(m) for m in evaluation.MEASURES})
+    search = Search(None, grid, found)
+    search.bestModel = pipeline.fit(laid_out(_to_fit(df, key, fit_rows)), grid[search.best])
     return search
 
 
@@ -211,10 +242,6 @@ def scored_by_models(models: dict, df: DataFrame, label: str = "label", keep=())
     return _chained(models, df).select(*keep, F.col(label).alias("label"), F.inline(cells))
 
 
-def _union(frames) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)
-
-
 @dataclass
 class Training:
     """What one fit leaves behind."""
@@ -241,12 +268,15 @@ def train(train_df: DataFrame, test_df: DataFrame | None, name: str, numeric, ca
     if tuned:
         chosen = param_grid(name, pipeline.getStages()[-1], grid)
         search = tune(rows, pipeline, chosen, key, label, folds, fit_rows=fit_rows)
-        model, areas = search.bestModel, search.areas[search.best]
+        model, measured = search.bestModel, search.folds[search.best]
     else:
-        model, areas = pipeline.fit(_to_fit(rows, key, fit_rows)), []
+        model, measured = pipeline.fit(laid_out(_to_fit(rows, key, fit_rows))), []
     result = Training(model_type_of(name), model, time.perf_counter() - started, best_params(model))
-    if areas:
-        result.folds = {"cv_roc_auc_mean": statistics.fmean(areas), "cv_roc_auc_std": statistics.pstdev(areas)}
+    for measure in evaluation.MEASURES:
+        values = [m[measure] for m in measured if m[measure] is not None]
+        if values:
+            result.folds[f"cv_{measure}_mean"] = statistics.fmean(values)
+            result.folds[f"cv_{measure}_std"] = statistics.pstdev(values)
     if test_df is not None:
         result.metrics = evaluation.metrics(scored_rows(model, test_df, label)).first().asDict()
     return result
@@ -254,12 +284,11 @@ def train(train_df: DataFrame, test_df: DataFrame | None, name: str, numeric, ca
 
 def cv_scores(df: DataFrame, pipeline: Pipeline, key: str, label: str = "label", folds: int = 5, seed: int = 42) -> DataFrame:
     """Rows ``(fold, metric, value)``: each fold scored by a model fitted on the others."""
-    split = with_fold(df, key, folds, seed)
-    parts = []
-    for i in range(folds):
-        model = pipeline.fit(split.where(F.col("fold") != i))
-        parts.append(scored_rows(model, split.where(F.col("fold") == i), label, keep=["fold"]))
-    return evaluation.long_metrics(evaluation.metrics(_union(parts), by="fold"), ["fold"])
+    rows = []
+    for i, last, training, inside in _each_fold(df, pipeline, key, label, folds, seed):
+        for r in evaluation.metrics(scored_rows(last.fit(training), inside, label)).collect():
+            rows += [(i, m, r[m]) for m in evaluation.MEASURES]
+    return df.sparkSession.createDataFrame(rows, "fold int, metric string, value double")
 
 
 def compare_models(train_df: DataFrame, test_df: DataFrame, numeric, categorical, key: str, names=MODEL_TYPES,
@@ -269,11 +298,11 @@ def compare_models(train_df: DataFrame, test_df: DataFrame, numeric, categorical
         train(train_df, None, n, numeric, categorical, key, label, params=(params or {}).get(n), **options) for n in names
     ]
     scored = scored_by_models({r.model_type: r.model for r in results}, test_df, label).withColumnRenamed("model", "model_type")
+    of_folds = [f"cv_{m}_{what}" for m in evaluation.MEASURES for what in ("mean", "std")]
     facts = [
-        (r.model_type, json.dumps(r.params, sort_keys=True), r.seconds, r.folds.get("cv_roc_auc_mean"), r.folds.get("cv_roc_auc_std"))
-        for r in results
+        (r.model_type, json.dumps(r.params, sort_keys=True), r.seconds, *[r.folds.get(c) for c in of_folds]) for r in results
     ]
-    schema = "model_type string, best_params string, training_seconds double, cv_roc_auc_mean double, cv_roc_auc_std double"
+    schema = "model_type string, best_params string, training_seconds double, " + ", ".join(f"{c} double" for c in of_folds)
     table = train_df.sparkSession.createDataFrame(facts, schema)
     return table.join(evaluation.metrics(scored, by="model_type"), "model_type")
 
@@ -286,13 +315,10 @@ def depth_sweep(vectors: DataFrame, depths=tuple(range(2, 21)), label: str = "la
     With ``fit_rows``, trees are fitted on at most about so many training rows, chosen by ``key``, and
     measured on all rows.
     """
-    training = _to_fit(vectors.where(F.col("split") == "train"), key, fit_rows).select(FEATURES, label).persist()
-    try:
-        with ThreadPoolExecutor(4) as pool:
-            fitted = pool.map(lambda d: classifier(TREE, label, seed=seed, maxDepth=d).fit(training), depths)
-            models = {str(d): m for d, m in zip(depths, fitted)}
-    finally:
-        training.unpersist()
+    rows = _to_fit(vectors.where(F.col("split") == "train"), key, fit_rows).select(FEATURES, label)
+    with held(laid_out(rows)) as (training,), ThreadPoolExecutor(4) as pool:
+        fitted = pool.map(lambda d: classifier(TREE, label, seed=seed, maxDepth=d).fit(training), depths)
+        models = {str(d): m for d, m in zip(depths, fitted)}
     scored = scored_by_models(models, vectors, label, keep=["split"])
     scored = scored.select("split", "label", "score", "prediction", F.col("model").cast("int").alias("max_depth"))
     return evaluation.areas(scored, by=["max_depth", "split"])

@@ -1,4 +1,9 @@
-"""Run tracking and model versions as plain append-only tables."""
+"""Run tracking and model versions as plain append-only tables.
+
+A unit of work (one logged run, or a whole training) spans several tables. Its rows count from the
+moment its manifest row is there, which is written last; readers of ``complete`` tables see whole units
+or nothing. Versions and stage events go by an id made with the model; numbers are only a view of them.
+"""
 
 from __future__ import annotations
 
@@ -7,7 +12,7 @@ from datetime import datetime
 
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ebbtide.functions import scalars, subscribers
@@ -18,21 +23,29 @@ SCHEMAS = {
     "start_time timestamp, training_time double",
     "run_params": "run_id string, param string, value string",
     "run_metrics": "run_id string, metric string, value double",
-    "model_versions": "model_name string, version int, run_id string, path string, created_at timestamp",
-    "model_stages": "model_name string, version int, stage string, changed_at timestamp",
+    "manifests": "training_id string, experiment string, status string, error_message string, "
+    "run_ids array<string>, published_at timestamp",
+    "model_versions": "version_id string, model_name string, version int, run_id string, path string, created_at timestamp",
+    "model_stages": "version_id string, model_name string, stage string, changed_at timestamp",
+    "deployments": "version_id string, model_name string, run_id string, model_type string, model_path string, "
+    "deployment_date timestamp",
 }
 
+# How a training ends.
+SUCCESS, FAILED = "success", "failed"
+
 # Stages of a model version, from first to last.
 STAGES = ("None", "Staging", "Production", "Archived")
 
 
 class RunStore:
-    """The five tables under one folder. Nothing is updated in place; the latest row counts."""
+    """The tables under one folder. Nothing is updated in place; the latest row counts."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
+        """All rows ever written, those of unfinished and failed units included."""
         return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.folder}/{name}")
 
     def append(self, name: str, rows) -> None:
@@ -43,60 +56,119 @@ class RunStore:
             rows = self.spark.createDataFrame(rows, SCHEMAS[name])
         rows.write.mode("append").parquet(f"{self.folder}/{name}")
 
+    def publish(self, training_id: str, experiment: str, run_ids, at: datetime, status: str = SUCCESS,
+                error: str | None = None) -> None:
+        """The last write of a unit: from here on its runs count, if it succeeded."""
+        self.append("manifests", [(training_id, experiment, status, error, list(run_ids), at)])
+
+    def manifests(self) -> DataFrame:
+        """The outcome of every unit that came to an end; of several rows of one the last counts."""
+        rows = self._or_empty("manifests")
+        last = F.max_by(F.struct(*rows.columns), F.struct("published_at", "status")).alias("m")
+        return rows.groupBy("training_id").agg(last).select("m.*")
+
+    def complete(self, name: str) -> DataFrame:
+        """The rows of ``runs``, ``run_params`` or ``run_metrics`` that belong to units that succeeded."""
+        published = self.manifests().where(F.col("status") == SUCCESS).select(F.explode("run_ids").alias("run_id"))
+        return self._or_empty(name).join(published.distinct(), "run_id", "left_semi")
+
+    def abandoned(self) -> DataFrame:
+        """Runs of units without a manifest: still at work, or killed."""
+        ended = self.manifests().select(F.explode("run_ids").alias("run_id"))
+        return self._or_empty("runs").join(ended, "run_id", "left_anti")
+
     def log_run(self, experiment: str, model_type: str, metrics: dict, params: dict, training_time: float,
-                at: datetime, framework: str = "spark", status: str = "FINISHED", run_id: str | None = None) -> str:
+                at: datetime, framework: str = "spark", status: str = "FINISHED", run_id: str | None = None,
+                publish: bool = True) -> str:
+        """Write a run's rows; as a unit of its own unless ``publish`` is left to a larger one."""
         run_id = run_id or uuid.uuid4().hex
         self.append("runs", [(run_id, experiment, model_type, framework, status, at, float(training_time))])
         self.append("run_params", [(run_id, k, str(v)) for k, v in params.items()])
         self.append("run_metrics", [(run_id, k, float(v)) for k, v in metrics.items() if v is not None])
+        if publish:
+            self.publish(run_id, experiment, [run_id], at)
         return run_id
 
     def save_model(self, model: PipelineModel, name: str, run_id: str, at: datetime) -> int:
-        """Save a fitted model as the next version of ``name``, under a path nothing else uses.
+        """Save a fitted model as the next version of ``name``, under an id and path nothing else uses.
 
-        Two savers at one time may choose the same number; both models stay, and readers renumber
-        by time of creation, see ``distinct_versions``.
+        Two savers at one time may claim the same number; both models stay, and one of them is given
+        a free number, see ``distinct_versions``.
         """
-        last = self._or_empty("model_versions").where(F.col("model_name") == name).agg(F.max("version")).first()[0]
-        version = (last or 0) + 1
-        path = f"{self.folder}/models/{name}/{uuid.uuid4().hex}"
+        claimed = self._or_empty("model_versions").where(F.col("model_name") == name)
+        last = distinct_versions(claimed).agg(F.max("version")).first()[0]
+        version_id = uuid.uuid4().hex
+        path = f"{self.folder}/models/{name}/{version_id}"
         model.write().save(path)
-        self.append("model_versions", [(name, version, run_id, path, at)])
-        return version
+        self.append("model_versions", [(version_id, name, (last or 0) + 1, run_id, path, at)])
+        numbered = distinct_versions(self.table("model_versions").where(F.col("model_name") == name))
+        return numbered.where(F.col("version_id") == version_id).first()["version"]
 
-    def load_model(self, name: str, version: int | None = None) -> PipelineModel:
+    def load_model(self, name: str, version: int | None = None, stage: str | None = None) -> PipelineModel:
+        """A model by its number, by the stage it is in, or the newest."""
         versions = self.versions().where(F.col("model_name") == name)
         if version is not None:
             versions = versions.where(F.col("version") == version)
+        if stage is not None:
+            versions = current_stages(versions, self._or_empty("model_stages")).where(F.col("stage") == stage)
         row = latest_version(versions).first()
         if row is None:
-            raise ValueError(f"no model saved as {name}" + (f" version {version}" if version else ""))
+            raise ValueError(f"no model saved as {name}" + (f" version {version}" if version else "") + (f" in {stage}" if stage else ""))
         return PipelineModel.load(row["path"])
 
-    def promote(self, name: str, at: datetime, run_id: str | None = None, stage: str = "Production") -> int:
-        """Move the newest version not yet in production (of that run, if given) to a stage."""
+    def _promoted(self, name: str, at: datetime, run_id: str | None, stage: str) -> Row:
         row = promotion_candidates(self.versions(), self._or_empty("model_stages"), run_id).where(
             F.col("model_name") == name
         ).first()
         if row is None:
             raise ValueError(f"no version of {name} to promote")
-        self.append("model_stages", [(name, row["version"], stage, at)])
-        return row["version"]
+        self.append("model_stages", [(row["version_id"], name, stage, at)])
+        return row
+
+    def promote(self, name: str, at: datetime, run_id: str | None = None, stage: str = "Production") -> int:
+        """Move the newest version not yet in production (of that run, if given) to a stage."""
+        return self._promoted(name, at, run_id, stage)["version"]
 
     def deploy_best(self, experiment: str, metric: str, name: str, at: datetime) -> dict:
-        """Promote the version saved by the experiment's best run and say what was deployed."""
-        runs = self.table("runs").where(F.col("experiment") == experiment)
-        best = best_run(runs, self.table("run_metrics"), metric).first()
+        """Promote the version saved by the experiment's best complete run, and record what was deployed."""
+        runs = self.complete("runs").where(F.col("experiment") == experiment)
+        best = best_run(runs, self.complete("run_metrics"), metric).first()
         if best is None:
             raise ValueError(f"no runs found in experiment {experiment}")
-        version = self.promote(name, at, best["run_id"])
-        saved = self.versions().where((F.col("model_name") == name) & (F.col("version") == version))
-        path = saved.select("path").first()["path"]
-        return {"model_type": best["model_type"], "deployment_date": at, "version": version, "model_path": path}
+        row = self._promoted(name, at, best["run_id"], "Production")
+        path = self.table("model_versions").where(F.col("version_id") == row["version_id"]).first()["path"]
+        self.append("deployments", [(row["version_id"], name, best["run_id"], best["model_type"], path, at)])
+        return {"model_type": best["model_type"], "deployment_date": at, "version": row["version"],
+                "version_id": row["version_id"], "model_path": path}
 
     def versions(self) -> DataFrame:
-        """All saved versions, each with a number of its own."""
-        return distinct_versions(self.table("model_versions"))
+        """All saved versions, each with a number of its own; those of unfinished and failed units are left out."""
+        rows = distinct_versions(self._or_empty("model_versions"))
+        return rows.join(self._or_empty("runs").join(self.complete("runs"), "run_id", "left_anti"), "run_id", "left_anti")
+
+    def summary(self, training_id: str | None = None, metric: str = "test_roc_auc") -> DataFrame:
+        """A row per unit: how it ended, the models it trained, the best one by ``metric``."""
+        units = self.manifests()
+        if training_id is not None:
+            units = units.where(F.col("training_id") == training_id)
+        runs = units.where(F.col("status") == SUCCESS).select("training_id", F.explode("run_ids").alias("run_id"))
+        runs = runs.join(self._or_empty("runs").select("run_id", "model_type", "training_time"), "run_id")
+        runs = runs.join(_metric_of(self._or_empty("run_metrics"), metric).withColumnRenamed(metric, "best"), "run_id", "left")
+        of_unit = runs.groupBy("training_id").agg(
+            F.count_distinct("model_type").alias("models_trained"),
+            F.sum("training_time").alias("training_time"),
+            F.max(F.when(F.col("best").isNotNull(), F.struct("best", "model_type"))).alias("b"),
+        )
+        return units.join(of_unit, "training_id", "left").select(
+            "training_id",
+            "experiment",
+            "status",
+            F.coalesce("models_trained", F.lit(0)).alias("models_trained"),
+            F.col("b.model_type").alias("best_model"),
+            F.col("b.best").alias("best_auc"),
+            "training_time",
+            "error_message",
+        )
 
     def _or_empty(self, name: str) -> DataFrame:
         """A table, or no rows where none was ever written."""
@@ -115,14 +187,20 @@ def load_model(path: str) -> PipelineModel:
 
 
 def distinct_versions(versions: DataFrame) -> DataFrame:
-    """Versions renumbered where two savers took one number: later ones, by time and path, move up.
+    """Versions with a number of their own where two savers claimed the same one.
 
-    A model's versions are few; they are ordered per model name.
+    The earlier one (by time and id) keeps it. The others take the numbers nobody claimed, smallest first,
+    so no other version's number changes. A model's versions are few; they are ordered per model name.
     """
-    order = Window.partitionBy("model_name").orderBy("version", "created_at", "path").rowsBetween(Window.unboundedPreceding, 0)
-    same = Window.partitionBy("model_name", "version").orderBy("created_at", "path")
-    numbered = versions.withColumn("clash", (F.row_number().over(same) > 1).cast("int"))
-    return numbered.withColumn("version", (F.col("version") + F.sum("clash").over(order)).cast("int")).drop("clash")
+    same = Window.partitionBy("model_name", "version").orderBy("created_at", "version_id")
+    claims = versions.withColumn("_late", (F.row_number().over(same) > 1).cast("int"))
+    per_model = Window.partitionBy("model_name")
+    numbers = F.sequence(F.lit(1), F.greatest(F.max("version").over(per_model), F.lit(0)) + F.count(F.lit(1)).over(per_model).cast("int"))
+    free = F.array_sort(F.array_except(numbers, F.collect_set("version").over(per_model)))
+    nth = F.sum("_late").over(per_model.orderBy("created_at", "version_id").rowsBetween(Window.unboundedPreceding, 0))
+    claims = claims.withColumns({"_free": free, "_nth": nth})
+    number = F.when(F.col("_late") == 1, F.try_element_at("_free", F.col("_nth").cast("int"))).otherwise(F.col("version"))
+    return claims.withColumn("version", number.cast("int")).drop("_late", "_free", "_nth")
 
 
 def latest_version(versions: DataFrame) -> DataFrame:
@@ -135,10 +213,10 @@ def current_stages(versions: DataFrame, stages: DataFrame) -> DataFrame:
     Of events at one time the furthest stage counts: Archived, then Production, Staging, others by name.
     """
     rank = F.coalesce(F.array_position(F.array(*[F.lit(s) for s in STAGES]), F.col("stage")), F.lit(0))
-    last = stages.groupBy("model_name", "version").agg(
+    last = stages.groupBy("version_id").agg(
         F.max_by("stage", F.struct("changed_at", rank.alias("rank"), "stage")).alias("stage")
     )
-    return versions.join(last, ["model_name", "version"], "left").withColumn(
+    return versions.join(last, "version_id", "left").withColumn(
         "stage", F.coalesce("stage", F.lit("None"))
     )
 
@@ -149,7 +227,9 @@ def promotion_candidates(versions: DataFrame, stages: DataFrame, run_id: str | N
     if run_id is not None:
         waiting = waiting.where(F.col("run_id") == run_id)
     return waiting.groupBy("model_name").agg(
-        F.max("version").alias("version"), F.max_by("run_id", "version").alias("run_id")
+        F.max("version").alias("version"),
+        F.max_by("run_id", "version").alias("run_id"),
+        F.max_by("version_id", "version").alias("version_id"),
     )
 
 

@@ -13,10 +13,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ebbtide.operators import evaluation, prepare
+from ebbtide.plans.runs import FAILED, SUCCESS, RunStore, numbered_versions
 from ebbtide.plans.scoring import logistic_scorer, score
 from ebbtide.plans.snapshot import snapshots
 from ebbtide.schema import SNAPSHOTS
-from ebbtide.session import written
+from ebbtide.session import fresh_path, written
+
+RUN_COLUMNS = ["run_id", "experiment", "model_type", "framework", "status", "start_time", "training_time"]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -114,9 +117,61 @@ def once(spark: SparkSession, d: str, name: str, build) -> DataFrame:
     return _TABLES[at]
 
 
+_STORES: dict[tuple[str, str], RunStore] = {}
+
+
+def run_store(spark: SparkSession, d: str) -> RunStore:
+    """A store with the evaluated runs as one published unit, their versions and stage events.
+
+    Beside them lie the rows of a unit that failed and of one that was never published, which no
+    reader of complete runs may see.
+    """
+    at = (spark.sparkContext.applicationId, d)
+    if at not in _STORES:
+        store = RunStore(spark, fresh_path(spark, "run-store"))
+        results = written(evaluated_runs(spark, d), "runs")
+        params = results.select("run_id", "model_type", F.col("framework").alias("region")).unpivot(
+            ["run_id"], ["model_type", "region"], "param", "value"
+        )
+        metrics = evaluation.long_metrics(results, ["run_id"])
+        measured = results.select("run_id", *RUN_COLUMNS[1:])
+        for prefix in ("", "failed-", "killed-"):
+            renamed = lambda df: df.withColumn("run_id", F.concat(F.lit(prefix), "run_id"))  # noqa: B023, E731
+            store.append("runs", renamed(measured))
+            store.append("run_params", renamed(params))
+            # what failed or died half-way claims to be better than all others
+            store.append("run_metrics", renamed(metrics).withColumn("value", F.col("value") + F.lit(float(bool(prefix)))))
+        unit = lambda training, status, error, ids: ids.agg(
+            F.lit(training).alias("training_id"), F.lit("snapshots").alias("experiment"), F.lit(status).alias("status"),
+            F.lit(error).cast("string").alias("error_message"), F.array_sort(F.collect_list("run_id")).alias("run_ids"),
+            F.max("start_time").alias("published_at"),
+        )
+        store.append("manifests", unit("all", SUCCESS, None, results))
+        failed = results.withColumn("run_id", F.concat(F.lit("failed-"), "run_id"))
+        store.append("manifests", unit("broken", FAILED, "no rows to fit", failed))
+        versions = numbered_versions(results).select(
+            F.col("run_id").alias("version_id"), F.col("model_type").alias("model_name"), F.col("version").cast("int"), "run_id",
+            F.concat(F.lit("models/"), "run_id").alias("path"), F.col("start_time").alias("created_at"),
+        )
+        store.append("model_versions", versions)
+        # versions of the failed unit; and savers that were late and claim numbers that are taken
+        store.append("model_versions", versions.withColumns({"version_id": F.concat(F.lit("failed-"), "run_id"), "run_id": F.concat(F.lit("failed-"), "run_id"), "version": F.col("version") + 1000}))
+        late = versions.where("version = 2").withColumns({"version_id": F.concat(F.lit("late-"), "run_id"), "run_id": F.concat(F.lit("late-"), "run_id"), "created_at": F.col("created_at") + F.expr("interval 1 day")})
+        store.append("model_versions", late)
+        # every version but each third is staged, every third promoted to production an hour later
+        events = versions.select("version_id", "model_name", "version", "created_at")
+        hour = F.col("created_at") + F.expr("interval 1 hour")
+        store.append("model_stages", events.where("version % 3 <> 2").select("version_id", "model_name", F.lit("Staging").alias("stage"), F.col("created_at").alias("changed_at")))
+        store.append("model_stages", events.where("version % 3 = 0").select("version_id", "model_name", F.lit("Production").alias("stage"), hour.alias("changed_at")))
+        _STORES[at] = store
+    return _STORES[at]
+
+
 def run_results(spark: SparkSession, d: str) -> DataFrame:
-    """The logged runs: evaluated from all snapshots and written as a table, like any training would."""
-    return once(spark, d, "runs", lambda: evaluated_runs(spark, d))
+    """The complete runs of the store, each with its measures as columns."""
+    store = run_store(spark, d)
+    measures = store.complete("run_metrics").groupBy("run_id").pivot("metric", list(evaluation.MEASURES)).agg(F.max("value"))
+    return store.complete("runs").join(measures, "run_id", "left").select(*RUN_COLUMNS, *evaluation.MEASURES)
 
 
 def evaluated_runs(spark: SparkSession, d: str) -> DataFrame:

@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 from ebbtide.operators import evaluation, splitting
 from ebbtide.plans import models, scoring
 from ebbtide.plans.features import feature_pipeline
+from ebbtide.plans.runs import RunStore
+from ebbtide.plans.training import run_training
 from ebbtide.queries.base import CATEGORICAL, NUMERIC, N, R, cleaned, featured, fixed_model, once, query, rounded
-from ebbtide.session import fresh_path
+from ebbtide.session import fresh_path, written
 from ebbtide.streaming import jobs
 
 FEATURE_NUMERIC = [*NUMERIC, "avg_monthly_charges"]
@@ -61,12 +63,12 @@ def _vector_sides(spark, d):
 
 def _fitted(spark, d, name: str, **params):
     training, _test = sides(spark, d)
-    return models.build_pipeline(training, name, FEATURE_NUMERIC, FEATURE_CATEGORICAL, params=params).fit(training)
+    return models.build_pipeline(training, name, FEATURE_NUMERIC, FEATURE_CATEGORICAL, params=params).fit(models.laid_out(training))
 
 
 def _measured(spark, d, name: str, **params) -> DataFrame:
     training, test = _vector_sides(spark, d)
-    model = models.classifier(name, **params).fit(training)
+    model = models.fit_on(models.classifier(name, **params), training.select("features", "label"))
     return evaluation.metrics(models.scored_rows(model, test))
 
 
@@ -247,6 +249,33 @@ def _(spark, d):
     return _ruled(spark, d, models.BOOSTED, maxIter=20, maxDepth=5)
 
 
+@query(
+    "reg_05_run_training",
+    f"""select cast(3 as int) models_trained, 'success' status, m.model_type, cast(1 as double) test_roc_auc, cast(1 as double) test_accuracy,
+    cast(1 as double) cv_f1_score_mean, cast(0 as double) cv_f1_score_std, m.best_setting
+  from (values ('logistic_regression', '50'), ('random_forest', '4'), ('gradient_boosted_trees', '3')) m(model_type, best_setting)
+  where (select count(*) from cleaned) > 0""",
+)
+def _(spark, d):
+    """A whole training with searches on labels that follow a rule every type can express, read back from the store."""
+    rule = "case when contract in ('1-URGENT', '2-HIGH') then 1 else 0 end"
+    rows = cleaned(spark, d).select(KEY, "contract", "region", F.expr(rule).cast("double").alias("label"))
+    store = RunStore(spark, fresh_path(spark, "training"))
+    grids = {models.LOGISTIC: {"maxIter": (50,), "regParam": (0.0,)}, models.FOREST: {"maxDepth": (4,), "numTrees": (20,)},
+             models.BOOSTED: {"maxIter": (3,), "maxDepth": (4,)}}
+    ended = run_training(store, written(rows, "ruled"), [], ["contract", "region"], KEY, grids=grids, folds=2).first()
+    wanted = ["test_roc_auc", "test_accuracy", "cv_f1_score_mean", "cv_f1_score_std"]
+    measured = store.complete("run_metrics").groupBy("run_id").pivot("metric", wanted).agg(F.max("value"))
+    setting = store.complete("run_params").groupBy("run_id").agg(
+        F.max(F.when(F.col("param") == "best_maxDepth", F.col("value"))).alias("depth"),
+        F.max(F.when(F.col("param") == "best_maxIter", F.col("value"))).alias("iterations"),
+    )
+    setting = setting.select("run_id", F.coalesce("iterations", "depth").alias("best_setting"))
+    whole = {c: F.lit(ended[c]) for c in ("models_trained", "status")}
+    trained = store.complete("runs").select("run_id", "model_type").join(measured, "run_id").join(setting, "run_id")
+    return rounded(trained.withColumns(whole).drop("run_id"))
+
+
 # --- streams ---------------------------------------------------------------------------------
 
 _PREDICTED = f"customer_id, prediction, {R('churn_probability')} churn_probability, {R('confidence_score')} confidence_score, prediction_label"

@@ -9,11 +9,10 @@ from ebbtide.functions.subscribers import verdict
 from ebbtide.operators import evaluation
 from ebbtide.operators.sets import stacked
 from ebbtide.plans import runs as tracking
-from ebbtide.queries.base import SQL_RUNS, N, R, query, rounded, run_results
+from ebbtide.queries.base import SQL_RUNS, N, R, query, rounded, run_results, run_store
 from ebbtide.session import fresh_path
 from ebbtide.sources.writers import to_json_rows
 
-_RUN_COLUMNS = ["run_id", "experiment", "model_type", "framework", "status", "start_time", "training_time"]
 _SQL_VERSIONS = (
     SQL_RUNS
     + """, versions as (select model_type model_name, cast(row_number() over (partition by model_type order by start_time, run_id) as int) "version",
@@ -24,39 +23,50 @@ _SQL_VERSIONS = (
 
 
 def _runs_metrics(spark, d):
-    results = run_results(spark, d)
-    return results.select(*_RUN_COLUMNS), evaluation.long_metrics(results, ["run_id"])
+    store = run_store(spark, d)
+    return store.complete("runs"), store.complete("run_metrics")
 
 
-def _versions(spark, d):
-    return tracking.numbered_versions(run_results(spark, d)).select(
-        F.col("model_type").alias("model_name"), "version", "run_id", F.col("start_time").alias("created_at")
-    )
+MEASURES = list(evaluation.MEASURES)
 
 
-def _stage_events(versions):
-    """Every version is staged; every third is promoted to production an hour later."""
-    staged = versions.where(F.col("version") % 3 != 2)
-    later = F.col("created_at") + F.expr("interval 1 hour")
-    promoted = versions.where(F.col("version") % 3 == 0)
-    return staged.select("model_name", "version", F.lit("Staging").alias("stage"), F.col("created_at").alias("changed_at")).union(
-        promoted.select("model_name", "version", F.lit("Production"), later)
-    )
+@query("snk_07_runs", SQL_RUNS + f"select run_id, experiment, model_type, framework, status, {R('training_time')} training_time from runs")
+def _(spark, d):
+    return rounded(run_store(spark, d).complete("runs").drop("start_time"))
 
 
-MEASURES = list(evaluation.MEASURES)
+@query(
+    "snk_07_run_params",
+    SQL_RUNS + "select run_id, 'model_type' param, model_type \"value\" from runs union all select run_id, 'region', framework from runs",
+)
+def _(spark, d):
+    return run_store(spark, d).complete("run_params")
 
 
 @query("snk_07_run_metrics", SQL_RUNS + ", long as (" + " union all ".join(f"select run_id, '{m}' metric, \"{m}\" \"value\" from runs" for m in evaluation.MEASURES) + f") select run_id, metric, {R('\"value\"')} \"value\" from long")
 def _(spark, d):
-    store = tracking.RunStore(spark, fresh_path(spark, "runs"))
-    store.append("run_metrics", _runs_metrics(spark, d)[1])
-    return rounded(store.table("run_metrics"))
+    return rounded(run_store(spark, d).complete("run_metrics"))
+
+
+@query("snk_07_unfinished_runs", SQL_RUNS + "select 'killed-' || run_id run_id, model_type from runs")
+def _(spark, d):
+    """Runs whose unit never came to an end."""
+    return run_store(spark, d).abandoned().select("run_id", "model_type")
+
+
+_LATE = """ union all select model_name, cast(n + 1 as int), 'late-' || run_id, created_at + interval 1 day from versions join (select model_name, max("version") n from versions group by model_name) using (model_name) where "version" = 2"""
+
+
+@query("reg_03_distinct_versions", _SQL_VERSIONS + """select model_name, "version", run_id from (select model_name, "version", run_id, created_at from versions""" + _LATE + ")")
+def _(spark, d):
+    """The late savers' versions get free numbers, all others keep theirs; the failed unit's are left out."""
+    return run_store(spark, d).versions().select("model_name", "version", "run_id")
 
 
 @query("src_05_latest_version", _SQL_VERSIONS + """select model_name, "version", run_id from versions order by created_at desc, "version" desc, model_name limit 1""")
 def _(spark, d):
-    return tracking.latest_version(_versions(spark, d)).select("model_name", "version", "run_id")
+    on_time = run_store(spark, d).versions().where("run_id not like 'late-%'")
+    return tracking.latest_version(on_time).select("model_name", "version", "run_id")
 
 
 @query("reg_01_best_run", SQL_RUNS + f"select run_id, model_type, {R('roc_auc')} roc_auc from runs order by runs.roc_auc desc, run_id limit 1")
@@ -91,7 +101,7 @@ def _(spark, d):
 )
 def _(spark, d):
     runs, metrics = _runs_metrics(spark, d)
-    params = runs.unpivot(["run_id"], ["model_type", "framework"], "param", "value").replace("framework", "region", "param")
+    params = run_store(spark, d).complete("run_params")
     wide = tracking.runs_wide(runs.select("run_id", "status"), metrics, params, MEASURES, ["model_type", "region"])
     return rounded(wide)
 
@@ -110,33 +120,57 @@ def _(spark, d):
 @query(
     "reg_03_promotion_candidates",
     _SQL_VERSIONS
-    + """select model_name, max("version") "version", arg_max(run_id, "version") run_id from staged where stage in ('None', 'Staging') group by model_name""",
+    + """, waiting as (select model_name, "version", run_id from staged where stage in ('None', 'Staging') union all
+    select model_name, "version", run_id from (select model_name, "version", run_id, created_at from versions where false"""
+    + _LATE
+    + """)) select model_name, max("version") "version", arg_max(run_id, "version") run_id from waiting group by model_name""",
 )
 def _(spark, d):
-    versions = _versions(spark, d)
-    return tracking.promotion_candidates(versions, _stage_events(versions))
+    store = run_store(spark, d)
+    return tracking.promotion_candidates(store.versions(), store.table("model_stages")).drop("version_id")
 
 
 @query("reg_03_current_stages", _SQL_VERSIONS + """select model_name, "version", run_id, stage from staged""")
 def _(spark, d):
-    versions = _versions(spark, d)
-    return tracking.current_stages(versions, _stage_events(versions)).drop("created_at")
+    store = run_store(spark, d)
+    on_time = store.versions().where("run_id not like 'late-%'")
+    return tracking.current_stages(on_time, store.table("model_stages")).select("model_name", "version", "run_id", "stage")
 
 
 @query("jon_04_versions_with_runs", _SQL_VERSIONS + """select v.model_name, v."version", v.run_id, r.status, r.framework from versions v join runs r on v.run_id = r.run_id""")
 def _(spark, d):
-    runs = run_results(spark, d).select("run_id", "status", "framework")
-    return _versions(spark, d).join(runs, "run_id").select("model_name", "version", "run_id", "status", "framework")
+    store = run_store(spark, d)
+    runs = store.complete("runs").select("run_id", "status", "framework")
+    return store.versions().join(runs, "run_id").select("model_name", "version", "run_id", "status", "framework")
+
+
+@query(
+    "reg_04_deployment",
+    SQL_RUNS
+    + """, best as (select run_id, model_type from runs order by runs.roc_auc desc, run_id limit 1)
+  select model_type model_name, run_id, model_type, 'models/' || run_id model_path from best""",
+)
+def _(spark, d):
+    """The version of the best complete run is promoted and recorded, in a copy of the store's folder."""
+    held = run_store(spark, d)
+    store = tracking.RunStore(spark, fresh_path(spark, "deployed"))
+    for name in ("runs", "run_metrics", "manifests", "model_versions"):
+        store.append(name, held.table(name))
+    best = tracking.best_run(*_runs_metrics(spark, d), "roc_auc").first()
+    store.deploy_best("snapshots", "roc_auc", best["model_type"], best["start_time"])
+    return store.table("deployments").select("model_name", "run_id", "model_type", "model_path")
 
 
 @query(
     "reg_05_training_summary",
     SQL_RUNS
-    + f"""select 'success' status, {N('count(distinct model_type)')} models_trained, arg_max(model_type, (roc_auc, model_type)) best_model,
-    {R('max(roc_auc)')} best_auc, cast(null as varchar) error_message from runs""",
+    + f"""select 'all' training_id, 'success' status, {N('count(distinct model_type)')} models_trained, arg_max(model_type, (roc_auc, model_type)) best_model,
+    {R('max(roc_auc)')} best_auc, cast(null as varchar) error_message from runs
+    union all select 'broken', 'failed', 0, null, null, 'no rows to fit'""",
 )
 def _(spark, d):
-    return rounded(tracking.training_summary(run_results(spark, d)))
+    summary = run_store(spark, d).summary(metric="roc_auc")
+    return rounded(summary.drop("experiment", "training_time"))
 
 
 @query("agg_17_framework_times", SQL_RUNS + f"select framework, {R('avg(training_time)')} avg_time, {R('sum(training_time)')} total_time from runs group by framework")

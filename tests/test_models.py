@@ -10,6 +10,7 @@ from ebbtide.operators import evaluation, prepare, splitting
 from ebbtide.plans import models, scoring
 from ebbtide.plans.features import feature_names, feature_pipeline, vector_names
 from ebbtide.plans.runs import SCHEMAS, RunStore, current_stages, load_model, training_summary
+from ebbtide.plans.training import run_training
 from ebbtide.queries import modelling
 from ebbtide.queries.base import QUERIES
 from ebbtide.schema import CUSTOMERS
@@ -108,14 +109,79 @@ def test_scores_decide_unrounded(spark):
     assert [r["prediction_label"] for r in rows] == ["Churn", "No Churn"] and 0.5 < rows[0]["churn_probability"] < 0.5001
 
 
+def versions_of(store):
+    return [(r["version"], r["run_id"]) for r in store.versions().orderBy("version").collect()]
+
+
 def test_two_savers_keep_both_models(spark, logistic, tmp_path):
     store, day = RunStore(spark, str(tmp_path)), datetime(2024, 1, 1)
-    store.append("model_versions", [("m", 1, "a", "/x/a", day), ("m", 1, "b", "/x/b", day), ("m", 2, "c", "/x/c", day)])
-    assert [(r["version"], r["run_id"]) for r in store.versions().orderBy("version").collect()] == [(1, "a"), (2, "b"), (3, "c")]
-    stages = spark.createDataFrame([("m", 1, "Production", day), ("m", 1, "Staging", day)], SCHEMAS["model_stages"])
+    store.append("model_versions", [(r, "m", n, r, f"/x/{r}", day) for n, r in ((1, "a"), (1, "b"), (2, "c"))])
+    assert versions_of(store) == [(1, "a"), (2, "c"), (3, "b")]
+    stages = spark.createDataFrame([("a", "m", "Production", day), ("a", "m", "Staging", day)], SCHEMAS["model_stages"])
     assert current_stages(store.versions(), stages).where("version = 1").first()["stage"] == "Production"
 
 
+def test_a_late_saver_changes_no_promoted_model(spark, logistic, tmp_path):
+    store, day = RunStore(spark, str(tmp_path)), [datetime(2024, 1, d) for d in range(1, 9)]
+    for i in range(3):
+        assert store.save_model(logistic, "m", f"r{i}", day[i]) == i + 1
+    assert store.promote("m", day[4]) == 3
+    path = store.versions().where("version = 3").first()["path"]
+    for n, saved in ((2, day[1]), (3, day[0])):  # claims made from what was read long ago, one of them dated back
+        store.append("model_versions", [(f"late{n}", "m", n, f"late{n}", f"/late/{n}", saved)])
+    stages = current_stages(store.versions(), store.table("model_stages"))
+    assert [r["path"] for r in stages.where("stage = 'Production'").collect()] == [path]
+    numbers = [n for n, _ in versions_of(store)]
+    assert numbers == [1, 2, 3, 4, 5]
+    assert len(store.load_model("m", stage="Production").stages) == len(logistic.stages)
+    assert store.save_model(logistic, "m", "r9", day[6]) == 6 and [n for n, _ in versions_of(store)] == [1, 2, 3, 4, 5, 6]
+
+
+def quick(store, rows, **options):
+    params = {models.LOGISTIC: {"maxIter": 3}, models.TREE: {"maxDepth": 2}}
+    return run_training(store, rows, NUMERIC, CATEGORICAL, KEY, names=(models.LOGISTIC, models.TREE), tuned=False,
+                        params=params, at=datetime(2024, 1, 1), **options)
+
+
+def test_a_training_counts_as_a_whole(spark, sides, tmp_path, monkeypatch):
+    rows, store = sides[0], RunStore(spark, str(tmp_path))
+    done = quick(store, rows, training_id="t1").first()
+    assert (done["status"], done["models_trained"], done["error_message"]) == ("success", 2, None)
+    assert done["training_time"] > 0 and done["best_model"] in (models.LOGISTIC, models.TREE)
+    runs = {r["run_id"] for r in store.complete("runs").collect()}
+    assert runs == {f"t1-{models.LOGISTIC}", f"t1-{models.TREE}"} and store.versions().count() == 2
+    params = {(r["run_id"], r["param"]): r["value"] for r in store.complete("run_params").collect()}
+    assert params[f"t1-{models.TREE}", "best_maxDepth"] == "2" and params[f"t1-{models.TREE}", "test_size"] == "0.2"
+    tested = {r["metric"] for r in store.complete("run_metrics").collect()}
+    assert tested == {f"test_{m}" for m in evaluation.MEASURES}
+
+    fitted = models.train
+
+    def dies(error):
+        def train(a, b, name, *args, **options):
+            if name == models.TREE:
+                raise error
+            return fitted(a, b, name, *args, **options)
+
+        return train
+
+    monkeypatch.setattr(models, "train", dies(ArithmeticError("no split found")))
+    with pytest.raises(ArithmeticError):
+        quick(store, rows, training_id="t2")
+    failed = store.summary("t2").first()
+    assert (failed["status"], failed["models_trained"], failed["error_message"]) == ("failed", 0, "no split found")
+
+    monkeypatch.setattr(models, "train", dies(KeyboardInterrupt()))  # what a killed process leaves: no manifest
+    with pytest.raises(KeyboardInterrupt):
+        quick(store, rows, training_id="t3")
+    assert store.summary("t3").count() == 0
+    assert {r["run_id"] for r in store.abandoned().collect()} == {f"t3-{models.LOGISTIC}"}
+    assert store.table("runs").count() == 4 and {r["run_id"] for r in store.complete("runs").collect()} == runs
+    assert store.versions().count() == 2 and store.table("model_versions").count() == 4
+    assert store.deploy_best("training", "test_roc_auc", done["best_model"], datetime(2024, 1, 2))["version"] == 1
+    assert store.table("deployments").first()["run_id"] == f"t1-{done['best_model']}"
+
+
 def test_grids():
     assert len(models.param_grid(models.LOGISTIC, models.classifier(models.LOGISTIC))) == 6
     assert models.param_grid(models.FOREST, models.classifier(models.FOREST), {}) == [{}]
@@ -125,6 +191,15 @@ def test_tuned_training(sides):
     grid = {"regParam": (0.01,), "maxIter": (0, 10)}
     got = models.train(*sides, models.LOGISTIC, NUMERIC, CATEGORICAL, KEY, grid=grid, folds=3, balanced=True)
     assert got.params["maxIter"] == 10 and got.metrics["roc_auc"] > 0.6 and got.seconds > 0
+    assert set(got.folds) == {f"cv_{m}_{what}" for m in evaluation.MEASURES for what in ("mean", "std")}
+
+
+def test_fits_use_all_cores(sides):
+    one = sides[0].coalesce(1)
+    cores = one.sparkSession.sparkContext.defaultParallelism
+    assert models.laid_out(one).rdd.getNumPartitions() == cores
+    wide = one.repartition(cores + 3)
+    assert models.laid_out(wide) is wide
 
 
 def test_fold_scores(sides):
@@ -184,17 +259,17 @@ def test_bounded_fits_are_measured_on_all_rows(spark, sides, monkeypatch):
     swept = models.depth_sweep(vectors, (3,), key=KEY, fit_rows=100).collect()
     assert {r["split"]: r["roc_auc"] for r in swept} == {r["split"]: pytest.approx(r["roc_auc"]) for r in want}
 
-    measured = []
+    measured, metrics = [], evaluation.metrics
 
-    class Counting:
-        def evaluate(self, df):
-            measured.append(df.count())
-            return 0.5
+    def counting(df, **options):
+        measured.append(df.count())
+        return metrics(df, **options)
 
-    monkeypatch.setattr(models, "_evaluator", lambda label: Counting())
+    monkeypatch.setattr(evaluation, "metrics", counting)
     search = Pipeline(stages=[models.classifier(models.LOGISTIC, maxIter=2)])
-    models.tune(training, search, [{}], KEY, folds=2, fit_rows=100)
-    assert sum(measured) == training.count()
+    found = models.tune(training, search, [{}, {}], KEY, folds=2, fit_rows=100)
+    assert sum(measured) == 2 * training.count()  # both settings, in one pass a fold
+    assert len(found.folds) == 2 and set(found.folds[0][1]) == set(evaluation.MEASURES)
 
 
 def vector_assembled():
