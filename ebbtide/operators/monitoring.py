@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ebbtide.functions.scalars import hash32
-from ebbtide.operators.profile import histograms, value_ranges
+from ebbtide.operators.ordering import unpivoted
+from ebbtide.operators.profile import bin_index, binned, histograms, value_ranges
 
 EPSILON = 1e-6
 
@@ -58,24 +59,67 @@ def prediction_windows(scored: DataFrame, ts: str, width: str = "1 day", delay:
 
 def stability_index(reference: DataFrame, current: DataFrame, columns, bins: int = 10) -> DataFrame:
     """Population stability index per column, bins cut on the reference's value range."""
-    ranges = value_ranges(reference, columns)
+    columns = list(columns)
+    sides = [df.select(*columns, F.lit(is_reference).alias("_reference")) for df, is_reference in ((reference, True), (current, False))]
+    return stability_by_side(sides[0].unionByName(sides[1]), F.col("_reference"), columns, bins)
 
-    def shares(df: DataFrame, name: str) -> DataFrame:
-        counted = histograms(df, columns, bins, ranges)
-        total = counted.groupBy("column").agg(F.sum("n").alias("total"))
-        return counted.join(total, "column").select("column", "bin", (F.col("n") / F.col("total")).alias(name))
 
-    def floored(name: str):
-        return F.greatest(F.coalesce(F.col(name), F.lit(0.0)), F.lit(EPSILON))
+def stability_by_side(df: DataFrame, is_reference: Column, columns, bins: int = 10) -> DataFrame:
+    """The same for one table that holds both sides: one scan for the range, one that counts both.
 
-    p, q = floored("expected"), floored("actual")
-    return (
-        shares(reference, "expected")
-        .join(shares(current, "actual"), ["column", "bin"], "full")
-        .groupBy("column")
-        .agg(F.sum((q - p) * F.log(q / p)).alias("psi"))
+    Rows of neither side (null) are left out.
+    """
+    columns = list(columns)
+    rows = df.select(*columns, is_reference.alias("_reference")).where(F.col("_reference").isNotNull())
+    ranges = value_ranges(rows.where("_reference"), columns)
+    cells = binned(rows, columns, bins, ranges, keep=["_reference"])
+    of = lambda side: F.count_if(F.col("_reference") if side else ~F.col("_reference"))
+    counted = cells.groupBy("column", "bin").agg(of(True).alias("expected"), of(False).alias("actual"))
+    return _index_of(counted)
+
+
+def _index_of(counted: DataFrame) -> DataFrame:
+    """Of rows ``(column, bin, expected, actual)``, a column's few bins gathered into one list."""
+    cell = F.struct(F.coalesce("expected", F.lit(0)).alias("e"), F.coalesce("actual", F.lit(0)).alias("a"))
+    lists = counted.groupBy("column").agg(
+        F.collect_list(cell).alias("cells"), F.sum("expected").alias("e"), F.sum("actual").alias("a")
     )
 
+    def part(cell: Column) -> Column:
+        floored = lambda n, total: F.greatest(F.coalesce(F.try_divide(n, total), F.lit(0.0)), F.lit(EPSILON))
+        p, q = floored(cell["e"], F.col("e")), floored(cell["a"], F.col("a"))
+        return (q - p) * F.log(q / p)
+
+    index = F.aggregate("cells", F.lit(0.0), lambda total, cell: total + part(cell))
+    return lists.select("column", index.alias("psi"))
+
+
+def reference_bins(reference: DataFrame, columns, bins: int = 10) -> DataFrame:
+    """``column, bin, lo, hi, bins, expected``: what arriving rows are compared with; a row for every bin."""
+    columns = list(columns)
+    ranges = value_ranges(reference, columns)
+    counts = histograms(reference, columns, bins, ranges)
+    every = ranges.select("column", "lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    return every.join(counts, ["column", "bin"], "left").select(
+        "column", "bin", "lo", "hi", F.lit(bins).alias("bins"), F.coalesce("n", F.lit(0)).cast("bigint").alias("expected")
+    )
+
+
+def arrived_bins(rows: DataFrame, stored: DataFrame) -> DataFrame:
+    """``column, bin, n`` of rows, batch or stream, by the edges of ``reference_bins``: a stream-static join."""
+    edges = stored.groupBy("column").agg(F.first("lo").alias("lo"), F.first("hi").alias("hi"), F.first("bins").alias("bins"))
+    columns = [r["column"] for r in stored.select("column").distinct().collect()]
+    cells = unpivoted(rows.select(*[F.col(c).cast("double").alias(c) for c in columns]), columns)
+    cells = cells.where(F.col("value").isNotNull() & ~F.isnan("value")).join(F.broadcast(edges), "column")
+    bin = bin_index(F.col("value"), F.col("lo"), F.col("hi"), F.col("bins")).alias("bin")
+    return cells.select("column", bin).groupBy("column", "bin").agg(F.count(F.lit(1)).alias("n"))
+
+
+def stability_of_arrived(stored: DataFrame, arrived: DataFrame) -> DataFrame:
+    """The index of counted arrivals (``arrived_bins``, of any number of batches) against the stored reference."""
+    actual = arrived.groupBy("column", "bin").agg(F.sum("n").alias("actual"))
+    return _index_of(stored.join(actual, ["column", "bin"], "left"))
+
 
 def with_arm(df: DataFrame, key: str, share_b: float = 0.5, seed: int = 7) -> DataFrame:
     """Assign each key to variant A or B by hash; the same key always gets the same variant."""

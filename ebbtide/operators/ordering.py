@@ -110,20 +110,19 @@ def unpivoted(df: DataFrame, columns, name: str = "column", value: str = "value"
 def quantiles(df: DataFrame, columns, probs) -> DataFrame:
     """Exact interpolated quantiles: rows ``(column, prob, value)``.
 
-    Equal to sorting each column and reading position ``(n - 1) * prob``, but sorted in pieces:
-    only the stretches around the wanted positions, at most two per column and probability, are
-    ordered value by value.
+    Equal to sorting each column and reading position ``(n - 1) * prob``, but found by counting: the first
+    scan counts rows by the first digit of their value, before anything moves; the second one
+    only rows of the few first digits the wanted positions fall into, by second digit; the last one only
+    rows of the few second digits, by value. So no exchange ever holds a row per value of a column.
     """
     cells = unpivoted(df.select(*[F.col(c).cast("double").alias(c) for c in columns]), columns)
-    counts = (
-        cells.where(F.col("value").isNotNull() & ~F.isnan("value"))
-        .groupBy("column", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    cells = cells.where(F.col("value").isNotNull() & ~F.isnan("value"))
+    high, low = digits_of(F.col("value"))
+    cells = cells.select("column", "value", high.alias("_high"), low.alias("_low"))
     probs = [float(p) for p in probs]
 
     def position(p: float) -> Column:
-        return (F.col("n_total") - 1) * F.lit(p)
+        return (F.col("_total") - 1) * F.lit(p)
 
     def covers(start: Column, size: Column) -> Column:
         tests = []
@@ -132,13 +131,26 @@ def quantiles(df: DataFrame, columns, probs) -> DataFrame:
                 tests.append((start <= rank) & (rank < start + size))
         return reduce(lambda a, b: a | b, tests)
 
-    stretch = covers(F.col("_n_start"), F.col("_n_within"))
-    ranked = running_totals(counts, "value", ["n"], ["column"], keep=stretch).where(
-        covers(F.col("n_before"), F.col("n"))
-    )
+    def counted(rows: DataFrame, keys: list[str], digit: str) -> DataFrame:
+        """Of rows counted by ``keys`` and ``digit``: those a wanted position falls into, with ``_start``."""
+        counts = rows.groupBy(*keys, digit).agg(F.count(F.lit(1)).alias("n"), F.first("_start").alias("_from"), F.first("_total").alias("_total"))
+        before = Window.partitionBy(*keys).orderBy(digit).rowsBetween(Window.unboundedPreceding, -1)
+        counts = counts.withColumn("_start", F.col("_from") + F.coalesce(F.sum("n").over(before), F.lit(0)))
+        if len(keys) == 1:  # the first digits of a column hold all its rows
+            counts = counts.withColumn("_total", F.sum("n").over(Window.partitionBy(*keys)))
+        return counts.where(covers(F.col("_start"), F.col("n")))
+
+    def inside(found: DataFrame, keys: list[str]) -> DataFrame:
+        """Cells of the stretches found so far: at most two for each column and probability."""
+        return cells.join(F.broadcast(found.select(*keys, "_start", "_total")), keys)
+
+    start = cells.withColumns({"_start": F.lit(0).cast("bigint"), "_total": F.lit(0).cast("bigint")})
+    by_high = counted(start, ["column"], "_high")
+    by_low = counted(inside(by_high, ["column", "_high"]), ["column", "_high"], "_low")
+    ranked = counted(inside(by_low, ["column", "_high", "_low"]), ["column", "_high", "_low"], "value")
 
     def value_at(rank: Column) -> Column:
-        hit = (F.col("n_before") <= rank) & (rank < F.col("n_before") + F.col("n"))
+        hit = (F.col("_start") <= rank) & (rank < F.col("_start") + F.col("n"))
         return F.max(F.when(hit, F.col("value")))
 
     wanted = ranked.groupBy("column").agg(

@@ -83,9 +83,27 @@ def distribution(df: DataFrame, column: str, normalize: bool = False) -> DataFra
     return counts.select(column, "n", (F.col("n") / total).alias("share"))
 
 
+def _digest(df: DataFrame) -> list[Column]:
+    """128 bits of a whole row. Which cells are null goes in as well: a hash alone passes over them."""
+    cells = [F.col(f"`{c}`") for c in df.columns]
+    nulls = F.concat(*[F.when(c.isNull(), "1").otherwise("0") for c in cells])
+    return [F.xxhash64(F.lit(1), nulls, *cells).alias("_d1"), F.xxhash64(*cells, F.lit(2), nulls).alias("_d2")]
+
+
 def duplicate_rows(df: DataFrame) -> DataFrame:
-    """Rows that repeat an earlier one in every column."""
-    repeats = df.groupBy(*df.columns).agg((F.count(F.lit(1)) - 1).alias("extra"))
+    """Rows that repeat an earlier one in every column.
+
+    Digests of the rows are counted first. Only rows whose digest occurs more than once are compared in
+    full, and counted before they move, so that many copies of one row are one row by then.
+    """
+    if not df.columns:
+        return df.agg(F.greatest(F.count(F.lit(1)) - 1, F.lit(0)).alias("duplicate_rows"))
+    names = [f"_c{i}" for i in range(len(df.columns))]
+    rows = df.toDF(*names)
+    digested = rows.select(*names, *_digest(rows))
+    suspects = digested.groupBy("_d1", "_d2").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select("_d1", "_d2")
+    whole = digested.join(suspects, ["_d1", "_d2"], "left_semi")
+    repeats = whole.groupBy("_d1", "_d2", *names).agg((F.count(F.lit(1)) - 1).alias("extra"))
     return repeats.agg(F.coalesce(F.sum("extra"), F.lit(0)).alias("duplicate_rows"))
 
 
@@ -158,7 +176,22 @@ def value_ranges(df: DataFrame, columns) -> DataFrame:
 def bin_index(value: Column, lo: Column, hi: Column, bins: int) -> Column:
     """Equal-width bin; the last bin is closed, values outside go to the end bins."""
     place = F.floor((value - lo) / (hi - lo) * bins)
-    return F.when(hi > lo, F.greatest(F.lit(0), F.least(place, F.lit(bins - 1)))).otherwise(0).cast("int")
+    last = bins - 1 if isinstance(bins, Column) else F.lit(bins - 1)
+    return F.when(hi > lo, F.greatest(F.lit(0), F.least(place, last))).otherwise(0).cast("int")
+
+
+def binned(df: DataFrame, columns, bins: int, ranges: DataFrame, keep=()) -> DataFrame:
+    """``column, bin`` (and kept columns) of every readable cell, by the edges ``ranges`` (column, lo, hi) gives."""
+    columns = list(columns)
+    edges = ranges.groupBy().agg(F.map_from_entries(F.collect_list(F.struct("column", F.struct("lo", "hi")))).alias("edges"))
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns])
+    edge = F.element_at(edges.scalar(), F.col("column"))
+    return (
+        df.select(*keep, F.inline(cells))
+        .where(F.col("value").isNotNull() & ~F.isnan("value"))
+        .select(*keep, "column", "value", edge.alias("edge"))
+        .select(*keep, "column", bin_index(F.col("value"), F.col("edge.lo"), F.col("edge.hi"), bins).alias("bin"))
+    )
 
 
 def histograms(df: DataFrame, columns, bins: int = 20, ranges: DataFrame | None = None) -> DataFrame:
@@ -166,18 +199,8 @@ def histograms(df: DataFrame, columns, bins: int = 20, ranges: DataFrame | None
 
     ``ranges`` (column, lo, hi) fixes the bin edges; by default the columns' own extremes do.
     """
-    columns = list(columns)
-    edges = (ranges if ranges is not None else value_ranges(df, columns)).groupBy().agg(
-        F.map_from_entries(F.collect_list(F.struct("column", F.struct("lo", "hi")))).alias("edges")
-    )
-    cells = unpivoted(df.select(*[F.col(c).cast("double").alias(c) for c in columns]), columns)
-    edge = F.element_at(edges.scalar(), F.col("column"))
-    return (
-        cells.where(F.col("value").isNotNull() & ~F.isnan("value"))
-        .select("column", bin_index(F.col("value"), edge["lo"], edge["hi"], bins).alias("bin"))
-        .groupBy("column", "bin")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    cells = binned(df, columns, bins, ranges if ranges is not None else value_ranges(df, columns))
+    return cells.groupBy("column", "bin").agg(F.count(F.lit(1)).alias("n"))
 
 
 def data_summary(df: DataFrame, numeric, categorical) -> DataFrame:

@@ -23,24 +23,27 @@ EXCESSIVE_MISSING = 0.8
 def quality_report(df: DataFrame, target: str | None = None) -> DataFrame:
     """Rows ``(measure, value)``: size, missing cells, duplicates and the target's distribution.
 
-    Finding duplicates means grouping by whole rows; everything else is read off those groups.
+    Sizes, gaps and the target are one aggregate by the target's value, which moves a row per value;
+    duplicates are found by digests, see ``profile.duplicate_rows``.
     """
-    groups = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("copies"))
     gaps = scalars.add_all([scalars.is_missing(df, c).cast("int") for c in df.columns])
+    known = target is not None and target in df.columns
+    by_value = df.groupBy(*([F.col(f"`{target}`").alias("_target")] if known else [])).agg(
+        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(gaps), F.lit(0)).cast("bigint").alias("gaps")
+    )
 
-    def total(values) -> Column:
+    def total(values: str) -> Column:
         return F.coalesce(F.sum(values), F.lit(0))
 
-    report = groups.agg(
-        total(F.col("copies")).alias("total_rows"),
+    sizes = by_value.agg(
+        total("n").alias("total_rows"),
         F.lit(len(df.columns)).cast("bigint").alias("total_columns"),
-        total(gaps * F.col("copies")).alias("missing_values"),
-        total(F.col("copies") - 1).alias("duplicate_rows"),
-    ).unpivot([], ["total_rows", "total_columns", "missing_values", "duplicate_rows"], "measure", "value")
-    if target is None or target not in df.columns:
+        total("gaps").alias("missing_values"),
+    ).unpivot([], ["total_rows", "total_columns", "missing_values"], "measure", "value")
+    report = sizes.union(profile.duplicate_rows(df).select(F.lit("duplicate_rows"), "duplicate_rows"))
+    if not known:
         return report
-    by_value = groups.groupBy(target).agg(F.sum("copies").alias("n"))
-    name = F.concat(F.lit("target="), F.coalesce(F.col(target).cast("string"), F.lit("null")))
+    name = F.concat(F.lit("target="), F.coalesce(F.col("_target").cast("string"), F.lit("null")))
     return report.union(by_value.select(name, "n"))
 
 

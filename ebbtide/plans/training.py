@@ -12,6 +12,7 @@ from ebbtide.operators import evaluation
 from ebbtide.operators.splitting import stratified_split
 from ebbtide.plans import models
 from ebbtide.plans.runs import FAILED, RunStore
+from ebbtide.session import written
 
 
 def run_training(store: RunStore, df: DataFrame, numeric, categorical, key: str, label: str = "label",
@@ -31,7 +32,8 @@ def run_training(store: RunStore, df: DataFrame, numeric, categorical, key: str,
     training_id, at = training_id or uuid.uuid4().hex, at or datetime.now()
     logged = []
     try:
-        split = stratified_split(df.where(F.col(label).isNotNull()), key, label, test_size, seed)
+        # written, or every pass of every fit would look for the split's limits again
+        split = written(stratified_split(df.where(F.col(label).isNotNull()), key, label, test_size, seed), "training")
         train_df, test_df = split.where("split = 'train'"), split.where("split = 'test'")
         for name in names:
             fixed = (params or {}).get(name)

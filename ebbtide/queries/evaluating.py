@@ -26,8 +26,9 @@ from ebbtide.queries.base import (
     typed,
 )
 from ebbtide.schema import SNAPSHOTS
-from ebbtide.session import fresh_path
+from ebbtide.session import fresh_path, written
 from ebbtide.sources.writers import write_table
+from ebbtide.streaming import jobs
 
 _ONE = ", one as (select 1 g, churn y, churn_probability p from scored)" + sql_measures("one", ["g"])
 
@@ -303,7 +304,20 @@ def _sql_psi(columns) -> str:
 def _(spark, d):
     rows = cleaned(spark, d)
     early = F.col("snapshot_ts") < F.lit("1998-01-01").cast("timestamp_ntz")
-    return rounded(monitoring.stability_index(rows.where(early), rows.where(~early), NUMERIC))
+    return rounded(monitoring.stability_by_side(rows, early, NUMERIC))
+
+
+@query("str_03_stream_against_reference", _sql_psi(NUMERIC))
+def _(spark, d):
+    """Later snapshots arrive as files and are counted by the bins stored of the earlier ones."""
+    rows = cleaned(spark, d)
+    early = F.col("snapshot_ts") < F.lit("1998-01-01").cast("timestamp_ntz")
+    stored = written(monitoring.reference_bins(rows.where(early), NUMERIC), "bins")
+    folder, target, checkpoint = (fresh_path(spark, n) for n in ("arrivals", "drift-out", "drift-state"))
+    rows.where(~early).repartition(3).write.parquet(folder)
+    source = jobs.arriving_files(spark, folder, rows.schema, "parquet", files_per_trigger=1)
+    jobs.drift_stream(source, stored, target, checkpoint).awaitTermination()
+    return rounded(monitoring.stability_of_arrived(stored, spark.read.parquet(target)))
 
 
 @query(

@@ -11,6 +11,7 @@ from ebbtide.functions import scalars, subscribers
 from ebbtide.operators import prepare, profile, scaling, splitting
 from ebbtide.plans.features import feature_stages
 from ebbtide.plans.snapshot import SERVICE_FLAGS, with_services
+from ebbtide.plans.snapshot import snapshots
 from ebbtide.queries.base import (
     CATEGORICAL,
     NUMERIC,
@@ -50,7 +51,7 @@ def _(spark, d):
 
 @query("prj_01_select", "select customer_id, tenure, churn from snap")
 def _(spark, d):
-    return snap(spark, d).select("customer_id", "tenure", "churn")
+    return snapshots(spark, d).select("customer_id", "tenure", "churn")  # derived here, not read back
 
 
 @query("prj_02_drop_key", "select * exclude (customer_id, churn) from snap")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ebbtide.operators.monitoring import prediction_windows
+from ebbtide.operators.monitoring import arrived_bins, prediction_windows
 from ebbtide.plans.scoring import score
 from ebbtide.sources.writers import flat
 
@@ -45,3 +45,18 @@ def monitor_stream(scored: DataFrame, ts: str, target: str, checkpoint: str, wid
                    delay: str = "1 hour", once: bool = True, interval: str = "1 minute") -> StreamingQuery:
     """Append each window's figures once the watermark has passed its end; later rows are left out."""
     return _drain(prediction_windows(scored, ts, width, delay), target, checkpoint, "parquet", once, interval)
+
+
+def drift_stream(source: DataFrame, stored: DataFrame, target: str, checkpoint: str, once: bool = True,
+                 interval: str = "1 minute") -> StreamingQuery:
+    """Count arriving rows by the bins of a stored reference (``monitoring.reference_bins``).
+
+    Each batch writes its few counts under its own number, so that a batch done twice counts once.
+    ``monitoring.stability_of_arrived`` reads the index off the counts at any time.
+    """
+
+    def count(batch: DataFrame, number: int) -> None:
+        arrived_bins(batch, stored).write.mode("overwrite").parquet(f"{target}/batch={number}")
+
+    writer = source.writeStream.foreachBatch(count).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=interval)).start()

@@ -61,6 +61,37 @@ def test_quantiles_equal_numpy(spark):
             assert math.isclose(got[name, p], np.quantile(known, p), rel_tol=1e-12, abs_tol=1e-12)
 
 
+def test_quantiles_of_awkward_doubles(spark):
+    """Values of all sizes, next neighbours, infinities, and columns of one value or one exponent."""
+    columns = {
+        "x": awkward_doubles(3000, 7),
+        "y": [1 + i * 2.0**-52 for i in range(3000)],
+        "z": [5.5] * 2999 + [None],
+        "v": [math.nan if i % 3 else float(-i) for i in range(3000)],
+    }
+    df = spark.createDataFrame(list(zip(*columns.values())), "x double, y double, z double, v double").repartition(5)
+    probs = [0.0, 0.2, 0.5, 0.75, 1.0]
+    got = {(r["column"], r["prob"]): r["value"] for r in quantiles(df, list(columns), probs).collect()}
+    for name, values in columns.items():
+        known = sorted(v for v in values if v is not None and not math.isnan(v))
+        for p in probs:
+            at = (len(known) - 1) * p
+            lower, upper = known[math.floor(at)], known[math.ceil(at)]
+            want = lower + (upper - lower) * (at - math.floor(at))
+            assert got[name, p] == want or math.isnan(want) and math.isnan(got[name, p])
+
+
+def test_quantiles_move_no_row_per_value(spark):
+    """The values themselves are grouped only after the join with the few stretches looked into."""
+    df = spark.range(100_000).select((F.rand(3) * 1e6).alias("x"))
+    out = quantiles(df, ["x"], [0.25, 0.5])
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    by_value = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "value#" in line]
+    assert all("_high" in line for line in by_value)
+    assert plan.count("BroadcastHashJoin") >= 2
+
+
 def test_quantiles_of_nothing(spark):
     df = spark.createDataFrame([(None,)], "x double")
     assert quantiles(df, ["x"], [0.5]).collect() == []

@@ -75,6 +75,27 @@ def test_duplicates_count_nulls_as_equal(spark):
     }
 
 
+def test_duplicates_by_digest_are_exact(spark, monkeypatch):
+    rows = [(None, "a"), ("a", None), (None, None), (None, None), ("x", "y"), ("x", "y"), ("x", "y"), ("y", "x"), ("", None), (None, "")]
+    df = spark.createDataFrame(rows, "`a.b` string, c string")
+    for _ in range(2):
+        assert profile.duplicate_rows(df).first()[0] == 3
+        report = {r["measure"]: r["value"] for r in quality.quality_report(df, "c").collect()}
+        assert report == {"total_rows": 10, "total_columns": 2, "missing_values": 8, "duplicate_rows": 3,
+                          "target=a": 1, "target=null": 4, "target=y": 3, "target=x": 1, "target=": 1}
+        # all digests alike: the full rows decide
+        monkeypatch.setattr(profile, "_digest", lambda df: [F.lit(1).alias("_d1"), F.lit(2).alias("_d2")])
+    assert profile.duplicate_rows(df.limit(0)).first()[0] == 0
+    assert {r["measure"]: r["value"] for r in quality.quality_report(df.limit(0)).collect()}["total_rows"] == 0
+
+
+def test_duplicates_move_digests_not_rows(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").drop("doc_id")
+    plan = profile.duplicate_rows(df)._jdf.queryExecution().executedPlan().toString()
+    hashed = [line for line in plan.splitlines() if "Exchange hashpartitioning(_d1" in line]
+    assert hashed and len({line.strip() for line in hashed}) >= 1
+
+
 def test_schema_helpers(spark, raw_rows):
     roles = dict(column_roles(raw_rows).collect())
     assert roles["tenure"] == "numerical" and roles["Contract"] == "categorical"
