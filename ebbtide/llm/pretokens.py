@@ -28,7 +28,7 @@ LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 #: Parts of this alphabet are cut by the patterns below: no apostrophe, no "<", no white space.
 PLAIN = re.compile(rf"[{LETTERS}0-9!-&(-;=-@\[-`{{-~]+")
 #: Bytes a worker's memo holds, parts and words together; longer ones than this many characters aren't kept.
-MEMO_BYTES = 48 << 20
+MEMO_BYTES = 160 << 20
 LONGEST = 32
 #: Of an entry, beside its text: two objects and its place in the dictionary, about.
 ENTRY_BYTES = 180
