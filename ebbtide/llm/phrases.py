@@ -11,6 +11,7 @@ where two phrases share a bit, a pass counts more than it has to, never less.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -65,10 +66,11 @@ def _salted(words: list[bytes], salt: np.uint64) -> np.ndarray:
     return own
 
 
-def blocks(batches, size: int, reach: int, named: bool = False) -> Iterator[tuple]:
-    """The words of ``lang, text`` batches: (hashes, how many starts to look at, words, their languages).
+def blocks(batches, size: int, reach: int, named: bool = False, totals: dict | None = None) -> Iterator[tuple]:
+    """The words of ``lang, text`` batches: (hashes, how many starts to look at, words, languages).
 
-    Words and languages themselves are held if ``named``, otherwise none.
+    Words themselves are held if ``named``, and languages as (first word, language) of runs of words.
+    ``totals`` gets the number of words by the language's salt.
 
     Blocks hold about ``size`` words. The last ``reach`` words of one are the first of the next, so
     that runs over the border are met once; a text of any length goes through in such blocks.
@@ -85,15 +87,18 @@ def blocks(batches, size: int, reach: int, named: bool = False) -> Iterator[tupl
             for part in _spans(text):
                 found = part.split()
                 hashes.append(_salted(found, salt))
+                if totals is not None:
+                    totals[salt] = totals.get(salt, 0) + int(np.count_nonzero(hashes[-1]))
                 if named:
                     words += found
-                    names += [UNKNOWN if lang is None else lang] * len(found)
+                    names.append((n, UNKNOWN if lang is None else lang))
                 n += len(found)
                 if n >= size:
                     block = taken(n - reach)
                     yield block
-                    hashes, n = [block[0][n - reach :].copy()], reach
-                    words, names = words[-reach:], names[-reach:]
+                    cut, ends = n - reach, [start for start, _ in names[1:]] + [n]
+                    names = [(max(start - cut, 0), name) for (start, name), end in zip(names, ends) if end > cut]
+                    hashes, words, n = [block[0][cut:].copy()], words[-reach:], reach
     if n:
         yield taken(n)
 
@@ -128,10 +133,15 @@ def _possible(hashes: np.ndarray, n: int, known: dict[int, list[bytes]]) -> np.n
 
 
 def _count(docs: DataFrame, lengths, known: dict[int, list[bytes]], before: dict[int, list[bytes]] | None, reach: int) -> DataFrame:
-    """``key, n`` of the phrases of these lengths that ``known`` allows and ``before`` did not."""
+    """``key, n`` of the phrases of these lengths that ``known`` allows and ``before`` did not.
+
+    A pass that counts words among others also counts all words of each language, under a key of the
+    longest length there is, which no phrase has.
+    """
 
     def run(batches):
-        for hashes, starts, *_ in blocks(batches, BLOCK_WORDS, reach):
+        totals: dict | None = {} if 1 in lengths and len(lengths) > 1 else None
+        for hashes, starts, *_ in blocks(batches, BLOCK_WORDS, reach, totals=totals):
             for n in lengths:
                 ok = _possible(hashes, n, known)
                 if before is not None:
@@ -140,6 +150,9 @@ def _count(docs: DataFrame, lengths, known: dict[int, list[bytes]], before: dict
                 keys, counts = np.unique(_keys(hashes, n)[ok], return_counts=True)
                 if len(keys):
                     yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts)], ["key", "n"])
+        if totals:
+            keys = np.array(list(totals), np.uint64) | _LENGTH
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(list(totals.values()), pa.int64())], ["key", "n"])
 
     return docs.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
@@ -174,6 +187,10 @@ def _bitmaps(keys: DataFrame, lengths) -> dict[int, list[bytes]]:
     return out
 
 
+def _first(run: tuple[int, str]) -> int:
+    return run[0]
+
+
 def _texts(docs: DataFrame, known: dict[int, list[bytes]], reach: int) -> DataFrame:
     """``key, lang, phrase`` of each phrase that ``known`` holds, some of them more than once."""
 
@@ -192,7 +209,7 @@ def _texts(docs: DataFrame, known: dict[int, list[bytes]], reach: int) -> DataFr
                         if len(seen) >= REMEMBERED:
                             seen.clear()
                         seen.add(key)
-                        out.append((key, langs[i], b" ".join(words[i : i + n]).decode()))
+                        out.append((key, langs[bisect_right(langs, i, key=_first) - 1][1], b" ".join(words[i : i + n]).decode()))
             if out:
                 columns = list(zip(*out))
                 yield pa.RecordBatch.from_arrays(
@@ -205,7 +222,7 @@ def _texts(docs: DataFrame, known: dict[int, list[bytes]], reach: int) -> DataFr
 
 
 def _with_parts(phrases: DataFrame, longest: int) -> DataFrame:
-    """Adds ``parts``: the keys of all shorter runs of words in a phrase, as (from, words, key)."""
+    """Adds ``parts``: the keys of all shorter runs of words in a phrase, as (from, words, key); and its language's key."""
     kind = pa.list_(pa.struct([("start", pa.int64()), ("words", pa.int64()), ("key", pa.int64())]))
 
     def run(batches):
@@ -220,9 +237,11 @@ def _with_parts(phrases: DataFrame, longest: int) -> DataFrame:
                         for i, key in enumerate(_keys(hashes, n).view(np.int64).tolist())
                     ]
                 )
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(parts, kind)], [*batch.schema.names, "parts"])
+            of = np.array([_salt(lang) for lang in batch.column(1).to_pylist()], np.uint64) | _LENGTH
+            columns = [*batch.columns, pa.array(parts, kind), pa.array(of.view(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "parts", "lang_key"])
 
-    schema = "key long, lang string, phrase string, parts array<struct<start: long, words: long, key: long>>"
+    schema = "key long, lang string, phrase string, parts array<struct<start: long, words: long, key: long>>, lang_key long"
     return phrases.mapInArrow(run, schema)
 
 
@@ -277,11 +296,11 @@ def mine_phrases(
     texts go through in blocks. The rows in ``share``, chosen by a hash of ``id_col``, propose
     phrases; the result doesn't depend on them. Phrases are told apart by 61 bits of a hash.
     """
-    if not 2 <= longest <= 8:
-        raise ValueError("phrases have 2 to 8 words")
+    if not 2 <= longest < int(_LENGTH):
+        raise ValueError("phrases have 2 to 6 words")
     texts = narrow(docs, lang=lang_col, text=text_col, id=id_col)
     frequent, _ = frequent_phrases(texts, min_count, longest, share)
-    long = frequent.where(_length() > 1)
+    long = frequent.where(_length().between(2, longest))
     named = _texts(texts.select("lang", "text"), _bitmaps(long, range(2, longest + 1)), longest - 1)
     phrases = written(_with_parts(named.join(long, "key", "left_semi"), longest), "phrase-parts")
     candidates = phrases.join(long.withColumnRenamed("n", "a"), "key")
@@ -306,11 +325,11 @@ def mine_phrases(
     around = runs.groupBy("key").agg(F.max("a").alias("around"))
     wide = lambda c: F.col(c).cast("decimal(20, 0)")
     kept = (
-        candidates.select("key", "lang", "phrase", "a")
+        candidates.select("key", "lang", "lang_key", "phrase", "a")
         .join(around, "key", "left")
         .where(F.col("around").isNull() | (wide("around") * 100 < wide("a") * contained))
         .join(weakest, "key")
-        .select("key", "lang", "phrase", "a", "cut.*")
+        .select("key", "lang", "lang_key", "phrase", "a", "cut.*")
     )
 
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
@@ -318,20 +337,5 @@ def mine_phrases(
     best = kept.withColumn("group", F.pmod(F.xxhash64("key"), F.lit(GROUPS)))
     best = best.withColumn("rank", F.row_number().over(group)).where(F.col("rank") <= top)
     best = best.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= top)
-    totals = _totals(texts.select("lang", "text"))
-    return best.join(totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
-
-
-def _totals(texts: DataFrame) -> DataFrame:
-    """``lang, n``: all words of each language."""
-
-    def run(batches):
-        for batch in batches:
-            counts: dict[str, int] = {}
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary())):
-                lang = UNKNOWN if lang is None else lang
-                data = (text.as_py() or b"").translate(_TABLE).replace(BREAK, b" ")
-                counts[lang] = counts.get(lang, 0) + sum(len(part.split()) for part in _spans(data))
-            yield pa.RecordBatch.from_arrays([pa.array(counts, pa.string()), pa.array(counts.values(), pa.int64())], ["lang", "n"])
-
-    return texts.mapInArrow(run, "lang string, n long").groupBy("lang").agg(F.sum("n").alias("n"))
+    totals = frequent.where(_length() == int(_LENGTH) + 1).select(F.col("key").alias("lang_key"), "n")
+    return best.join(totals, "lang_key").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
