@@ -5,14 +5,17 @@ their negative border: phrases not proposed whose parts all are. Where a phrase
 out to be frequent, longer ones may have been overlooked; further passes count what became possible,
 until nothing new is frequent. So the result is exact, whatever the sample proposed.
 
-Sets of phrases stay tables. For the passes each length's set becomes a bitmap of bounded size;
-where two phrases share a bit, a pass counts more than it has to, never less.
+Texts are cut into words once and stored as blocks of word hashes, which all passes read. Sets of
+phrases stay tables. For the passes each length's set becomes a bitmap of bounded size; where two
+phrases share a bit, a pass counts more than it has to, never less. Scores and containment are worked
+out on hashes; only the phrases of the result are looked up in the texts.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_right
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -27,10 +30,13 @@ from ebbtide.session import written
 
 #: What a share of the documents has to show of the wanted count for a phrase to be proposed.
 CAUTION = 0.6
-BLOCK_WORDS = 1 << 18
-#: Words of a block in the pass that also holds the words themselves; phrases a task remembers.
+#: Words a pass looks at together, words of a stored block.
+BLOCK_WORDS = 1 << 19
+STORED_WORDS = 1 << 16
+#: Words of a block in the pass that also holds the words themselves.
 TEXT_WORDS = 1 << 17
-REMEMBERED = 500_000
+#: Phrases a task remembers as emitted (32 MB).
+REMEMBERED = 1 << 22
 #: Bits for each phrase of a bitmap, and its largest size as a power of two (16 MB).
 BITS_EACH = 8
 MOST_BITS = 27
@@ -66,11 +72,10 @@ def _salted(words: list[bytes], salt: np.uint64) -> np.ndarray:
     return own
 
 
-def blocks(batches, size: int, reach: int, named: bool = False, totals: dict | None = None) -> Iterator[tuple]:
+def blocks(batches, size: int, reach: int, named: bool = False) -> Iterator[tuple]:
     """The words of ``lang, text`` batches: (hashes, how many starts to look at, words, languages).
 
-    Words themselves are held if ``named``, and languages as (first word, language) of runs of words.
-    ``totals`` gets the number of words by the language's salt.
+    Words themselves are held if ``named``; languages are (first word, language) of runs of words.
 
     Blocks hold about ``size`` words. The last ``reach`` words of one are the first of the next, so
     that runs over the border are met once; a text of any length goes through in such blocks.
@@ -82,16 +87,15 @@ def blocks(batches, size: int, reach: int, named: bool = False, totals: dict | N
 
     for batch in batches:
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary())):
-            salt = _salt(lang)
+            salt, lang = _salt(lang), UNKNOWN if lang is None else lang
             text = (text.as_py() or b"").translate(_TABLE).replace(BREAK, b" \xff ") + b" \xff"
             for part in _spans(text):
                 found = part.split()
                 hashes.append(_salted(found, salt))
-                if totals is not None:
-                    totals[salt] = totals.get(salt, 0) + int(np.count_nonzero(hashes[-1]))
                 if named:
                     words += found
-                    names.append((n, UNKNOWN if lang is None else lang))
+                if not names or names[-1][1] != lang:
+                    names.append((n, lang))
                 n += len(found)
                 if n >= size:
                     block = taken(n - reach)
@@ -103,6 +107,70 @@ def blocks(batches, size: int, reach: int, named: bool = False, totals: dict | N
         yield taken(n)
 
 
+_STORED = "hashes binary, starts long, at array<long>, salts array<long>"
+
+
+def _cut(docs: DataFrame, reach: int) -> DataFrame:
+    """``lang, text`` rows as blocks of word hashes with the runs of words of one language."""
+
+    def run(batches):
+        for hashes, starts, _, names in blocks(batches, STORED_WORDS, reach):
+            salts = np.array([_salt(name) for _, name in names], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_pydict(
+                {"hashes": [hashes.tobytes()], "starts": [starts], "at": [[at for at, _ in names]], "salts": [salts.tolist()]},
+                pa.schema([("hashes", pa.binary()), ("starts", pa.int64()), ("at", pa.list_(pa.int64())), ("salts", pa.list_(pa.int64()))]),
+            )
+
+    return docs.select("lang", "text").mapInArrow(run, _STORED)
+
+
+@dataclass
+class _Words:
+    """Stored blocks put together: no run goes over from one to the next, each start is looked at once."""
+
+    hashes: np.ndarray
+    own: np.ndarray
+    at: np.ndarray
+    salts: np.ndarray
+
+    def salt_of(self, places: np.ndarray) -> np.ndarray:
+        return self.salts[np.searchsorted(self.at, places, "right") - 1]
+
+    def totals(self) -> tuple[np.ndarray, np.ndarray]:
+        """Salts of the languages with the numbers of their words."""
+        salts, index = np.unique(self.salts, return_inverse=True)
+        each = np.add.reduceat((self.own & (self.hashes != 0)).astype(np.int64), self.at)
+        sums = np.zeros(len(salts), np.int64)
+        np.add.at(sums, index, each)
+        return salts, sums
+
+
+def _read(batches, size: int) -> Iterator[_Words]:
+    held, n = [], 0
+
+    def joined() -> _Words:
+        own, at, salts, first = [], [], [], 0
+        for hashes, starts, runs, names in held:
+            own.append(np.arange(len(hashes)) < starts)
+            at.append(runs + first)
+            salts.append(names)
+            first += len(hashes)
+        return _Words(*(np.concatenate(x) for x in ([h for h, *_ in held], own, at, salts)))
+
+    for batch in batches:
+        for i in range(batch.num_rows):
+            hashes, starts, runs, names = (batch.column(c)[i] for c in range(4))
+            # a break ends each block
+            hashes = np.concatenate([np.frombuffer(hashes.as_buffer(), np.uint64), np.zeros(1, np.uint64)])
+            held.append((hashes, starts.as_py(), runs.values.to_numpy(), names.values.to_numpy().view(np.uint64)))
+            n += len(hashes)
+            if n >= size:
+                yield joined()
+                held, n = [], 0
+    if held:
+        yield joined()
+
+
 def _valid(hashes: np.ndarray, n: int) -> np.ndarray:
     """Where a run of ``n`` words within one piece starts."""
     size = len(hashes) - n + 1
@@ -132,7 +200,7 @@ def _possible(hashes: np.ndarray, n: int, known: dict[int, list[bytes]]) -> np.n
     return ok
 
 
-def _count(docs: DataFrame, lengths, known: dict[int, list[bytes]], before: dict[int, list[bytes]] | None, reach: int) -> DataFrame:
+def _count(stored: DataFrame, lengths, known: dict[int, list[bytes]], before: dict[int, list[bytes]] | None) -> DataFrame:
     """``key, n`` of the phrases of these lengths that ``known`` allows and ``before`` did not.
 
     A pass that counts words among others also counts all words of each language, under a key of the
@@ -140,21 +208,23 @@ def _count(docs: DataFrame, lengths, known: dict[int, list[bytes]], before: dict
     """
 
     def run(batches):
-        totals: dict | None = {} if 1 in lengths and len(lengths) > 1 else None
-        for hashes, starts, *_ in blocks(batches, BLOCK_WORDS, reach, totals=totals):
+        def counted(keys, counts):
+            return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts)], ["key", "n"])
+
+        for words in _read(batches, BLOCK_WORDS):
             for n in lengths:
-                ok = _possible(hashes, n, known)
+                ok = _possible(words.hashes, n, known)
                 if before is not None:
-                    ok &= ~_possible(hashes, n, before)
-                ok[starts:] = False
-                keys, counts = np.unique(_keys(hashes, n)[ok], return_counts=True)
+                    ok &= ~_possible(words.hashes, n, before)
+                ok &= words.own[: len(ok)]
+                keys, counts = np.unique(_keys(words.hashes, n)[ok], return_counts=True)
                 if len(keys):
-                    yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts)], ["key", "n"])
-        if totals:
-            keys = np.array(list(totals), np.uint64) | _LENGTH
-            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(list(totals.values()), pa.int64())], ["key", "n"])
+                    yield counted(keys, counts)
+            if 1 in lengths and len(lengths) > 1:
+                salts, sums = words.totals()
+                yield counted(salts | _LENGTH, sums)
 
-    return docs.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    return stored.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
 
 def _length(key: str = "key") -> Column:
@@ -176,23 +246,82 @@ def _overlooked(frequent: DataFrame, known: dict[int, list[bytes]], longest: int
     return frequent.select("key").mapInArrow(run, "key long")
 
 
-def _bitmaps(keys: DataFrame, lengths) -> dict[int, list[bytes]]:
+def _bitmaps(keys: DataFrame, lengths, least: int = 15) -> dict[int, list[bytes]]:
     """A bitmap of the phrases of each length, of a size that fits their number up to a bound."""
     numbers = {r["m"]: r["n"] for r in keys.groupBy(_length().alias("m")).agg(F.count("*").alias("n")).collect()}
     out = {}
     for n in lengths:
-        bits = min(MOST_BITS, max(15, (BITS_EACH * numbers.get(n, 0)).bit_length()))
+        bits = min(MOST_BITS, max(least, (BITS_EACH * numbers.get(n, 0)).bit_length()))
         at = keys.where(_length() == n).select(F.shiftright("key", int(_SHIFT)).alias("at"))
         out[n] = [bitmap(at, "at", bits)] if numbers.get(n) else []
     return out
 
 
+def _words_of(stored: DataFrame, known: dict[int, list[bytes]], longest: int) -> DataFrame:
+    """``key, lang_key, w1, w2, ...``: the language's key and the words' hashes of each phrase ``known`` holds."""
+    names = [f"w{i + 1}" for i in range(longest)]
+
+    def run(batches):
+        seen = np.empty(0, np.uint64)
+        for words in _read(batches, BLOCK_WORDS):
+            met = []
+            for n, sets in known.items():
+                keys = _keys(words.hashes, n)
+                ok = _valid(words.hashes, n) & words.own[: len(keys)]
+                at = np.flatnonzero(ok)
+                at = at[_held(keys[at], sets)]
+                new, first = np.unique(keys[at], return_index=True)
+                fresh = ~np.isin(new, seen, assume_unique=True)
+                new, at = new[fresh], at[first[fresh]]
+                if len(new):
+                    met.append(new)
+                    parts = [words.hashes[at + i] if i < n else np.zeros(len(at), np.uint64) for i in range(longest)]
+                    columns = [new, words.salt_of(at) | _LENGTH, *parts]
+                    yield pa.RecordBatch.from_arrays([pa.array(c.view(np.int64)) for c in columns], ["key", "lang_key", *names])
+            if len(seen) + sum(map(len, met)) > REMEMBERED:
+                seen = np.empty(0, np.uint64)
+            seen = np.concatenate([seen, *met])
+
+    columns = ["lang_key", *names]
+    found = stored.mapInArrow(run, ", ".join(f"{c} long" for c in ["key", *columns]))
+    # equal keys are equal words
+    return found.groupBy("key").agg(*[F.max(c).alias(c) for c in columns])
+
+
+def _with_parts(phrases: DataFrame, longest: int) -> DataFrame:
+    """``phrases`` with ``parts`` instead of their words: the keys of all shorter runs, as (from, words, key)."""
+    kind = pa.list_(pa.struct([("start", pa.int64()), ("words", pa.int64()), ("key", pa.int64())]))
+    spots = [(i, n) for n in range(1, longest) for i in range(longest - n + 1)]
+
+    def run(batches):
+        for batch in batches:
+            key, lang_key, *words = (c.to_numpy().view(np.uint64) for c in batch.columns)
+            size = len(key)
+            # the words of all phrases one after another: a run of each phrase starts every so many words
+            flat = np.stack(words, 1).ravel()
+            keys = np.empty((size, len(spots)), np.uint64)
+            for j, (i, n) in enumerate(spots):
+                keys[:, j] = _keys(flat, n)[i::longest][:size]
+            starts, lengths = (np.array(x, np.int64) for x in zip(*spots))
+            inside = (starts + lengths)[None, :] <= ((key & _LENGTH).astype(np.int64) + 1)[:, None]
+            inside &= lengths[None, :] <= (key & _LENGTH).astype(np.int64)[:, None]
+            _, j = np.nonzero(inside)
+            parts = pa.StructArray.from_arrays(
+                [pa.array(starts[j]), pa.array(lengths[j]), pa.array(keys[inside].view(np.int64))], ["start", "words", "key"]
+            )
+            ends = np.concatenate([[0], np.cumsum(inside.sum(1))]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), parts).cast(kind)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists], ["key", "lang_key", "parts"])
+
+    return phrases.mapInArrow(run, "key long, lang_key long, parts array<struct<start: long, words: long, key: long>>")
+
+
 def _first(run: tuple[int, str]) -> int:
     return run[0]
 
 
 def _texts(docs: DataFrame, known: dict[int, list[bytes]], reach: int) -> DataFrame:
-    """``key, lang, phrase`` of each phrase that ``known`` holds, some of them more than once."""
+    """``key, lang, phrase`` of each phrase that ``known`` holds."""
 
     def run(batches):
         seen: set[int] = set()
@@ -206,7 +335,7 @@ def _texts(docs: DataFrame, known: dict[int, list[bytes]], reach: int) -> DataFr
                 new, first = np.unique(keys[at], return_index=True)
                 for key, i in zip(new.view(np.int64).tolist(), at[first].tolist()):
                     if key not in seen:
-                        if len(seen) >= REMEMBERED:
+                        if len(seen) >= REMEMBERED >> 3:
                             seen.clear()
                         seen.add(key)
                         out.append((key, langs[bisect_right(langs, i, key=_first) - 1][1], b" ".join(words[i : i + n]).decode()))
@@ -217,61 +346,41 @@ def _texts(docs: DataFrame, known: dict[int, list[bytes]], reach: int) -> DataFr
                     ["key", "lang", "phrase"],
                 )
 
-    found = docs.mapInArrow(run, "key long, lang string, phrase string")
+    found = docs.select("lang", "text").mapInArrow(run, "key long, lang string, phrase string")
     return found.groupBy("key").agg(F.min(F.struct("lang", "phrase")).alias("named")).select("key", "named.*")
 
 
-def _with_parts(phrases: DataFrame, longest: int) -> DataFrame:
-    """Adds ``parts``: the keys of all shorter runs of words in a phrase, as (from, words, key); and its language's key."""
-    kind = pa.list_(pa.struct([("start", pa.int64()), ("words", pa.int64()), ("key", pa.int64())]))
-
-    def run(batches):
-        for batch in batches:
-            parts = []
-            for lang, phrase in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                hashes = _salted(phrase.encode().split(b" "), _salt(lang))
-                parts.append(
-                    [
-                        {"start": i, "words": n, "key": key}
-                        for n in range(1, len(hashes))
-                        for i, key in enumerate(_keys(hashes, n).view(np.int64).tolist())
-                    ]
-                )
-            of = np.array([_salt(lang) for lang in batch.column(1).to_pylist()], np.uint64) | _LENGTH
-            columns = [*batch.columns, pa.array(parts, kind), pa.array(of.view(np.int64))]
-            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "parts", "lang_key"])
-
-    schema = "key long, lang string, phrase string, parts array<struct<start: long, words: long, key: long>>, lang_key long"
-    return phrases.mapInArrow(run, schema)
-
-
-def frequent_phrases(
-    docs: DataFrame, min_count: int, longest: int, share: float, seed: int = 0
-) -> tuple[DataFrame, int]:
-    """``key, n`` of every phrase of ``lang, text, id`` rows that occurs ``min_count`` times, and the passes after the first."""
-    reach = longest - 1
-    texts = docs.select("lang", "text")
-    buckets = 1 << 20
-    sample = docs.where(F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(buckets)) < share * buckets).select("lang", "text")
+def _mined(docs: DataFrame, min_count: int, longest: int, share: float, seed: int) -> tuple[DataFrame, int, DataFrame]:
+    """The frequent phrases, the passes after the first, and the stored blocks of all documents."""
+    reach, buckets = longest - 1, 1 << 20
+    drawn = F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(buckets)) < share * buckets
+    sample = written(_cut(docs.where(drawn), reach), "sample-words")
+    stored = sample.union(written(_cut(docs.where(~drawn), reach), "other-words"))
     least = max(1, int(CAUTION * share * min_count))
     known: dict[int, list[bytes]] = {}
     for n in range(1, longest):
-        proposed = _count(sample, [n], known, None, reach).where(F.col("n") >= least)
+        proposed = _count(sample, [n], known, None).where(F.col("n") >= least)
         known |= _bitmaps(written(proposed.select("key"), "proposed"), [n])
-    frequent = written(_count(texts, range(1, longest + 1), known, None, reach).where(F.col("n") >= min_count), "phrases")
+    frequent = written(_count(stored, range(1, longest + 1), known, None).where(F.col("n") >= min_count), "phrases")
     passes, found = 0, frequent
     while True:
         more = _bitmaps(written(_overlooked(found, known, longest), "overlooked"), range(1, longest))
         if not any(more.values()):
-            return frequent, passes
+            return frequent, passes, stored
         before, passes = known, passes + 1
         known = {n: known[n] + more[n] for n in known}
-        found = written(
-            _count(texts, range(2, longest + 1), known, before, reach).where(F.col("n") >= min_count), "phrases-more"
-        )
+        counted = _count(stored, range(2, longest + 1), known, before).where(F.col("n") >= min_count)
+        found = written(counted, "phrases-more")
         frequent = frequent.union(found)
 
 
+def frequent_phrases(
+    docs: DataFrame, min_count: int, longest: int, share: float, seed: int = 0
+) -> tuple[DataFrame, int]:
+    """``key, n`` of every phrase of ``lang, text, id`` rows that occurs ``min_count`` times, and the passes after the first."""
+    return _mined(docs, min_count, longest, share, seed)[:2]
+
+
 def mine_phrases(
     docs: DataFrame,
     text_col: str = "text",
@@ -299,10 +408,10 @@ def mine_phrases(
     if not 2 <= longest < int(_LENGTH):
         raise ValueError("phrases have 2 to 6 words")
     texts = narrow(docs, lang=lang_col, text=text_col, id=id_col)
-    frequent, _ = frequent_phrases(texts, min_count, longest, share)
+    frequent, _, stored = _mined(texts, min_count, longest, share, 0)
     long = frequent.where(_length().between(2, longest))
-    named = _texts(texts.select("lang", "text"), _bitmaps(long, range(2, longest + 1)), longest - 1)
-    phrases = written(_with_parts(named.join(long, "key", "left_semi"), longest), "phrase-parts")
+    words = _words_of(stored, _bitmaps(long, range(2, longest + 1)), longest)
+    phrases = written(_with_parts(words.join(long, "key", "left_semi"), longest), "phrase-parts")
     candidates = phrases.join(long.withColumnRenamed("n", "a"), "key")
 
     count = _length()
@@ -325,17 +434,22 @@ def mine_phrases(
     around = runs.groupBy("key").agg(F.max("a").alias("around"))
     wide = lambda c: F.col(c).cast("decimal(20, 0)")
     kept = (
-        candidates.select("key", "lang", "lang_key", "phrase", "a")
+        candidates.select("key", "lang_key", "a")
         .join(around, "key", "left")
         .where(F.col("around").isNull() | (wide("around") * 100 < wide("a") * contained))
         .join(weakest, "key")
-        .select("key", "lang", "lang_key", "phrase", "a", "cut.*")
+        .select("key", "lang_key", "a", "cut.*")
     )
 
-    order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
-    group = Window.partitionBy("lang", "group").orderBy(*order)
-    best = kept.withColumn("group", F.pmod(F.xxhash64("key"), F.lit(GROUPS)))
-    best = best.withColumn("rank", F.row_number().over(group)).where(F.col("rank") <= top)
-    best = best.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= top)
+    # ties at the last rank stay until their texts are known
+    order, group = [F.desc("score"), F.desc("a")], F.pmod(F.xxhash64("key"), F.lit(GROUPS))
+    within, overall = (Window.partitionBy("lang_key", *by) for by in (["group"], []))
+    leading = kept.withColumn("group", group).withColumn("rank", F.rank().over(within.orderBy(*order))).where(F.col("rank") <= top)
+    leading = leading.withColumn("rank", F.rank().over(overall.orderBy(*order))).where(F.col("rank") <= top)
+    leading = written(leading.drop("rank"), "phrase-leaders")
+    named = _texts(texts, _bitmaps(leading, range(2, longest + 1), least=20), longest - 1)
+    best, order = leading.join(named, "key"), [*order, F.asc("phrase")]
+    for by in (within, overall):
+        best = best.withColumn("rank", F.row_number().over(by.orderBy(*order))).where(F.col("rank") <= top)
     totals = frequent.where(_length() == int(_LENGTH) + 1).select(F.col("key").alias("lang_key"), "n")
     return best.join(totals, "lang_key").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
