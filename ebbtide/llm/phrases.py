@@ -26,17 +26,18 @@ from pyspark.sql.window import Window
 
 from ebbtide.llm.common import bitmap, in_bitmap, narrow
 from ebbtide.llm.words import _spans, gram_hashes, hashed, mixed
+from ebbtide.llm.worker import give_back, kept
 from ebbtide.session import written
 
 #: What a share of the documents has to show of the wanted count for a phrase to be proposed.
 CAUTION = 0.6
 #: Words a pass looks at together, words of a stored block.
-BLOCK_WORDS = 1 << 19
+BLOCK_WORDS = 1 << 18
 STORED_WORDS = 1 << 16
 #: Words of a block in the pass that also holds the words themselves.
 TEXT_WORDS = 1 << 17
-#: Phrases a task remembers as emitted (32 MB).
-REMEMBERED = 1 << 22
+#: Phrases a task remembers as emitted (8 MB).
+REMEMBERED = 1 << 20
 #: Bits for each phrase of a bitmap, and its largest size as a power of two (16 MB).
 BITS_EACH = 8
 MOST_BITS = 27
@@ -147,6 +148,7 @@ class _Words:
 
 def _read(batches, size: int) -> Iterator[_Words]:
     held, n = [], 0
+    kept("word blocks", dict)  # the memo of words isn't needed here
 
     def joined() -> _Words:
         own, at, salts, first = [], [], [], 0
@@ -165,10 +167,14 @@ def _read(batches, size: int) -> Iterator[_Words]:
             held.append((hashes, starts.as_py(), runs.values.to_numpy(), names.values.to_numpy().view(np.uint64)))
             n += len(hashes)
             if n >= size:
-                yield joined()
+                whole = joined()
                 held, n = [], 0
+                yield whole
+                del whole
     if held:
         yield joined()
+    held.clear()
+    give_back()
 
 
 def _valid(hashes: np.ndarray, n: int) -> np.ndarray:
@@ -257,6 +263,14 @@ def _bitmaps(keys: DataFrame, lengths, least: int = 15) -> dict[int, list[bytes]
     return out
 
 
+def _among(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
+    """Which of the values are in the ordered array."""
+    if not len(ordered):
+        return np.zeros(len(values), bool)
+    at = np.minimum(np.searchsorted(ordered, values), len(ordered) - 1)
+    return ordered[at] == values
+
+
 def _words_of(stored: DataFrame, known: dict[int, list[bytes]], longest: int) -> DataFrame:
     """``key, lang_key, w1, w2, ...``: the language's key and the words' hashes of each phrase ``known`` holds."""
     names = [f"w{i + 1}" for i in range(longest)]
@@ -271,7 +285,7 @@ def _words_of(stored: DataFrame, known: dict[int, list[bytes]], longest: int) ->
                 at = np.flatnonzero(ok)
                 at = at[_held(keys[at], sets)]
                 new, first = np.unique(keys[at], return_index=True)
-                fresh = ~np.isin(new, seen, assume_unique=True)
+                fresh = ~_among(new, seen)
                 new, at = new[fresh], at[first[fresh]]
                 if len(new):
                     met.append(new)
@@ -280,7 +294,7 @@ def _words_of(stored: DataFrame, known: dict[int, list[bytes]], longest: int) ->
                     yield pa.RecordBatch.from_arrays([pa.array(c.view(np.int64)) for c in columns], ["key", "lang_key", *names])
             if len(seen) + sum(map(len, met)) > REMEMBERED:
                 seen = np.empty(0, np.uint64)
-            seen = np.concatenate([seen, *met])
+            seen = np.sort(np.concatenate([seen, *met]))
 
     columns = ["lang_key", *names]
     found = stored.mapInArrow(run, ", ".join(f"{c} long" for c in ["key", *columns]))
@@ -335,7 +349,7 @@ def _texts(docs: DataFrame, known: dict[int, list[bytes]], reach: int) -> DataFr
                 new, first = np.unique(keys[at], return_index=True)
                 for key, i in zip(new.view(np.int64).tolist(), at[first].tolist()):
                     if key not in seen:
-                        if len(seen) >= REMEMBERED >> 3:
+                        if len(seen) >= REMEMBERED >> 2:
                             seen.clear()
                         seen.add(key)
                         out.append((key, langs[bisect_right(langs, i, key=_first) - 1][1], b" ".join(words[i : i + n]).decode()))
