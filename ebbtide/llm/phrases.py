@@ -19,20 +19,21 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ebbtide.llm.common import bitmap, in_bitmap, narrow
+from ebbtide.llm.common import in_bitmap, narrow
 from ebbtide.llm.words import _spans, gram_hashes, hashed, mixed
-from ebbtide.llm.worker import give_back, kept
+from ebbtide.llm.worker import kept
 from ebbtide.session import written
 
 #: What a share of the documents has to show of the wanted count for a phrase to be proposed.
 CAUTION = 0.6
 #: Words a pass looks at together; words of a stored block, a small one as Parquet looks at the size of a page every 100 rows.
-BLOCK_WORDS = 1 << 18
+BLOCK_WORDS = 1 << 20
 STORED_WORDS = 1 << 13
 #: Words of a block in the pass that also holds the words themselves.
 TEXT_WORDS = 1 << 17
@@ -108,21 +109,24 @@ def blocks(batches, size: int, reach: int, named: bool = False) -> Iterator[tupl
         yield taken(n)
 
 
-_STORED = "hashes binary, starts long, at array<long>, salts array<long>"
+_STORED = "sampled boolean, hashes binary, starts long, at array<long>, salts array<long>"
 
 
 def _cut(docs: DataFrame, reach: int) -> DataFrame:
-    """``lang, text`` rows as blocks of word hashes with the runs of words of one language."""
+    """``lang, text, sampled`` rows as blocks of word hashes with the runs of words of one language."""
+    lists = pa.list_(pa.int64())
+    kind = pa.schema([("sampled", pa.bool_()), ("hashes", pa.binary()), ("starts", pa.int64()), ("at", lists), ("salts", lists)])
 
     def run(batches):
-        for hashes, starts, _, names in blocks(batches, STORED_WORDS, reach):
-            salts = np.array([_salt(name) for _, name in names], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_pydict(
-                {"hashes": [hashes.tobytes()], "starts": [starts], "at": [[at for at, _ in names]], "salts": [salts.tolist()]},
-                pa.schema([("hashes", pa.binary()), ("starts", pa.int64()), ("at", pa.list_(pa.int64())), ("salts", pa.list_(pa.int64()))]),
-            )
+        for batch in batches:
+            drawn = batch.column(2)
+            for sampled, part in ((True, batch.filter(drawn)), (False, batch.filter(pc.invert(drawn)))):
+                for hashes, starts, _, names in blocks([part], STORED_WORDS, reach):
+                    salts = np.array([_salt(name) for _, name in names], np.uint64).view(np.int64)
+                    row = [sampled, hashes.tobytes(), starts, [at for at, _ in names], salts.tolist()]
+                    yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, kind)], schema=kind)
 
-    return docs.select("lang", "text").mapInArrow(run, _STORED)
+    return docs.select("lang", "text", "sampled").mapInArrow(run, _STORED)
 
 
 @dataclass
@@ -161,7 +165,7 @@ def _read(batches, size: int) -> Iterator[_Words]:
 
     for batch in batches:
         for i in range(batch.num_rows):
-            hashes, starts, runs, names = (batch.column(c)[i] for c in range(4))
+            hashes, starts, runs, names = (batch.column(c)[i] for c in range(1, 5))
             # a break ends each block
             hashes = np.concatenate([np.frombuffer(hashes.as_buffer(), np.uint64), np.zeros(1, np.uint64)])
             held.append((hashes, starts.as_py(), runs.values.to_numpy(), names.values.to_numpy().view(np.uint64)))
@@ -173,8 +177,6 @@ def _read(batches, size: int) -> Iterator[_Words]:
                 del whole
     if held:
         yield joined()
-    held.clear()
-    give_back()
 
 
 def _valid(hashes: np.ndarray, n: int) -> np.ndarray:
@@ -253,14 +255,26 @@ def _overlooked(frequent: DataFrame, known: dict[int, list[bytes]], longest: int
 
 
 def _bitmaps(keys: DataFrame, lengths, least: int = 15) -> dict[int, list[bytes]]:
-    """A bitmap of the phrases of each length, of a size that fits their number up to a bound."""
+    """A bitmap of the phrases of each length, of a size that fits their number up to a bound.
+
+    Brought to the driver in 4 KB parts, all lengths in one job.
+    """
     numbers = {r["m"]: r["n"] for r in keys.groupBy(_length().alias("m")).agg(F.count("*").alias("n")).collect()}
-    out = {}
-    for n in lengths:
-        bits = min(MOST_BITS, max(least, (BITS_EACH * numbers.get(n, 0)).bit_length()))
-        at = keys.where(_length() == n).select(F.shiftright("key", int(_SHIFT)).alias("at"))
-        out[n] = [bitmap(at, "at", bits)] if numbers.get(n) else []
-    return out
+    bits = {n: min(MOST_BITS, max(least, (BITS_EACH * numbers[n]).bit_length())) for n in lengths if numbers.get(n)}
+    if not bits:
+        return {n: [] for n in lengths}
+    size = F.coalesce(*[F.when(_length() == n, F.lit(1 << b)) for n, b in bits.items()])
+    at = F.pmod(F.shiftright("key", int(_SHIFT)), size) + 1
+    parts = (
+        keys.where(_length().isin(list(bits)))
+        .select(_length().alias("m"), F.bitmap_bucket_number(at).alias("part"), F.bitmap_bit_position(at).alias("bit"))
+        .groupBy("m", "part")
+        .agg(F.bitmap_construct_agg("bit").alias("bits"))
+    )
+    whole = {n: bytearray(1 << b >> 3) for n, b in bits.items()}
+    for row in parts.collect():
+        whole[row["m"]][(row["part"] - 1) * 4096 : row["part"] * 4096] = row["bits"]
+    return {n: [bytes(whole[n])] if n in whole else [] for n in lengths}
 
 
 def _among(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
@@ -368,8 +382,8 @@ def _mined(docs: DataFrame, min_count: int, longest: int, share: float, seed: in
     """The frequent phrases, the passes after the first, and the stored blocks of all documents."""
     reach, buckets = longest - 1, 1 << 20
     drawn = F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(buckets)) < share * buckets
-    sample = written(_cut(docs.where(drawn), reach), "sample-words")
-    stored = sample.union(written(_cut(docs.where(~drawn), reach), "other-words"))
+    stored = written(_cut(docs.withColumn("sampled", drawn), reach), "words")
+    sample = stored.where("sampled")
     least = max(1, int(CAUTION * share * min_count))
     known: dict[int, list[bytes]] = {}
     for n in range(1, longest):
@@ -463,7 +477,6 @@ def mine_phrases(
     leading = written(leading.drop("rank"), "phrase-leaders")
     named = _texts(texts, _bitmaps(leading, range(2, longest + 1), least=20), longest - 1)
     best, order = leading.join(named, "key"), [*order, F.asc("phrase")]
-    for by in (within, overall):
-        best = best.withColumn("rank", F.row_number().over(by.orderBy(*order))).where(F.col("rank") <= top)
+    best = best.withColumn("rank", F.row_number().over(overall.orderBy(*order))).where(F.col("rank") <= top)
     totals = frequent.where(_length() == int(_LENGTH) + 1).select(F.col("key").alias("lang_key"), "n")
     return best.join(totals, "lang_key").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
