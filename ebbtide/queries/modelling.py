@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbtide.operators import evaluation, splitting
-from ebbtide.plans import models, scoring
+from ebbtide.plans import explaining, models, scoring
 from ebbtide.plans.features import feature_pipeline
 from ebbtide.plans.runs import RunStore
 from ebbtide.plans.training import run_training
@@ -249,6 +249,34 @@ def _(spark, d):
     return _ruled(spark, d, models.BOOSTED, maxIter=20, maxDepth=5)
 
 
+def _explained(rows: DataFrame, model) -> DataFrame:
+    total = F.aggregate("contributions", F.col("base"), lambda a, c: a + c)
+    return explaining.explained(rows, model).withColumn("explained", total)
+
+
+@query(
+    "inf_09_linear_contributions",
+    f"select contract, {R('ln(avg(churn) / (1 - avg(churn)))', 2)} explained from cleaned group by contract",
+)
+def _(spark, d):
+    """Base and contributions of a saturated logistic fit are each category's log odds."""
+    rows = cleaned(spark, d).withColumnRenamed("churn", "label").select(KEY, "contract", "label")
+    model = models.build_pipeline(rows, models.LOGISTIC, [], ["contract"], params={"maxIter": 100, "regParam": 0.0, "tol": 1e-9}).fit(rows)
+    return rounded(_explained(rows, model).groupBy("contract").agg(F.avg("explained").alias("explained")), 2)
+
+
+@query(
+    "inf_09_tree_contributions",
+    f"select customer_id, {R(f'(select avg({_RULED}) from cleaned)')} base, cast({_RULED} as double) explained from cleaned",
+)
+def _(spark, d):
+    """Base (the rate of all rows) and contributions along a tree's path are the row's probability."""
+    columns = ["contract", "region", "internet_service"]
+    rows = cleaned(spark, d).select(KEY, *columns, F.expr(_RULED).cast("double").alias("label"))
+    model = models.build_pipeline(rows, models.TREE, [], columns, params={"maxDepth": 6}).fit(rows)
+    return rounded(_explained(rows, model).select(KEY, "base", "explained"))
+
+
 @query(
     "reg_05_run_training",
     f"""select cast(3 as int) models_trained, 'success' status, m.model_type, cast(1 as double) test_roc_auc, cast(1 as double) test_accuracy,

@@ -6,6 +6,7 @@ from pyspark.ml import Pipeline
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ebbtide.functions import scalars, subscribers
 from ebbtide.operators import prepare, profile, scaling, splitting
@@ -27,7 +28,7 @@ from ebbtide.queries.base import (
 )
 from ebbtide.schema import SNAPSHOTS, column_roles
 from ebbtide.session import fresh_path
-from ebbtide.sources.tables import read_customers, table
+from ebbtide.sources.tables import quarantine, read_checked, read_customers, table
 from ebbtide.sources.writers import to_json_rows, write_table
 
 # --- sources ---------------------------------------------------------------------------------
@@ -46,6 +47,27 @@ def _(spark, d):
     return read_customers(spark, path, schema=df.schema)
 
 
+@query(
+    "src_01_malformed_records",
+    """select reason, count(*) n_records, sum(c_custkey)::bigint keys from (
+    select c_custkey, unnest(case c_custkey % 50 when 1 then ['unreadable: balance'] when 2 then ['short line'] when 3 then ['long line']
+      when 4 then ['unreadable: nation', 'unreadable: balance'] else ['sound'] end) reason from customer) group by reason""",
+)
+def _(spark, d):
+    """Lines of which some have bad numbers, too few or too many fields: every record is sound or set apart with its reasons."""
+    kind = F.col("c_custkey") % 50
+    balance = F.when(kind.isin(1, 4), "n/a").otherwise(F.col("c_acctbal").cast("string"))
+    nation = F.when(kind == 4, "?").otherwise(F.col("c_nationkey").cast("string"))
+    name = F.concat(F.lit('"'), "c_name", F.lit(', Ltd"'))
+    more = F.when(kind == 2, "").when(kind == 3, F.concat(F.lit(","), balance, F.lit(",more"))).otherwise(F.concat(F.lit(","), balance))
+    path = fresh_path(spark, "lines")
+    table(spark, d, "customer").select(F.concat(F.col("c_custkey").cast("string"), F.lit(","), name, F.lit(","), nation, more)).write.text(path)
+    checked = read_checked(spark, path, T.StructType.fromDDL("key long, name string, nation int, balance double"), header=False)
+    sound, bad = quarantine(checked, fresh_path(spark, "checked"))
+    rows = sound.select("key", F.lit("sound").alias("reason")).union(bad.select("key", F.explode("_reasons")))
+    return rows.groupBy("reason").agg(F.count(F.lit(1)).alias("n_records"), F.sum("key").alias("keys"))
+
+
 # --- projections -----------------------------------------------------------------------------
 
 
