@@ -33,14 +33,14 @@ from ebbtide.session import written
 #: What a share of the documents has to show of the wanted count for a phrase to be proposed.
 CAUTION = 0.6
 #: Words a pass looks at together; words of a stored block, a small one as Parquet looks at the size of a page every 100 rows.
-BLOCK_WORDS = 1 << 20
+BLOCK_WORDS = 1 << 18
 STORED_WORDS = 1 << 13
 #: Words of a block in the pass that also holds the words themselves.
 TEXT_WORDS = 1 << 17
 #: Phrases a task remembers as emitted (8 MB).
 REMEMBERED = 1 << 20
 #: Bits for each phrase of a bitmap, and its largest size as a power of two (16 MB).
-BITS_EACH = 8
+BITS_EACH = 32
 MOST_BITS = 27
 #: First ranks within so many groups of a language, then among the first of all groups.
 GROUPS = 256
