@@ -9,7 +9,8 @@ that hold in every context has the tokens of its parts, one after another. Two c
   is written out for that alphabet.
 
 Everything else (apostrophes, special strings, odd white space, other scripts) goes to the library
-as it stands. Each Python worker keeps the memo, bounded, between tasks.
+as it stands. Each Python worker keeps the memo, bounded, between tasks: in two generations, so that
+parts that come again outlive those that came once.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 #: Parts of this alphabet are cut by the patterns below: no apostrophe, no "<", no white space.
 PLAIN = re.compile(rf"[{LETTERS}0-9!-&(-;=-@\[-`{{-~]+")
 #: Bytes a worker's memo holds, parts and words together; longer ones than this many characters aren't kept.
-MEMO_BYTES = 160 << 20
+MEMO_BYTES = 64 << 20
 LONGEST = 32
 #: Of an entry, beside its text: two objects and its place in the dictionary, about.
 ENTRY_BYTES = 180
@@ -49,30 +50,41 @@ def _pieces(model, pre_token: str):
 
 
 class _Memo(dict):
-    """A dictionary that asks ``learn`` for what it lacks."""
+    """A dictionary that takes what it lacks from the generation before, or asks ``learn``."""
 
-    def __init__(self, learn):
-        self.learn = learn
+    def __init__(self, owner: _Memos, learn):
+        self.owner, self.learn, self.before = owner, learn, {}
 
-    def __missing__(self, part):
-        return self.learn(part)
+    def __missing__(self, text):
+        found = self.before.get(text)
+        if found is None:
+            found = self.learn(text)
+        if len(text) <= LONGEST:
+            self.owner.weigh(ENTRY_BYTES + len(text) + (len(found) if isinstance(found, bytes) else 0))
+            self[text] = found
+        return found
+
+    def turn(self) -> None:
+        self.before = dict(self)
+        self.clear()
 
 
 class _Memos:
-    """Memos of parts and of the words they are made of, within one bound."""
+    """Memos of parts and of the words they are made of, within one bound.
+
+    At half the bound a new generation begins and the one before last is forgotten.
+    """
 
     def __init__(self):
-        self.parts, self.words = _Memo(self._learn), _Memo(self._learn_word)
+        self.parts, self.words = _Memo(self, self._learn), _Memo(self, self._learn_word)
         self.held = 0
 
-    def _keep(self, memo: _Memo, text: str, found) -> None:
-        if len(text) <= LONGEST:
-            self.held += ENTRY_BYTES + len(text) + (len(found) if isinstance(found, bytes) else 0)
-            if self.held > MEMO_BYTES:
-                self.parts.clear()
-                self.words.clear()
-                self.held = 0
-            memo[text] = found
+    def weigh(self, size: int) -> None:
+        if self.held + size > MEMO_BYTES // 2:
+            self.parts.turn()
+            self.words.turn()
+            self.held = 0
+        self.held += size
 
 
 class ByteCounts(_Memos):
@@ -96,13 +108,10 @@ class ByteCounts(_Memos):
             n = sum(map(self.words.__getitem__, self.CUT.findall(" " + part)))
         else:
             n = self.direct(" " + part)
-        self._keep(self.parts, part, n)
         return n
 
     def _learn_word(self, word: str) -> int:
-        n = len(_pieces(self.model, word))
-        self._keep(self.words, word, n)
-        return n
+        return len(_pieces(self.model, word))
 
     def count(self, text: str) -> int:
         if not text:
@@ -128,16 +137,11 @@ class WordIds(_Memos):
 
     def _learn(self, part: str) -> bytes:
         if PLAIN.fullmatch(part):
-            ids = b"".join(self.words[word.lower()] for word in self.CUT.findall(part))
-        else:
-            ids = np.array(self.tokenizer.encode(part, add_special_tokens=False).ids, "<u2").tobytes()
-        self._keep(self.parts, part, ids)
-        return ids
+            return b"".join(self.words[word.lower()] for word in self.CUT.findall(part))
+        return np.array(self.tokenizer.encode(part, add_special_tokens=False).ids, "<u2").tobytes()
 
     def _learn_word(self, word: str) -> bytes:
-        ids = np.array([t.id for t in _pieces(self.model, word)], "<u2").tobytes()
-        self._keep(self.words, word, ids)
-        return ids
+        return np.array([t.id for t in _pieces(self.model, word)], "<u2").tobytes()
 
     def ids(self, text: str) -> np.ndarray:
         parts = text.replace("\n", " ").split(" ")
