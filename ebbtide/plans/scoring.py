@@ -101,7 +101,12 @@ def score_ids(df: DataFrame, ids, model, key: str) -> DataFrame:
 
 def score_files(spark: SparkSession, source: str, target: str, model, required=(), numeric=(), prepare=None,
                 fmt: str = "csv", out_fmt: str = "parquet") -> DataFrame:
-    """Read, check, score and write a whole file set in one job; returns the totals of what was written."""
+    """Read, check, score and write a whole file set in one job; returns the totals of what was written.
+
+    The totals read the input's row count and the output's predictions again: an ``Observation`` would
+    count in the writing job, but it leaves the session with a manager that isn't serializable, after
+    which a logistic model that still has its training summary can't be sent to executors.
+    """
     df = read_customers(spark, source, fmt)
     require_valid(df, required, numeric)
     scored = score(prepare(df) if prepare else df, model)

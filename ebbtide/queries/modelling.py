@@ -319,6 +319,23 @@ def _(spark, d):
     return rounded(spark.read.parquet(target))
 
 
+@query(
+    "str_01_stream_totals",
+    f"""select {N('count(*)')} total_processed, {N('sum(prediction)')} total_churn_predicted, {R('avg(prediction)')} churn_rate,
+    cast(0 as bigint) dropped_rows from scored""",
+)
+def _(spark, d):
+    """Totals counted while the files of a folder are scored, a file a batch."""
+    rows, folder = cleaned(spark, d), fresh_path(spark, "arrivals")
+    rows.repartition(4).write.parquet(folder)
+    source = jobs.arriving_files(spark, folder, rows.schema, "parquet", files_per_trigger=1)
+    target, checkpoint = fresh_path(spark, "stream-out"), fresh_path(spark, "stream-state")
+    totals = jobs.stream_totals(jobs.score_stream(source, fixed_model(), target, checkpoint, keep=[KEY]))
+    names = ("total_processed", "total_churn_predicted", "churn_rate", "dropped_rows")
+    schema = "total_processed long, total_churn_predicted long, churn_rate double, dropped_rows long"
+    return rounded(spark.createDataFrame([tuple(totals[n] for n in names)], schema))
+
+
 @query(
     "str_02_monitor_stream",
     f"""select date_trunc('day', snapshot_ts) window_start, {N('count(*)')} n, {R('avg(prediction)')} churn_rate,

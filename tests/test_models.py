@@ -15,6 +15,7 @@ from ebbtide.queries import modelling
 from ebbtide.queries.base import QUERIES
 from ebbtide.schema import CUSTOMERS
 from ebbtide.sources.writers import prediction_metadata, stamped_path, write_predictions
+from ebbtide.streaming import jobs
 
 NUMERIC = [*CUSTOMERS.numeric, "avg_monthly_charges"]
 CATEGORICAL = [*CUSTOMERS.categorical, "tenure_group"]
@@ -340,6 +341,17 @@ def test_score_files(spark, signal_rows, logistic, tmp_path):
     assert totals["output_file"] == str(tmp_path / "out")
 
 
+def test_a_fitted_model_scores_a_stream_with_totals(spark, signal_rows, logistic, tmp_path):
+    """Counting leaves a session in which models with their training summary can still be sent out."""
+    rows = prepare.add_features(prepare.clean(signal_rows.drop("Churn")), interactions=False)
+    source, target, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    rows.write.parquet(source)
+    stream = jobs.arriving_files(spark, source, rows.schema, "parquet")
+    totals = jobs.stream_totals(jobs.score_stream(stream, logistic, target, state))
+    batch = scoring.file_stats(scoring.score(rows, logistic), rows).first().asDict()
+    assert {k: totals[k] for k in batch} == batch and spark.read.parquet(target).count() == 600
+
+
 def test_logistic_scorer_is_a_saved_pipeline(spark, tmp_path):
     model = scoring.logistic_scorer(0.0, {"x": 1.0}, digits=6)
     model.write().overwrite().save(str(tmp_path / "m"))

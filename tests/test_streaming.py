@@ -1,6 +1,8 @@
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import functions as F
 
 from ebbtide.operators import monitoring, prepare
@@ -29,6 +31,27 @@ def test_scored_stream_equals_batch_and_reads_files_once(spark, raw_rows, model,
     assert sorted(streamed.collect()) == sorted(batch.collect())
 
 
+def test_totals_of_a_scored_stream(spark, raw_rows, tmp_path):
+    """Counted batch by batch as rows pass, skipped rows apart; a run without new files counts none."""
+    model = logistic_scorer(0.8, {"tenure": -0.03, "MonthlyCharges": 0.002})
+    skips = PipelineModel(stages=[SQLTransformer(statement="select * from __THIS__ where customerID <> 'ID0007'"), *model.stages])
+    source, target, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    raw_rows.repartition(3).write.option("header", True).csv(source)
+
+    def run():
+        arriving = prepare.typed(jobs.arriving_files(spark, source, raw_rows.schema, files_per_trigger=1))
+        return jobs.stream_totals(jobs.score_stream(arriving, skips, target, state), poll=0.1)
+
+    n, got = raw_rows.count(), run()
+    churned = spark.read.parquet(target).where("prediction = 1").count()
+    assert got == {
+        "batches": 3, "input_rows": n, "late_groups": 0, "total_processed": n, "total_churn_predicted": churned,
+        "churn_rate": churned / (n - 1), "dropped_rows": 1,
+    }
+    again = run()
+    assert again["input_rows"] == 0 and again.get("total_processed", 0) == 0 and again.get("churn_rate") is None
+
+
 def test_windows_of_a_stream_equal_batch_once_closed(spark, tmp_path):
     schema = "ts timestamp, prediction int, churn_probability double"
     start = datetime(2024, 1, 1)
@@ -41,14 +64,16 @@ def test_windows_of_a_stream_equal_batch_once_closed(spark, tmp_path):
 
     def run():
         stream = jobs.arriving_files(spark, source, frame.schema, "parquet")
-        jobs.monitor_stream(stream, "ts", target, state, delay="2 hours").awaitTermination()
+        return jobs.stream_totals(jobs.monitor_stream(stream, "ts", target, state, delay="2 hours"))
 
-    run()
+    totals = run()
+    assert totals["input_rows"] == 100 and totals["late_groups"] == 0 and "churn_rate" not in totals
     closed = F.col("window_end") <= F.lit(rows[-1][0] - timedelta(hours=2))
     expected = sorted(monitoring.prediction_windows(frame, "ts").where(closed).collect())
     assert len(expected) == 4 and sorted(spark.read.parquet(target).collect()) == expected
     spark.createDataFrame(late, schema).coalesce(1).write.mode("append").parquet(source)
-    run()
+    totals = run()
+    assert totals["input_rows"] == 1 and totals["late_groups"] == 1  # counted, not silently left out
     assert sorted(spark.read.parquet(target).collect()) == expected
 
 
