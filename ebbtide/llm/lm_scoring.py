@@ -28,8 +28,7 @@ from ebbtide.session import written
 WORDS = 256
 TAILS = 256
 AT_HAND = 1 << 18
-#: Each pass trains on an eighth of the training texts wherever they lie, another eighth each time.
-SHARE = 8
+#: Passes the training texts are dealt to: each text is learned from in one of them, after each the weights are averaged.
 PASSES = 2
 BLOCK_WORDS = 1 << 20
 BLOCK_TOKENS = 1 << 15
@@ -187,7 +186,7 @@ def _runs(vocabulary: Vocabulary, text: bytes, start: int):
 
 def train(texts: DataFrame, vocabulary: Vocabulary) -> LogBilinear:
     """Trained where the texts lie: in each pass every partition goes on from the common weights, and what
-    they come to is averaged by the tokens they learned from. Each pass takes another ``1 / SHARE`` of the texts."""
+    they come to is averaged by the tokens they learned from. Each pass takes its share of the texts, all of them take all."""
     model, start = LogBilinear.start(vocabulary.unigram), len(vocabulary.unigram)
 
     def added(a: bytes, b: bytes) -> bytes:
@@ -200,7 +199,7 @@ def train(texts: DataFrame, vocabulary: Vocabulary) -> LogBilinear:
             held, n, at = [], 0, TaskContext.get().partitionId()
             for batch in batches:
                 column = batch.column(0)
-                chosen = pa.array((at + np.arange(len(column))) % SHARE == turn % SHARE)
+                chosen = pa.array((at + np.arange(len(column))) % PASSES == turn)
                 at += len(column)
                 for text in _texts(batch.filter(chosen), 0):
                     for _, run in _runs(vocabulary, text, start):

@@ -73,6 +73,16 @@ def test_model_probabilities_sum_to_one_over_all_known_and_unseen_words(spark):
     assert tail + unseen == pytest.approx(1, abs=1e-4)
 
 
+def test_the_model_learns_from_every_training_text(spark):
+    """What only texts outside the first two eighths of a partition show is learned, too."""
+    texts = spark.createDataFrame([("b a c " * 30 if i % 8 < 2 else "a b " * 500,) for i in range(96)], "text string").coalesce(1)
+    known = lm_scoring.vocabulary(lm_scoring._counted(texts).cache())
+    model = lm_scoring.train(texts, known)
+    a, b = known.outcomes(np.concatenate(list(lm_scoring._key_parts(b"a b")))[:2])
+    after = np.exp(model.normalised(np.array([[a, b, a, b]]), np.array([b])))[0]
+    assert after > 0.9 and known.unigram[b] < 0.6
+
+
 def test_scores_take_odd_rows(spark):
     long = "some words " * 40_000
     rows = [(None, None, 1), (3, "", 2), (3, "", 3), (4, "a\tB\n c", 4), (5, long, 5), (6, "a", 6), (7, "été a", 7)]
