@@ -203,6 +203,14 @@ def test_fits_use_all_cores(sides):
     assert models.laid_out(wide) is wide
 
 
+def test_forests_with_node_ids_are_the_same(spark, sides):
+    rows = sides[0].select(vector_assembled().alias("features"), "label").coalesce(1).cache()
+    forest = models.classifier(models.FOREST, numTrees=5, maxDepth=4)
+    kept = models._with_node_ids(forest)
+    assert kept.getCacheNodeIds() and not forest.getCacheNodeIds()
+    assert kept.fit(rows).toDebugString.split("\n")[1:] == forest.fit(rows).toDebugString.split("\n")[1:]
+
+
 def test_fold_scores(sides):
     pipeline = models.build_pipeline(sides[0], models.TREE, NUMERIC, CATEGORICAL, params={"maxDepth": 3})
     scores = models.cv_scores(sides[0], pipeline, KEY, folds=3).cache()

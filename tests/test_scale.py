@@ -89,6 +89,16 @@ def test_metrics_read_their_input_once(spark):
         assert final_plan(evaluation.metrics(df, by=by)).count("FileScan parquet") == 1
 
 
+def test_stored_counts_give_the_same_measures_and_leave_the_input_alone(spark):
+    rows = [(i % 3, (None if i % 5 == 0 else i % 11 / 11), [0, 1, None][i % 4 % 3], [0, 1, None, 2][i % 7 % 4]) for i in range(200)]
+    df = spark.createDataFrame(rows, "part int, score double, label int, prediction int")
+    for by in (None, "part"):
+        for of in (evaluation.metrics, evaluation.areas):
+            stored = of(df, by=by, stored=True)
+            assert "ExistingRDD" not in final_plan(stored)
+            assert sorted(map(str, stored.collect())) == sorted(map(str, of(df, by=by).collect()))
+
+
 @pytest.mark.parametrize("name", sorted(n for n in entry.oracle_sql() if not n.startswith(("str_", "src_", "snk_", "inf_10"))))
 def test_plans_stay_in_the_engine(spark, name):
     """No Python per row, no cross product; in one task only windows over the first digits of an order."""
