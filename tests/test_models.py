@@ -203,6 +203,12 @@ def test_fits_use_all_cores(sides):
     assert models.laid_out(wide) is wide
 
 
+def test_tasks_of_a_fit_hold_few_rows(sides, monkeypatch):
+    rows = sides[0].coalesce(1)
+    monkeypatch.setattr(models, "TASK_ROWS", 10)
+    assert models.laid_out(rows).rdd.getNumPartitions() >= rows.count() / 10
+
+
 def test_forests_with_node_ids_are_the_same(spark, sides):
     rows = sides[0].select(vector_assembled().alias("features"), "label").coalesce(1).cache()
     forest = models.classifier(models.FOREST, numTrees=5, maxDepth=4)
