@@ -183,3 +183,10 @@ def test_personal_data_query_and_masks(spark, odd_rows):
     assert personal_data.find_personal_data(odd_rows).where("size(spans) > 0").count() == 0
     mail = spark.createDataFrame([(1, "to a@b.org now", "x"), (2, None, "y")], "doc_id long, text string, `text.` string")
     assert [tuple(r) for r in personal_data.mask_personal_data(mail).orderBy("doc_id").collect()] == [(1, "to [EMAIL] now", "x"), (2, None, "y")]
+
+
+def test_a_word_is_held_once():
+    words, text = WordIds(WORDS), "the cat the. Cat THE... the"
+    assert words.ids(text).tolist() == words.tokenizer.encode(text, add_special_tokens=False).ids
+    # the, cat, the., Cat, THE... and two runs of signs
+    assert len(words.parts) + len(words.words) == 7
