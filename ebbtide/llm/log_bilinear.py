@@ -18,6 +18,8 @@ BATCH = 512
 RATE = 0.02
 #: Tokens normalised at a time.
 BLOCK = 512
+#: Sums below this are worked out on logarithms: single precision ends at some 1e-38.
+LEAST = 1e-28
 
 
 @dataclass
@@ -77,29 +79,35 @@ class LogBilinear:
         return loss, [d_context, d_mix, d_outcome, d_bias]
 
     def normalised(self, before: np.ndarray, token: np.ndarray) -> np.ndarray:
-        """Natural log-probability of each token, normalised over all outcomes."""
-        ahead = np.einsum("kd,jde->jke", self.context, self.mix, optimize=True)
-        across = np.concatenate([self.outcome.T, self.bias[None]])
-        out, ones = np.empty(len(token)), np.ones(len(self.bias), np.float32)
-        # no score exceeds this, so that the exponentials below can't overflow without a shift
-        most = float(np.linalg.norm(ahead, axis=2).max(1).sum() * np.linalg.norm(self.outcome, axis=1).max())
-        shift = 0.0 if most + float(np.abs(self.bias).max()) < 60 else None
-        h = np.ones((BLOCK, SIZE + 1), np.float32)
+        """Natural log-probability of each token, normalised over all outcomes.
+
+        A score is a sum of one term for each word back, so its exponential is a product of rows of as many
+        tables, each at most 1: nothing is exponentiated a token, unless all its products all but vanish.
+        """
+        terms = np.einsum("kd,jde->jke", self.context, self.mix, optimize=True) @ self.outcome.T
+        terms[0] += self.bias
+        terms -= terms.max(2, keepdims=True)
+        factors = np.exp(terms)
+        found = sum(terms[j][before[:, j], token] for j in range(CONTEXT))
+        sums = np.empty(len(token), np.float32)
+        product, factor = np.empty((2, BLOCK, len(self.bias)), np.float32)
         for i in range(0, len(token), BLOCK):
             some = before[i : i + BLOCK]
             n = len(some)
-            h[:n, :SIZE] = ahead[0][some[:, 0]]
+            # "clip" looks at no bounds, the outcomes are within them
+            np.take(factors[0], some[:, 0], 0, product[:n], "clip")
             for j in range(1, CONTEXT):
-                h[:n, :SIZE] += ahead[j][some[:, j]]
-            scores = h[:n] @ across
-            found = scores[np.arange(n), token[i : i + BLOCK]]
-            if shift is None:
-                top = scores.max(1)
-                scores -= top[:, None]
-                found = found - top
-            np.exp(scores, out=scores)
-            out[i : i + BLOCK] = found - np.log(scores @ ones)
-        return out
+                np.take(factors[j], some[:, j], 0, factor[:n], "clip")
+                if j < CONTEXT - 1:
+                    np.multiply(product[:n], factor[:n], product[:n])
+            sums[i : i + n] = np.einsum("ij,ij->i", product[:n], factor[:n])
+        few = np.flatnonzero(sums < LEAST)
+        sums[few] = 1
+        out = found - np.log(sums)
+        for at in np.split(few, range(BLOCK, len(few), BLOCK)):
+            scores = sum(terms[j][before[at, j]] for j in range(CONTEXT))
+            out[at] = scores[np.arange(len(at)), token[at]] - np.logaddexp.reduce(scores, 1)
+        return out.astype(float)
 
 
 def _add_rows(sums: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
