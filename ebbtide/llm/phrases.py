@@ -32,9 +32,11 @@ from ebbtide.session import written
 
 #: What a share of the documents has to show of the wanted count for a phrase to be proposed.
 CAUTION = 0.6
-#: Words a pass looks at together; words of a stored block, a small one as Parquet looks at the size of a page every 100 rows.
+#: Words a pass looks at together; words cut at a time; words of a stored block, few as Spark hands on 10,000 rows at a
+#: time (10 MB), of which it holds several copies.
 BLOCK_WORDS = 1 << 18
-STORED_WORDS = 1 << 13
+CUT_WORDS = 1 << 13
+STORED_WORDS = 1 << 7
 #: Words of a block in the pass that also holds the words themselves.
 TEXT_WORDS = 1 << 17
 #: Phrases a task remembers as emitted (8 MB).
@@ -109,22 +111,25 @@ def blocks(batches, size: int, reach: int, named: bool = False) -> Iterator[tupl
         yield taken(n)
 
 
-_STORED = "sampled boolean, hashes binary, starts long, at array<long>, salts array<long>"
+_STORED = "sampled boolean, hashes binary, starts long, salt long"
 
 
 def _cut(docs: DataFrame, reach: int) -> DataFrame:
-    """``lang, text, sampled`` rows as blocks of word hashes with the runs of words of one language."""
-    lists = pa.list_(pa.int64())
-    kind = pa.schema([("sampled", pa.bool_()), ("hashes", pa.binary()), ("starts", pa.int64()), ("at", lists), ("salts", lists)])
+    """``lang, text, sampled`` rows as blocks of word hashes of one language, each ended by a break."""
 
     def run(batches):
         for batch in batches:
             drawn = batch.column(2)
             for sampled, part in ((True, batch.filter(drawn)), (False, batch.filter(pc.invert(drawn)))):
-                for hashes, starts, _, names in blocks([part], STORED_WORDS, reach):
+                for hashes, starts, _, names in blocks([part], CUT_WORDS, reach):
+                    runs = np.array([at for at, _ in names])
                     salts = np.array([_salt(name) for _, name in names], np.uint64).view(np.int64)
-                    row = [sampled, hashes.tobytes(), starts, [at for at, _ in names], salts.tolist()]
-                    yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, kind)], schema=kind)
+                    at = np.unique(np.concatenate([np.arange(0, starts, STORED_WORDS), runs[runs < starts]]))
+                    ends = np.append(at[1:], starts)
+                    held = [hashes[i:j].tobytes() + bytes(8) for i, j in zip(at, ends + reach)]
+                    columns = [pa.array(np.full(len(at), sampled)), pa.array(held, pa.binary()), pa.array(ends - at)]
+                    columns.append(pa.array(salts[np.searchsorted(runs, at, "right") - 1]))
+                    yield pa.RecordBatch.from_arrays(columns, ["sampled", "hashes", "starts", "salt"])
 
     return docs.select("lang", "text", "sampled").mapInArrow(run, _STORED)
 
@@ -151,32 +156,23 @@ class _Words:
 
 
 def _read(batches, size: int) -> Iterator[_Words]:
-    held, n = [], 0
     kept("word blocks", dict)  # the memo of words isn't needed here
-
-    def joined() -> _Words:
-        own, at, salts, first = [], [], [], 0
-        for hashes, starts, runs, names in held:
-            own.append(np.arange(len(hashes)) < starts)
-            at.append(runs + first)
-            salts.append(names)
-            first += len(hashes)
-        return _Words(*(np.concatenate(x) for x in ([h for h, *_ in held], own, at, salts)))
-
     for batch in batches:
-        for i in range(batch.num_rows):
-            hashes, starts, runs, names = (batch.column(c)[i] for c in range(1, 5))
-            # a break ends each block
-            hashes = np.concatenate([np.frombuffer(hashes.as_buffer(), np.uint64), np.zeros(1, np.uint64)])
-            held.append((hashes, starts.as_py(), runs.values.to_numpy(), names.values.to_numpy().view(np.uint64)))
-            n += len(hashes)
-            if n >= size:
-                whole = joined()
-                held, n = [], 0
-                yield whole
-                del whole
-    if held:
-        yield joined()
+        if not batch.num_rows:
+            continue
+        column = batch.column(1).cast(pa.binary())
+        bounds = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1] // 8
+        hashes = np.frombuffer(column.buffers()[2], np.uint64)
+        starts, salts = batch.column(2).to_numpy(), batch.column(3).to_numpy().view(np.uint64)
+        first = 0
+        while first < len(starts):
+            last = max(first + 1, int(np.searchsorted(bounds, bounds[first] + size)))
+            at = bounds[first : last + 1] - bounds[first]
+            last = first + len(at) - 1
+            inside = np.arange(at[-1]) - np.repeat(at[:-1], np.diff(at))
+            own = inside < np.repeat(starts[first:last], np.diff(at))
+            yield _Words(hashes[bounds[first] : bounds[last]], own, at[:-1], salts[first:last])
+            first = last
 
 
 def _valid(hashes: np.ndarray, n: int) -> np.ndarray:

@@ -304,3 +304,28 @@ def test_tiny_and_huge_vectors_do_not_spoil_the_index(spark):
     assert all(abs(r["score"]) <= 1 + 1e-12 for r in found)
     first = [r for r in found if r["query_id"] == 1050 and r["rank"] == 1]
     assert first[0]["vec_id"] == 7 and first[0]["score"] == pytest.approx(1)
+
+
+def test_normalising_exponentiates_tables_not_tokens(monkeypatch):
+    rng, n, tokens = np.random.default_rng(3), 40, 3000
+    before, token = rng.integers(0, n + 1, (tokens, CONTEXT)), rng.integers(0, n, tokens)
+    plain, seen = np.exp, []
+    for wide in (1, 15):  # with the wide one all products vanish for many contexts
+        model = LogBilinear.start(np.full(n, 1 / n))
+        model = model.with_vector(model.vector() * wide)
+        h = sum((model.context.astype(float) @ model.mix[j])[before[:, j]] for j in range(CONTEXT))
+        scores = h @ model.outcome.T + model.bias
+        wanted = scores[np.arange(tokens), token] - np.logaddexp.reduce(scores, 1)
+        monkeypatch.setattr(np, "exp", lambda x, *a, **k: seen.append(np.size(x)) or plain(x, *a, **k))
+        assert model.normalised(before, token) == pytest.approx(wanted, rel=1e-4, abs=1e-3)
+        monkeypatch.setattr(np, "exp", plain)
+    assert sum(seen) <= 2 * CONTEXT * (n + 1) * n
+
+
+def test_stored_words_of_phrases_are_small_rows_that_hold_each_word_once(spark):
+    long = " ".join(f"w{i}" for i in range(5000))
+    docs = spark.createDataFrame([(long, "en", True), ("a b. c", None, False), (None, "de", False)], "text string, lang string, sampled boolean")
+    rows = phrases._cut(docs, 3).collect()
+    assert max(len(r["hashes"]) for r in rows) <= 8 * (phrases.STORED_WORDS + 4)
+    # each text ends with a break of its own
+    assert sum(r["starts"] for r in rows) == 5001 + 5 + 1
