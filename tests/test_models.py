@@ -299,6 +299,30 @@ def test_sweep_queries_hand_on_all_rows(spark, sides, monkeypatch):
     assert QUERIES["mod_10_depth_sweep"](spark, "").count() == given.count() > 100
 
 
+@pytest.mark.parametrize("name", ["mod_08_cross_validated_search", "mod_08_forest_search", "mod_08_boosting_search"])
+def test_queries_learn_from_all_rows(spark, sides, monkeypatch, name):
+    given = sides[0].unionByName(sides[1]).withColumnRenamed(KEY, modelling.KEY)
+    columns = {"FEATURE_NUMERIC": ["tenure", "MonthlyCharges"], "FEATURE_CATEGORICAL": ["Contract"]}
+    for of, value in columns.items():
+        monkeypatch.setattr(modelling, of, value)
+    fitted = feature_pipeline(given, *columns.values()).fit(given)
+    monkeypatch.setattr(modelling, "feature_table", lambda *_: given)
+    monkeypatch.setattr(modelling, "vector_table", lambda *_: fitted.transform(given))
+    made, most = models.classifier, {"numTrees": 2, "maxDepth": 3, "maxIter": 2}
+    monkeypatch.setattr(models, "classifier", lambda *a, **p: made(*a, **{k: min(v, most[k]) if k in most else v for k, v in p.items()}))
+    monkeypatch.setattr(models, "GRIDS", {of: {k: v[:1] for k, v in grid.items()} for of, grid in models.GRIDS.items()})
+
+    def at_most(*_, **__):
+        raise AssertionError("a sample was taken")
+
+    def measured(df, by=None, **_):
+        return df.groupBy(*evaluation._grouping(by)).agg(*[F.avg("score").alias(m) for m in evaluation.MEASURES])
+
+    for of, what, new in ((models, "at_most", at_most), (splitting, "at_most", at_most), (evaluation, "metrics", measured), (evaluation, "areas", measured)):
+        monkeypatch.setattr(of, what, new)
+    assert not QUERIES[name](spark, "").isEmpty()
+
+
 def test_saved_model_scores_alike(sides, logistic, tmp_path):
     path = str(tmp_path / "model")
     logistic.write().overwrite().save(path)
