@@ -299,7 +299,8 @@ def test_sweep_queries_hand_on_all_rows(spark, sides, monkeypatch):
     assert QUERIES["mod_10_depth_sweep"](spark, "").count() == given.count() > 100
 
 
-@pytest.mark.parametrize("name", ["mod_08_cross_validated_search", "mod_08_forest_search", "mod_08_boosting_search", "mod_10_depth_sweep", "mod_11_named_settings", "mod_13_ensemble"])
+@pytest.mark.parametrize("name", ["mod_08_cross_validated_search", "mod_08_forest_search", "mod_08_boosting_search", "mod_10_depth_sweep",
+                                  "mod_11_named_settings", "mod_13_ensemble", "mod_14_compare_models"])
 def test_queries_learn_from_all_rows(spark, sides, monkeypatch, name):
     given = sides[0].unionByName(sides[1]).withColumnRenamed(KEY, modelling.KEY)
     columns = {"FEATURE_NUMERIC": ["tenure", "MonthlyCharges"], "FEATURE_CATEGORICAL": ["Contract"]}
