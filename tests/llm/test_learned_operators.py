@@ -4,6 +4,7 @@ import math
 import random
 import re
 import time
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -329,3 +330,16 @@ def test_stored_words_of_phrases_are_small_rows_that_hold_each_word_once(spark):
     assert max(len(r["hashes"]) for r in rows) <= 8 * (phrases.STORED_WORDS + 4)
     # each text ends with a break of its own
     assert sum(r["starts"] for r in rows) == 5001 + 5 + 1
+
+
+def test_codebooks_are_fitted_in_little_memory():
+    """The sample against the largest codebook, at the driver: a block of products at a time."""
+    x, c = np.random.default_rng(1).normal(size=(nearest.SAMPLE, 32)), np.random.default_rng(2).normal(size=(nearest.MAX_CENTROIDS, 32))
+    want = ((c * c).sum(1) - 2 * x[:50] @ c.T).argmin(1)
+    index = nearest.MultiIndex(c[:64, :16], c[:64, 16:])
+    tracemalloc.start()
+    got, deep = nearest.nearest_centroid(x, c), index.depth(x, 5)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (got[:50] == want).all() and 0 < deep <= 1
+    assert peak < 25e6
